@@ -1,0 +1,20 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only below this many rows (checked, not assumed).
+BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Return ``broadcast(dim)`` if it provably has at most ``max_rows`` rows.
+
+    The check is a ``limit(max_rows + 1).count()``, so it never scans more
+    than ``max_rows + 1`` rows. Above the bound the frame is returned as is
+    and Catalyst/AQE choose a shuffle join.
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
