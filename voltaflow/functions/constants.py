@@ -99,6 +99,7 @@ SOLAR_SOURCE_FIELDS = (
     ("지역", "region"),
     ("태양광 발전량(MWh)", "solar_generation_mwh"),
 )
+MWH_SCALE = 2               # generation is reported to 0.01 MWh
 DAYLIGHT_FROM_HOUR = 6
 DAYLIGHT_TO_HOUR = 18
 HOUR_CATEGORIES = ((6, "dawn"), (12, "morning"), (18, "afternoon"))  # hour < bound
