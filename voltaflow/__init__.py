@@ -8,3 +8,14 @@ serial fold per battery and runs as a sorted ``mapInPandas`` stream.
 """
 
 __version__ = "0.1.0"
+
+# Ship our functions to Python workers by value, so executors need no
+# installed copy of the package (works for local and cluster deployments).
+try:  # pragma: no cover - depends on the pyspark build
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass

@@ -46,11 +46,16 @@ def latest_per_location(results: DataFrame, cols=("battery_soc", "efficiency_sco
 def grid_status(dim: DataFrame, results: DataFrame) -> DataFrame:
     """Every microgrid with its latest SOC and efficiency (NULL when no data).
 
-    The latest-per-location side has one row per location; it is broadcast
-    only after its size is checked.
+    The dimension's size is checked (a cheap count of a small table), then
+    it is broadcast to semi-join the results, so the latest-per-location
+    side is bounded by the dimension and can itself be broadcast.
     """
-    latest = bounded_broadcast(latest_per_location(results))
-    return dim.select("location", "name").join(latest, "location", "left")
+    grids = dim.select("location", "name")
+    small = bounded_broadcast(grids)
+    if small is grids:  # dimension too large to broadcast: let AQE pick the joins
+        return grids.join(latest_per_location(results), "location", "left")
+    known = results.join(F.broadcast(grids.select("location")), "location", "left_semi")
+    return grids.join(F.broadcast(latest_per_location(known)), "location", "left")
 
 
 def control_overall_stats(results: DataFrame) -> DataFrame:

@@ -39,6 +39,18 @@ def validate_readings(df: DataFrame, max_kw: float = C.MAX_POWER_KW,
     return df.withColumn("errors", errors).withColumn("is_valid", F.size("errors") == 0)
 
 
+def valid_predicate(max_kw: float = C.MAX_POWER_KW, ts_col: str = "ts") -> Column:
+    """Boolean form of ``validate_readings`` (no error array): cheap to push
+    into the scan-side filter."""
+    ok = F.lit(True)
+    for col in ("solar_power", "wind_power", "location", ts_col):
+        ok = ok & F.col(col).isNotNull()
+    for col in ("solar_power", "wind_power"):
+        c = F.col(col)
+        ok = ok & is_finite(c) & (c >= 0) & (c <= max_kw)
+    return ok
+
+
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted and dead-letter frames from one validated projection."""
     return df.filter("is_valid"), df.filter(~F.col("is_valid"))

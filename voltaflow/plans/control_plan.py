@@ -11,13 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from voltaflow.operators.control import control_metrics, flatten_results, grid_interaction
 from voltaflow.operators.dispatch import battery_dispatch, estimate_load, power_balance, with_tariff
 from voltaflow.operators.features import normalize_readings, optimization_requests
-from voltaflow.operators.quality import detect_anomalies, validate_readings
+from voltaflow.operators.quality import detect_anomalies, valid_predicate
 from voltaflow.sources.bridge import power_readings
 
 
+# columns carried through the battery fold (everything the result needs)
+DISPATCH_CARRY = ("event_id", "ts", "location", "request_id", "original_timestamp", "solar_power", "wind_power",
+                  "total_power", "quality_score", "electricity_price", "estimated_load", "power_balance")
+
+
 def requests_from_readings(readings: DataFrame) -> DataFrame:
     """validate -> keep valid -> anomalies -> normalise -> request columns."""
-    valid = validate_readings(readings).filter("is_valid").drop("errors", "is_valid")
+    valid = readings.filter(valid_predicate())
     return optimization_requests(normalize_readings(detect_anomalies(valid)))
 
 
@@ -25,6 +30,8 @@ def dispatch_requests(requests: DataFrame, scope: str = "location", profile_df:
                       initial_state: DataFrame | None = None) -> DataFrame:
     """tariff -> load -> balance -> battery fold -> grid -> metrics (wide frame)."""
     df = power_balance(estimate_load(with_tariff(requests), profile_df))
+    # mapInPandas is opaque to column pruning: ship only what later steps read
+    df = df.select(*DISPATCH_CARRY)
     df = battery_dispatch(df, scope=scope, initial_state=initial_state)
     return control_metrics(grid_interaction(df))
 
