@@ -76,6 +76,8 @@ EXPORT_PRICE_FACTOR = 0.9
 HOURLY_INTERVAL_H = 1 / 12     # 5-minute readings, hourly table
 DAILY_INTERVAL_H = 0.0833      # 5-minute readings, daily table
 
+POWER_SCALE = 4                # power readings carry at most 4 decimals of kW
+
 # --- fixed values: alert rules -------------------------------------------
 LOW_EFFICIENCY_BELOW = 0.5
 HIGH_DEPENDENCY_ABOVE = 0.7

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltaflow.functions import constants as C
+from voltaflow.functions.exprs import exact_avg
 from voltaflow.operators.joins import bounded_broadcast
 
 
@@ -58,20 +60,20 @@ def grid_status(dim: DataFrame, results: DataFrame) -> DataFrame:
     return grids.join(F.broadcast(latest_per_location(known)), "location", "left")
 
 
-def control_overall_stats(results: DataFrame) -> DataFrame:
+def control_overall_stats(results: DataFrame, scale: int | None = C.POWER_SCALE) -> DataFrame:
     return results.agg(F.count(F.lit(1)).alias("total_records"),
-                       F.avg("solar_power").alias("avg_solar"),
-                       F.avg("wind_power").alias("avg_wind"),
+                       exact_avg(F.col("solar_power"), scale).alias("avg_solar"),
+                       exact_avg(F.col("wind_power"), scale).alias("avg_wind"),
                        F.avg("efficiency_score").alias("avg_efficiency"),
                        F.sum("estimated_cost").alias("total_cost"),
                        F.min("timestamp").alias("first_record"),
                        F.max("timestamp").alias("last_record"))
 
 
-def control_hour_pattern(results: DataFrame) -> DataFrame:
+def control_hour_pattern(results: DataFrame, scale: int | None = C.POWER_SCALE) -> DataFrame:
     return (results.groupBy(F.hour("timestamp").alias("hour"))
-            .agg(F.avg("solar_power").alias("avg_solar"),
-                 F.avg("wind_power").alias("avg_wind"),
+            .agg(exact_avg(F.col("solar_power"), scale).alias("avg_solar"),
+                 exact_avg(F.col("wind_power"), scale).alias("avg_wind"),
                  F.avg("efficiency_score").alias("avg_efficiency"))
             .orderBy("hour"))
 

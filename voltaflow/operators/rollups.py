@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaflow.functions import constants as C
+from voltaflow.functions.exprs import exact_avg
 
 # columns an upsert of a control result may change; all others keep first-seen values
 RESULT_UPDATABLE = ("timestamp", "efficiency_score", "estimated_cost")
@@ -34,7 +35,8 @@ def upsert_first_last(df: DataFrame, key: str | list[str], seq: str | list[str],
 
 
 def hourly_aggregates(results: DataFrame, time_col: str = "timestamp",
-                      hours_per_reading: float = C.HOURLY_INTERVAL_H, dedupe: bool = False) -> DataFrame:
+                      hours_per_reading: float = C.HOURLY_INTERVAL_H, dedupe: bool = False,
+                      scale: int | None = C.POWER_SCALE) -> DataFrame:
     """Per (location, hour): mean powers/efficiency, energy sums (kW x h per
     reading), unscaled cost sum and record count.
 
@@ -45,8 +47,8 @@ def hourly_aggregates(results: DataFrame, time_col: str = "timestamp",
         results = results.dropDuplicates(["result_id"])
     h = F.lit(hours_per_reading)
     return (results.groupBy("location", F.date_trunc("hour", F.col(time_col)).alias("hour_timestamp"))
-            .agg(F.avg("solar_power").alias("avg_solar_power"),
-                 F.avg("wind_power").alias("avg_wind_power"),
+            .agg(exact_avg(F.col("solar_power"), scale).alias("avg_solar_power"),
+                 exact_avg(F.col("wind_power"), scale).alias("avg_wind_power"),
                  F.sum(F.col("total_power") * h).alias("total_energy_generated"),
                  F.sum(F.col("battery_charge_rate") * h).alias("total_battery_charged"),
                  F.sum(F.col("battery_discharge_rate") * h).alias("total_battery_discharged"),

@@ -285,20 +285,6 @@ upserted AS (
 
 _P_UPS = O.prefix(extra=_DELIV)
 
-_HOURLY_SQL = f"""
-SELECT location, date_trunc('hour', "timestamp") AS hour_timestamp, {{rnd}}, count(*) AS record_count FROM (
-  SELECT location, "timestamp",
-    avg(solar_power) AS avg_solar_power, avg(wind_power) AS avg_wind_power,
-    sum(total_power * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_energy_generated,
-    sum(battery_charge_rate * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_battery_charged,
-    sum(battery_discharge_rate * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_battery_discharged,
-    sum(grid_import * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_grid_import,
-    sum(grid_export * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_grid_export,
-    avg(efficiency_score) AS avg_efficiency_score, sum(estimated_cost) AS total_cost
-  FROM results GROUP BY location, date_trunc('hour', "timestamp"), "timestamp") x
-"""
-
-
 def _daily_sql(src: str) -> str:
     return f"""
 SELECT location, "date", {_rnd_sql(DAILY_FLOATS)},
@@ -363,7 +349,7 @@ ORACLE = {
     "hourly_aggregates": _P + f"""SELECT location, date_trunc('hour', "timestamp") AS hour_timestamp,
         {_rnd_sql(HOURLY_FLOATS)}, record_count FROM (
         SELECT location, date_trunc('hour', "timestamp") AS "timestamp",
-          avg(solar_power) AS avg_solar_power, avg(wind_power) AS avg_wind_power,
+          (CAST(sum(CAST(solar_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(solar_power) AS DOUBLE)) AS avg_solar_power, (CAST(sum(CAST(wind_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(wind_power) AS DOUBLE)) AS avg_wind_power,
           sum(total_power * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_energy_generated,
           sum(battery_charge_rate * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_battery_charged,
           sum(battery_discharge_rate * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_battery_discharged,
@@ -398,12 +384,12 @@ ORACLE = {
         LEFT JOIN (SELECT location, battery_soc, efficiency_score, "timestamp",
                      row_number() OVER (PARTITION BY location ORDER BY "timestamp" DESC, result_id DESC) AS rn
                    FROM results) cr ON m.location = cr.location AND cr.rn = 1""",
-    "control_overall_stats": _P + f"""SELECT count(*) AS total_records, {sround("avg(solar_power)")} AS avg_solar,
-        {sround("avg(wind_power)")} AS avg_wind, {sround("avg(efficiency_score)")} AS avg_efficiency,
+    "control_overall_stats": _P + f"""SELECT count(*) AS total_records, {sround("(CAST(sum(CAST(solar_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(solar_power) AS DOUBLE))")} AS avg_solar,
+        {sround("(CAST(sum(CAST(wind_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(wind_power) AS DOUBLE))")} AS avg_wind, {sround("avg(efficiency_score)")} AS avg_efficiency,
         {sround("sum(estimated_cost)")} AS total_cost, min("timestamp") AS first_record,
         max("timestamp") AS last_record FROM results""",
     "control_hour_pattern": _P + f"""SELECT CAST(hour("timestamp") AS INTEGER) AS hour,
-        {sround("avg(solar_power)")} AS avg_solar, {sround("avg(wind_power)")} AS avg_wind,
+        {sround("(CAST(sum(CAST(solar_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(solar_power) AS DOUBLE))")} AS avg_solar, {sround("(CAST(sum(CAST(wind_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(wind_power) AS DOUBLE))")} AS avg_wind,
         {sround("avg(efficiency_score)")} AS avg_efficiency FROM results GROUP BY 1 ORDER BY 1""",
     "topic_counts": _P + """SELECT topic, count(*) AS messages FROM (
         SELECT 'power_generation_data' AS topic FROM readings
