@@ -62,3 +62,22 @@ def test_soc_may_go_below_zero_unclamped(spark):
     assert d == 1000.0 and s == 0.25 - 1000.0 / 4750.0
     c, d, s = dispatch._step(0.21, -2000.0, 150.0)
     assert d == 1000.0 and s < 0
+
+
+@pytest.mark.parametrize("scope,rows", [("engine", 300), ("location", 100), ("location", 5000)])
+def test_chunked_is_bit_exact(spark, scope, rows):
+    """Chunk-parallel fold (converging or falling back) equals the serial fold."""
+    pre = _pre(spark)
+    a = {r.event_id: (r.battery_charge_rate, r.battery_discharge_rate, r.soc_after)
+         for r in dispatch.battery_dispatch(pre, scope=scope, method="serial").collect()}
+    b = {r.event_id: (r.battery_charge_rate, r.battery_discharge_rate, r.soc_after)
+         for r in dispatch.battery_dispatch_chunked(pre, scope=scope, chunk_rows=rows).collect()}
+    assert a == b
+
+
+def test_auto_picks_chunked_for_hot_battery(spark):
+    pre = _pre(spark)
+    a = {r.event_id: r.soc_after for r in dispatch.battery_dispatch(pre, scope="engine", method="serial").collect()}
+    b = {r.event_id: r.soc_after for r in dispatch.battery_dispatch(pre, scope="engine", method="auto",
+                                                                     hot_rows=100, chunk_rows=250).collect()}
+    assert a == b and dispatch.LAST_CHUNKED_ROUNDS != 0

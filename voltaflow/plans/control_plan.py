@@ -27,12 +27,12 @@ def requests_from_readings(readings: DataFrame) -> DataFrame:
 
 
 def dispatch_requests(requests: DataFrame, scope: str = "location", profile_df: DataFrame | None = None,
-                      initial_state: DataFrame | None = None) -> DataFrame:
+                      initial_state: DataFrame | None = None, method: str = "auto", **dispatch_opts) -> DataFrame:
     """tariff -> load -> balance -> battery fold -> grid -> metrics (wide frame)."""
     df = power_balance(estimate_load(with_tariff(requests), profile_df))
     # mapInPandas is opaque to column pruning: ship only what later steps read
     df = df.select(*DISPATCH_CARRY)
-    df = battery_dispatch(df, scope=scope, initial_state=initial_state)
+    df = battery_dispatch(df, scope=scope, initial_state=initial_state, method=method, **dispatch_opts)
     return control_metrics(grid_interaction(df))
 
 
@@ -44,8 +44,9 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests_from_readings(power_readings(spark, sf_dir))
 
 
-def dispatched(spark: SparkSession, sf_dir: str, scope: str = "location") -> DataFrame:
-    return dispatch_requests(requests(spark, sf_dir), scope=scope)
+def dispatched(spark: SparkSession, sf_dir: str, scope: str = "location", method: str = "auto",
+               **dispatch_opts) -> DataFrame:
+    return dispatch_requests(requests(spark, sf_dir), scope=scope, method=method, **dispatch_opts)
 
 
 def control_results(spark: SparkSession, sf_dir: str, scope: str = "location") -> DataFrame:

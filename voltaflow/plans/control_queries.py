@@ -108,6 +108,12 @@ def q_battery_dispatch_engine(spark, sf):
                                                           "battery_discharge_rate", "soc_after")
 
 
+def q_battery_dispatch_chunked(spark, sf):
+    """Chunk-parallel exact fold forced on (small chunks), one shared battery."""
+    return P.dispatched(spark, sf, scope="engine", method="chunked", chunk_rows=2500).select(
+        "event_id", "location", "battery_charge_rate", "battery_discharge_rate", "soc_after")
+
+
 def q_grid_interaction(spark, sf):
     return P.dispatched(spark, sf).select("event_id", "grid_import", "grid_export", "load_shedding",
                                           "renewable_curtailment", "unallocated_surplus")
@@ -244,6 +250,7 @@ QUERIES = {
     "power_balance": q_power_balance,
     "battery_dispatch": q_battery_dispatch,
     "battery_dispatch_engine": q_battery_dispatch_engine,
+    "battery_dispatch_chunked": q_battery_dispatch_chunked,
     "grid_interaction": q_grid_interaction,
     "control_metrics": q_control_metrics,
     "control_results": q_control_results,
@@ -338,6 +345,8 @@ ORACLE = {
         FROM disp""",
     "battery_dispatch_engine": O.prefix("engine") + """SELECT event_id, location, battery_charge_rate,
         battery_discharge_rate, soc_after FROM disp""",
+    "battery_dispatch_chunked": O.prefix("engine") + """SELECT event_id, location, battery_charge_rate,
+        battery_discharge_rate, soc_after FROM disp""",
     "grid_interaction": _P + """SELECT event_id, grid_import, grid_export, load_shedding, renewable_curtailment,
         unallocated_surplus FROM wide""",
     "control_metrics": _P + """SELECT event_id, estimated_cost, efficiency_score, renewable_utilization,

@@ -25,30 +25,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder for materialised tables under the cluster's checkpoint dir.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder, registered on the SparkContext.
 
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) when set;
-    only when neither is set (local tests) it creates and registers one.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); only
+    when neither is set (local tests) it creates one under the temp folder.
     """
     root = None
     try:
         root = spark.conf.get("spark.checkpoint.dir", None)
     except Exception:  # pragma: no cover - conf access varies by deployment
         root = None
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover
-            root = None
+        root = current
     if not root:
         root = tempfile.mkdtemp(prefix="voltaflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # pragma: no cover
-            pass
         try:
             spark.conf.set("spark.checkpoint.dir", root)
         except Exception:  # pragma: no cover
             pass
-    return f"{root.rstrip('/')}/{name}"
+    if not current:
+        sc.setCheckpointDir(root)
+        current = sc.getCheckpointDir()
+    return root
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A folder for materialised tables under the checkpoint root."""
+    return f"{checkpoint_root(spark).rstrip('/')}/voltaflow/{name}"
