@@ -96,3 +96,8 @@ def exact_stddev_samp(c: Column, scale: int | None) -> Column:
     n = F.count(c)
     num = (F.sum(dec * dec) * n - F.sum(dec) * F.sum(dec)).cast("double")
     return F.when(n > 1, F.sqrt(num / (n.cast("double") * (n - 1).cast("double"))))
+
+
+def hour_floor(ts: Column) -> Column:
+    """Wall-clock hour start of a TIMESTAMP_NTZ, independent of the session time zone."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))

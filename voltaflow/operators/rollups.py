@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaflow.functions import constants as C
-from voltaflow.functions.exprs import exact_avg
+from voltaflow.functions.exprs import exact_avg, hour_floor
 
 # columns an upsert of a control result may change; all others keep first-seen values
 RESULT_UPDATABLE = ("timestamp", "efficiency_score", "estimated_cost")
@@ -46,7 +46,7 @@ def hourly_aggregates(results: DataFrame, time_col: str = "timestamp",
     if dedupe:
         results = results.dropDuplicates(["result_id"])
     h = F.lit(hours_per_reading)
-    return (results.groupBy("location", F.date_trunc("hour", F.col(time_col)).alias("hour_timestamp"))
+    return (results.groupBy("location", hour_floor(F.col(time_col)).alias("hour_timestamp"))
             .agg(exact_avg(F.col("solar_power"), scale).alias("avg_solar_power"),
                  exact_avg(F.col("wind_power"), scale).alias("avg_wind_power"),
                  F.sum(F.col("total_power") * h).alias("total_energy_generated"),
