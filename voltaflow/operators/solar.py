@@ -89,6 +89,14 @@ def transform(df: DataFrame) -> DataFrame:
     return solar_daily_windows(solar_lag_diff(solar_features(df)))
 
 
+def observed(df: DataFrame, name: str):
+    """Row count as a metric of the job that consumes ``df`` (no extra job):
+    returns (df, observation); ``observation.get['rows']`` after an action."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 # Sums and means below are exact decimal accumulations at ``scale`` (see
 # ``exact_sum``): the same numbers whatever the partitioning or row order.
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from voltaflow.operators.alerts import system_events
 from voltaflow.operators.control import control_metrics, flatten_results, grid_interaction
 from voltaflow.operators.dispatch import estimate_load, power_balance, with_tariff
-from voltaflow.operators.rollups import upsert_first_last
+from voltaflow.functions import constants as C
+from voltaflow.operators.rollups import daily_summary, refresh_daily, upsert_first_last
 from voltaflow.plans.control_plan import DISPATCH_CARRY, requests_from_readings
 from voltaflow.streaming.state import battery_dispatch_stream
 
@@ -46,14 +47,55 @@ def merge_results(batch: DataFrame, results_path: str, seq: int) -> None:
      .partitionBy("date").parquet(results_path))
 
 
+def hourly_rollup_stream(results: DataFrame, delay: str = C.WATERMARK_DELAY) -> DataFrame:
+    """Continuous hourly rollup: tumbling 1-hour event-time windows per grid,
+    bounded by a watermark (emit with outputMode 'update' or 'append')."""
+    from voltaflow.functions.exprs import exact_avg
+    ts = F.col("timestamp").cast("timestamp")
+    h = F.lit(C.HOURLY_INTERVAL_H)
+    return (results.withColumn("timestamp", ts).withWatermark("timestamp", delay)
+            .groupBy("location", F.window("timestamp", "1 hour").alias("w"))
+            .agg(exact_avg(F.col("solar_power"), C.POWER_SCALE).alias("avg_solar_power"),
+                 exact_avg(F.col("wind_power"), C.POWER_SCALE).alias("avg_wind_power"),
+                 F.sum(F.col("total_power") * h).alias("total_energy_generated"),
+                 F.sum(F.col("battery_charge_rate") * h).alias("total_battery_charged"),
+                 F.sum(F.col("battery_discharge_rate") * h).alias("total_battery_discharged"),
+                 F.sum(F.col("grid_import") * h).alias("total_grid_import"),
+                 F.sum(F.col("grid_export") * h).alias("total_grid_export"),
+                 F.avg("efficiency_score").alias("avg_efficiency_score"),
+                 F.sum("estimated_cost").alias("total_cost"),
+                 F.count(F.lit(1)).alias("record_count"))
+            .select("location", F.col("w.start").alias("hour_timestamp"), *[
+                c for c in ("avg_solar_power", "avg_wind_power", "total_energy_generated", "total_battery_charged",
+                            "total_battery_discharged", "total_grid_import", "total_grid_export",
+                            "avg_efficiency_score", "total_cost", "record_count")]))
+
+
+def refresh_daily_table(batch: DataFrame, results_path: str, daily_path: str) -> None:
+    """Periodic daily rollup: recompute the (location, date) groups touched by
+    a micro-batch from the stored results and replace only those rows."""
+    spark = batch.sparkSession
+    touched = batch.select("location", F.to_date("timestamp").alias("date")).distinct()
+    results = spark.read.parquet(results_path).drop("date")
+    try:
+        current = spark.read.parquet(daily_path)
+    except Exception:  # first refresh
+        from voltaflow.functions.schemas import DAILY_SUMMARY_DDL
+        current = spark.createDataFrame([], DAILY_SUMMARY_DDL)
+    refreshed = refresh_daily(current, results, touched).checkpoint()
+    refreshed.write.mode("overwrite").parquet(daily_path)
+
+
 def start_control_stream(readings: DataFrame, results_path: str, events_path: str, checkpoint: str,
-                         scope: str = "location", trigger: dict | None = None):
+                         scope: str = "location", trigger: dict | None = None, daily_path: str | None = None):
     results = control_results_stream(readings, scope)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         merge_results(batch, results_path, int(epoch_id))
         system_events(batch).write.mode("append").parquet(events_path)
+        if daily_path:
+            refresh_daily_table(batch, results_path, daily_path)
         batch.unpersist()
 
     w = results.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
