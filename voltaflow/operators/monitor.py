@@ -88,8 +88,15 @@ def topic_summaries(readings: DataFrame, requests: DataFrame, results: DataFrame
     from voltaflow.functions import constants as C
     a = readings.select(F.lit(C.TOPIC_READINGS).alias("topic"), F.col("event_id").cast("string").alias("message_id"),
                         "location", F.col("solar_power").alias("value_1"), F.col("wind_power").alias("value_2"))
-    b = requests.select(F.lit(C.TOPIC_REQUESTS).alias("topic"), F.col("request_id").alias("message_id"),
-                        "location", F.col("total_power").alias("value_1"), F.col("quality_score").alias("value_2"))
-    c = results.select(F.lit(C.TOPIC_RESULTS).alias("topic"), F.col("result_id").alias("message_id"),
-                       "location", F.col("efficiency_score").alias("value_1"), F.col("estimated_cost").alias("value_2"))
-    return a.unionByName(b).unionByName(c)
+    b = F.struct(F.lit(C.TOPIC_REQUESTS).alias("topic"), F.col("request_id").alias("message_id"),
+                 F.col("location"), F.col("total_power").alias("value_1"), F.col("quality_score").alias("value_2"))
+    c = F.struct(F.lit(C.TOPIC_RESULTS).alias("topic"), F.concat(F.lit("ctrl_"), F.col("request_id")).alias("message_id"),
+                 F.col("location"), F.col("efficiency_score").alias("value_1"),
+                 F.col("estimated_cost").alias("value_2"))
+    if "efficiency_score" in requests.columns:
+        # one frame carries both the request and its result: one pass, two messages per row
+        bc = requests.select(F.explode(F.array(b, c)).alias("m")).select("m.*")
+    else:
+        bc = (requests.select(b.alias("m")).select("m.*")
+              .unionByName(results.select(c.alias("m")).select("m.*")))
+    return a.unionByName(bc)
