@@ -35,19 +35,19 @@ def grid_interaction(df: DataFrame) -> DataFrame:
     net = F.col("_net")
     imp0 = F.when(net > 0, F.lit(0.0)).otherwise(F.abs(net))
     exp0 = F.when((net > 0) & (price > C.EXPORT_PRICE_ABOVE), net).otherwise(F.lit(0.0))
-    df = df.withColumn("_imp0", imp0).withColumn("_exp0", exp0)
-    shed = F.when(F.col("_imp0") > C.SHED_IMPORT_ABOVE,
-                  F.least(F.col("_imp0") - F.lit(C.SHED_IMPORT_ABOVE),
+    df = df.withColumns({"_imp0": imp0, "_exp0": exp0})
+    imp0, exp0 = F.col("_imp0"), F.col("_exp0")
+    shed = F.when(imp0 > C.SHED_IMPORT_ABOVE,
+                  F.least(imp0 - F.lit(C.SHED_IMPORT_ABOVE),
                           F.col("estimated_load") * F.lit(C.SHED_LOAD_FRACTION))).otherwise(F.lit(0.0))
-    curtail = F.when(F.col("_exp0") > C.EXPORT_LIMIT_KW, F.col("_exp0") - F.lit(C.EXPORT_LIMIT_KW)).otherwise(F.lit(0.0))
-    return (df.withColumn("load_shedding", shed)
-            .withColumn("grid_import", F.col("_imp0") - F.col("load_shedding"))
-            .withColumn("renewable_curtailment", curtail)
-            .withColumn("grid_export", F.when(F.col("_exp0") > C.EXPORT_LIMIT_KW, F.lit(C.EXPORT_LIMIT_KW))
-                        .otherwise(F.col("_exp0")))
-            .withColumn("unallocated_surplus", F.when((net > 0) & (price <= C.EXPORT_PRICE_ABOVE), net)
-                        .otherwise(F.lit(0.0)))
-            .drop("_net", "_imp0", "_exp0"))
+    over = exp0 > C.EXPORT_LIMIT_KW
+    df = df.withColumns({
+        "load_shedding": shed,
+        "renewable_curtailment": F.when(over, exp0 - F.lit(C.EXPORT_LIMIT_KW)).otherwise(F.lit(0.0)),
+        "grid_export": F.when(over, F.lit(C.EXPORT_LIMIT_KW)).otherwise(exp0),
+        "unallocated_surplus": F.when((net > 0) & (price <= C.EXPORT_PRICE_ABOVE), net).otherwise(F.lit(0.0)),
+    })
+    return df.withColumn("grid_import", imp0 - F.col("load_shedding")).drop("_net", "_imp0", "_exp0")
 
 
 def control_metrics(df: DataFrame) -> DataFrame:
@@ -59,10 +59,8 @@ def control_metrics(df: DataFrame) -> DataFrame:
         (F.lit(1.0) - F.col("load_shedding") / F.greatest(F.col("estimated_load"), F.lit(1.0)))
     util = F.lit(1.0) - F.col("renewable_curtailment") / F.greatest(total, F.lit(1.0))
     dep = F.col("grid_import") / F.greatest(F.col("grid_import") + total, F.lit(1.0))
-    return (df.withColumn("estimated_cost", cost)
-            .withColumn("efficiency_score", eff)
-            .withColumn("renewable_utilization", util)
-            .withColumn("grid_dependency", dep))
+    return df.withColumns({"estimated_cost": cost, "efficiency_score": eff,
+                           "renewable_utilization": util, "grid_dependency": dep})
 
 
 def flatten_results(df: DataFrame, time_col: str = "ts", keep: tuple[str, ...] = ()) -> DataFrame:

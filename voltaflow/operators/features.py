@@ -18,14 +18,18 @@ def normalize_readings(df: DataFrame, ts_col: str = "ts") -> DataFrame:
     solar = F.col("solar_power").cast("double")
     wind = F.col("wind_power").cast("double")
     ts = F.col(ts_col)
-    return (df.withColumn("solar_power", solar)
-            .withColumn("wind_power", wind)
-            .withColumn("total_power", F.col("solar_power") + F.col("wind_power"))
-            .withColumn("solar_efficiency", solar_efficiency(F.col("temperature")))
-            .withColumn("wind_efficiency", wind_efficiency(F.col("wind_speed")))
-            .withColumn("hour", F.coalesce(F.hour(ts), F.lit(0)))
-            .withColumn("day_of_week", F.coalesce(F.weekday(ts), F.lit(0)))
-            .withColumn("is_weekend", F.col("day_of_week") >= 5))
+    dow = F.coalesce(F.weekday(ts), F.lit(0))
+    # one projection (few analysis passes; see the note on withColumn chains in the Spark docs)
+    return df.withColumns({
+        "solar_power": solar,
+        "wind_power": wind,
+        "total_power": solar + wind,
+        "solar_efficiency": solar_efficiency(F.col("temperature")),
+        "wind_efficiency": wind_efficiency(F.col("wind_speed")),
+        "hour": F.coalesce(F.hour(ts), F.lit(0)),
+        "day_of_week": dow,
+        "is_weekend": dow >= 5,
+    })
 
 
 def optimization_requests(df: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -34,9 +38,11 @@ def optimization_requests(df: DataFrame, ts_col: str = "ts") -> DataFrame:
     Expects the output of ``detect_anomalies`` + ``normalize_readings``.
     ``request_id`` = location || '_' || event_id (the source id, not a clock).
     """
-    return (df.withColumn("request_id", F.concat_ws("_", F.col("location"), F.col("event_id").cast("string")))
-            .withColumn("quality_score", quality_score(F.col("n_anomalies")))
-            .withColumn("original_timestamp", F.col(ts_col)))
+    return df.withColumns({
+        "request_id": F.concat_ws("_", F.col("location"), F.col("event_id").cast("string")),
+        "quality_score": quality_score(F.col("n_anomalies")),
+        "original_timestamp": F.col(ts_col),
+    })
 
 
 def request_struct(df: DataFrame) -> DataFrame:

@@ -81,7 +81,8 @@ def detect_anomalies(df: DataFrame, ts_col: str = "ts") -> DataFrame:
         F.when(night, F.struct(F.lit(C.ANOMALY_NIGHT).alias("type"), night_msg.alias("message"))),
         F.when(mismatch, F.struct(F.lit(C.ANOMALY_WIND).alias("type"), wind_msg.alias("message"))),
     ])
-    return df.withColumn("anomalies", items).withColumn("n_anomalies", F.size("anomalies"))
+    n = night.cast("int") + mismatch.cast("int")
+    return df.withColumns({"anomalies": items, "n_anomalies": n})
 
 
 def anomaly_counts(df: DataFrame) -> DataFrame:

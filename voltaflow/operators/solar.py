@@ -32,17 +32,17 @@ def solar_features(df: DataFrame) -> DataFrame:
     cat = F.when(hour < C.HOUR_CATEGORIES[0][0], F.lit(C.HOUR_CATEGORIES[0][1]))
     for bound, name in C.HOUR_CATEGORIES[1:]:
         cat = cat.when(hour < bound, F.lit(name))
-    return (df.withColumn("transaction_date", d)
-            .withColumn("year", F.year("transaction_date"))
-            .withColumn("month", F.month("transaction_date"))
-            .withColumn("day", F.dayofmonth("transaction_date"))
-            .withColumn("weekday", F.dayofweek("transaction_date"))
-            .withColumn("quarter", F.quarter("transaction_date"))
-            .withColumn("is_weekend", F.when(F.col("weekday").isin(1, 7), 1).otherwise(0))
-            .withColumn("is_daylight", F.when((hour >= C.DAYLIGHT_FROM_HOUR) & (hour <= C.DAYLIGHT_TO_HOUR), 1)
-                        .otherwise(0))
-            .withColumn("hour_category", cat.otherwise(F.lit(C.HOUR_CATEGORY_ELSE)))
-            .na.fill({MWH: 0.0}))
+    df = df.withColumn("transaction_date", d)
+    day = F.col("transaction_date")
+    wd = F.dayofweek(day)
+    return df.withColumns({
+        "year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day), "weekday": wd,
+        "quarter": F.quarter(day),
+        "is_weekend": F.when(wd.isin(1, 7), 1).otherwise(0),
+        "is_daylight": F.when((hour >= C.DAYLIGHT_FROM_HOUR) & (hour <= C.DAYLIGHT_TO_HOUR), 1).otherwise(0),
+        "hour_category": cat.otherwise(F.lit(C.HOUR_CATEGORY_ELSE)),
+        MWH: F.coalesce(F.col(MWH), F.lit(0.0)),
+    })
 
 
 def solar_lag_diff(df: DataFrame, key: str = "region", day: str = "transaction_date",

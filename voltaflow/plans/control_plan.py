@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from voltaflow.operators.control import control_metrics, flatten_results, grid_interaction
-from voltaflow.operators.dispatch import battery_dispatch, estimate_load, power_balance, with_tariff
+from voltaflow.operators.dispatch import (battery_dispatch, estimate_load, power_balance, tariff_load_balance,  # noqa: F401
+                                          with_tariff)
 from voltaflow.operators.features import normalize_readings, optimization_requests
 from voltaflow.operators.quality import detect_anomalies, valid_predicate
 from voltaflow.sources.bridge import power_readings
@@ -29,7 +30,7 @@ def requests_from_readings(readings: DataFrame) -> DataFrame:
 def dispatch_requests(requests: DataFrame, scope: str = "location", profile_df: DataFrame | None = None,
                       initial_state: DataFrame | None = None, method: str = "auto", **dispatch_opts) -> DataFrame:
     """tariff -> load -> balance -> battery fold -> grid -> metrics (wide frame)."""
-    df = power_balance(estimate_load(with_tariff(requests), profile_df))
+    df = tariff_load_balance(requests, profile_df)
     # mapInPandas is opaque to column pruning: ship only what later steps read
     df = df.select(*DISPATCH_CARRY)
     df = battery_dispatch(df, scope=scope, initial_state=initial_state, method=method, **dispatch_opts)
