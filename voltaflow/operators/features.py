@@ -24,8 +24,8 @@ def normalize_readings(df: DataFrame, ts_col: str = "ts") -> DataFrame:
         "solar_power": solar,
         "wind_power": wind,
         "total_power": solar + wind,
-        "solar_efficiency": solar_efficiency(F.col("temperature")),
-        "wind_efficiency": wind_efficiency(F.col("wind_speed")),
+        "solar_efficiency": solar_efficiency("temperature"),
+        "wind_efficiency": wind_efficiency("wind_speed"),
         "hour": F.coalesce(F.hour(ts), F.lit(0)),
         "day_of_week": dow,
         "is_weekend": dow >= 5,

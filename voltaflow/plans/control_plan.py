@@ -45,8 +45,17 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests_from_readings(power_readings(spark, sf_dir))
 
 
+def source_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Row count of the source table (answered from Parquet footers): an upper
+    bound on the rows of any battery, so the hot-battery check can be skipped."""
+    from voltaflow.sources.tables import read_table
+    return read_table(spark, sf_dir, "events").count()
+
+
 def dispatched(spark: SparkSession, sf_dir: str, scope: str = "location", method: str = "auto",
                **dispatch_opts) -> DataFrame:
+    if method == "auto" and "rows_upper_bound" not in dispatch_opts:
+        dispatch_opts["rows_upper_bound"] = source_rows(spark, sf_dir)
     return dispatch_requests(requests(spark, sf_dir), scope=scope, method=method, **dispatch_opts)
 
 
