@@ -4,7 +4,7 @@ Every operator is a plain ``DataFrame -> DataFrame`` function built from
 Catalyst expressions so that predicate pushdown, column pruning, partial
 aggregation and whole-stage codegen apply.  The only Python kernel is the
 battery state-of-charge recurrence (``operators.dispatch``), which is a
-serial fold per battery and runs as a sorted ``mapInPandas`` stream.
+serial fold per battery and runs as a sorted ``mapInArrow`` stream.
 """
 
 __version__ = "0.1.0"

@@ -31,7 +31,7 @@ def dispatch_requests(requests: DataFrame, scope: str = "location", profile_df:
                       initial_state: DataFrame | None = None, method: str = "auto", **dispatch_opts) -> DataFrame:
     """tariff -> load -> balance -> battery fold -> grid -> metrics (wide frame)."""
     df = tariff_load_balance(requests, profile_df)
-    # mapInPandas is opaque to column pruning: ship only what later steps read
+    # the Python fold is opaque to column pruning: ship only what later steps read
     df = df.select(*DISPATCH_CARRY)
     df = battery_dispatch(df, scope=scope, initial_state=initial_state, method=method, **dispatch_opts)
     return control_metrics(grid_interaction(df))
