@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from voltaflow.operators.alerts import system_events
 from voltaflow.operators.control import control_metrics, flatten_results, grid_interaction
 from voltaflow.operators.dispatch import estimate_load, power_balance, with_tariff
+from voltaflow.operators.joins import bounded_broadcast
 from voltaflow.functions import constants as C
 from voltaflow.operators.rollups import daily_summary, refresh_daily, upsert_first_last
 from voltaflow.plans.control_plan import DISPATCH_CARRY, requests_from_readings
@@ -35,8 +36,8 @@ def merge_results(batch: DataFrame, results_path: str, seq: int) -> None:
     batch = batch.withColumn("_seq", F.lit(seq)).withColumn("date", F.to_date("original_timestamp"))
     try:
         old = spark.read.parquet(results_path)
-        touched = batch.select("date").distinct()
-        old = old.join(F.broadcast(touched), "date", "left_semi").withColumn("_seq", F.lit(-1))
+        touched = bounded_broadcast(batch.select("date").distinct())  # dates of one micro-batch, size checked
+        old = old.join(touched, "date", "left_semi").withColumn("_seq", F.lit(-1))
         both = old.unionByName(batch)
     except Exception:  # first batch: no table yet
         both = batch
