@@ -48,10 +48,11 @@ def ingest_readings(raw: DataFrame, value_col: str = "value", as_of=None) -> Dat
         as_of_col = df.select(F.max("_ts")).scalar()
     else:
         as_of_col = F.lit(as_of).cast("timestamp_ntz")
-    return (df.withColumn("ts", F.coalesce(F.col("_ts"), as_of_col))
-            .withColumn("received_at", as_of_col)
-            .withColumn("data_type", F.lit("power_generation"))
-            .withColumn("accepted", F.col("error").isNull())
+    # bind the (sub)query value to a column once, so it is evaluated once
+    df = df.withColumn("received_at", as_of_col)
+    return (df.withColumns({"ts": F.coalesce(F.col("_ts"), F.col("received_at")),
+                            "data_type": F.lit("power_generation"),
+                            "accepted": F.col("error").isNull()})
             .drop("_ts"))
 
 
