@@ -77,6 +77,7 @@ HOURLY_INTERVAL_H = 1 / 12     # 5-minute readings, hourly table
 DAILY_INTERVAL_H = 0.0833      # 5-minute readings, daily table
 
 POWER_SCALE = 4                # power readings carry at most 4 decimals of kW
+SUM_SCALE = 6                  # energy and money totals accumulate in fixed point (1e-6 units)
 
 # --- fixed values: alert rules -------------------------------------------
 LOW_EFFICIENCY_BELOW = 0.5

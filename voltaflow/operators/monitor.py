@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltaflow.functions import constants as C
-from voltaflow.functions.exprs import exact_avg
+from voltaflow.functions.exprs import exact_avg, exact_sum
 from voltaflow.operators.joins import bounded_broadcast
 
 
@@ -25,7 +25,7 @@ def recent_by_location(results: DataFrame, as_of=None, time_col: str = "timestam
     return (last_hour(results, time_col, as_of).groupBy("location")
             .agg(F.count(F.lit(1)).alias("count"),
                  F.avg("efficiency_score").alias("avg_efficiency"),
-                 F.avg("estimated_cost").alias("avg_cost"),
+                 exact_avg(F.col("estimated_cost"), C.SUM_SCALE).alias("avg_cost"),
                  F.max(time_col).alias("last_update")))
 
 
@@ -65,7 +65,7 @@ def control_overall_stats(results: DataFrame, scale: int | None = C.POWER_SCALE)
                        exact_avg(F.col("solar_power"), scale).alias("avg_solar"),
                        exact_avg(F.col("wind_power"), scale).alias("avg_wind"),
                        F.avg("efficiency_score").alias("avg_efficiency"),
-                       F.sum("estimated_cost").alias("total_cost"),
+                       exact_sum(F.col("estimated_cost"), C.SUM_SCALE).alias("total_cost"),
                        F.min("timestamp").alias("first_record"),
                        F.max("timestamp").alias("last_record"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaflow.functions import constants as C
-from voltaflow.functions.exprs import exact_avg, hour_floor
+from voltaflow.functions.exprs import exact_avg, exact_sum, hour_floor
 
 # columns an upsert of a control result may change; all others keep first-seen values
 RESULT_UPDATABLE = ("timestamp", "efficiency_score", "estimated_cost")
@@ -36,7 +36,7 @@ def upsert_first_last(df: DataFrame, key: str | list[str], seq: str | list[str],
 
 def hourly_aggregates(results: DataFrame, time_col: str = "timestamp",
                       hours_per_reading: float = C.HOURLY_INTERVAL_H, dedupe: bool = False,
-                      scale: int | None = C.POWER_SCALE) -> DataFrame:
+                      scale: int | None = C.POWER_SCALE, sum_scale: int | None = C.SUM_SCALE) -> DataFrame:
     """Per (location, hour): mean powers/efficiency, energy sums (kW x h per
     reading), unscaled cost sum and record count.
 
@@ -46,16 +46,20 @@ def hourly_aggregates(results: DataFrame, time_col: str = "timestamp",
     if dedupe:
         results = results.dropDuplicates(["result_id"])
     h = F.lit(hours_per_reading)
+
+    def energy(c):  # sum(kW) x hours per reading, the sum in fixed point (order-independent)
+        return exact_sum(F.col(c), sum_scale) * h
+
     return (results.groupBy("location", hour_floor(F.col(time_col)).alias("hour_timestamp"))
             .agg(exact_avg(F.col("solar_power"), scale).alias("avg_solar_power"),
                  exact_avg(F.col("wind_power"), scale).alias("avg_wind_power"),
-                 F.sum(F.col("total_power") * h).alias("total_energy_generated"),
-                 F.sum(F.col("battery_charge_rate") * h).alias("total_battery_charged"),
-                 F.sum(F.col("battery_discharge_rate") * h).alias("total_battery_discharged"),
-                 F.sum(F.col("grid_import") * h).alias("total_grid_import"),
-                 F.sum(F.col("grid_export") * h).alias("total_grid_export"),
+                 energy("total_power").alias("total_energy_generated"),
+                 energy("battery_charge_rate").alias("total_battery_charged"),
+                 energy("battery_discharge_rate").alias("total_battery_discharged"),
+                 energy("grid_import").alias("total_grid_import"),
+                 energy("grid_export").alias("total_grid_export"),
                  F.avg("efficiency_score").alias("avg_efficiency_score"),
-                 F.sum("estimated_cost").alias("total_cost"),
+                 exact_sum(F.col("estimated_cost"), sum_scale).alias("total_cost"),
                  F.count(F.lit(1)).alias("record_count")))
 
 
@@ -70,7 +74,7 @@ def _day_filter(df: DataFrame, time_col: str, dates) -> DataFrame:
 
 
 def daily_summary(results: DataFrame, time_col: str = "timestamp", dates=None,
-                  hours_per_reading: float = C.DAILY_INTERVAL_H) -> DataFrame:
+                  hours_per_reading: float = C.DAILY_INTERVAL_H, sum_scale: int | None = C.SUM_SCALE) -> DataFrame:
     """Per (location, date): energy sums, efficiency avg/max/min, cost, peak/min power.
 
     ``dates`` restricts to given days with half-open ranges on the raw
@@ -80,16 +84,20 @@ def daily_summary(results: DataFrame, time_col: str = "timestamp", dates=None,
     df = _day_filter(results, time_col, dates)
     h = F.lit(hours_per_reading)
     null = F.lit(None).cast("double")
+
+    def energy(c):
+        return exact_sum(F.col(c), sum_scale) * h
+
     return (df.groupBy("location", F.to_date(F.col(time_col)).alias("date"))
-            .agg(F.sum(F.col("solar_power") * h).alias("total_solar_energy"),
-                 F.sum(F.col("wind_power") * h).alias("total_wind_energy"),
-                 F.sum(F.col("total_power") * h).alias("total_energy_generated"),
-                 F.sum(F.col("grid_import") * h).alias("total_grid_import"),
-                 F.sum(F.col("grid_export") * h).alias("total_grid_export"),
+            .agg(energy("solar_power").alias("total_solar_energy"),
+                 energy("wind_power").alias("total_wind_energy"),
+                 energy("total_power").alias("total_energy_generated"),
+                 energy("grid_import").alias("total_grid_import"),
+                 energy("grid_export").alias("total_grid_export"),
                  F.avg("efficiency_score").alias("avg_efficiency_score"),
                  F.max("efficiency_score").alias("max_efficiency_score"),
                  F.min("efficiency_score").alias("min_efficiency_score"),
-                 F.sum("estimated_cost").alias("total_cost"),
+                 exact_sum(F.col("estimated_cost"), sum_scale).alias("total_cost"),
                  F.max("total_power").alias("peak_power"),
                  F.min("total_power").alias("min_power"))
             .withColumn("total_energy_consumed", null)

@@ -313,11 +313,11 @@ SELECT location, "date", {_rnd_sql(DAILY_FLOATS)},
   NULL::DOUBLE AS total_energy_consumed, NULL::DOUBLE AS total_revenue, NULL::DOUBLE AS net_profit
 FROM (
   SELECT location, CAST("timestamp" AS DATE) AS "date",
-    sum(solar_power * 0.0833::DOUBLE) AS total_solar_energy, sum(wind_power * 0.0833::DOUBLE) AS total_wind_energy,
-    sum(total_power * 0.0833::DOUBLE) AS total_energy_generated,
-    sum(grid_import * 0.0833::DOUBLE) AS total_grid_import, sum(grid_export * 0.0833::DOUBLE) AS total_grid_export,
+    CAST(sum(CAST(solar_power AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_solar_energy, CAST(sum(CAST(wind_power AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_wind_energy,
+    CAST(sum(CAST(total_power AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_energy_generated,
+    CAST(sum(CAST(grid_import AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_grid_import, CAST(sum(CAST(grid_export AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_grid_export,
     avg(efficiency_score) AS avg_efficiency_score, max(efficiency_score) AS max_efficiency_score,
-    min(efficiency_score) AS min_efficiency_score, sum(estimated_cost) AS total_cost,
+    min(efficiency_score) AS min_efficiency_score, CAST(sum(CAST(estimated_cost AS DECIMAL(38,6))) AS DOUBLE) AS total_cost,
     max(total_power) AS peak_power, min(total_power) AS min_power
   FROM {src} GROUP BY location, CAST("timestamp" AS DATE)) d"""
 
@@ -374,12 +374,12 @@ ORACLE = {
         {_rnd_sql(HOURLY_FLOATS)}, record_count FROM (
         SELECT location, date_trunc('hour', "timestamp") AS "timestamp",
           (CAST(sum(CAST(solar_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(solar_power) AS DOUBLE)) AS avg_solar_power, (CAST(sum(CAST(wind_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(wind_power) AS DOUBLE)) AS avg_wind_power,
-          sum(total_power * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_energy_generated,
-          sum(battery_charge_rate * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_battery_charged,
-          sum(battery_discharge_rate * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_battery_discharged,
-          sum(grid_import * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_grid_import,
-          sum(grid_export * (1.0::DOUBLE / 12.0::DOUBLE)) AS total_grid_export,
-          avg(efficiency_score) AS avg_efficiency_score, sum(estimated_cost) AS total_cost,
+          CAST(sum(CAST(total_power AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_energy_generated,
+          CAST(sum(CAST(battery_charge_rate AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_battery_charged,
+          CAST(sum(CAST(battery_discharge_rate AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_battery_discharged,
+          CAST(sum(CAST(grid_import AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_grid_import,
+          CAST(sum(CAST(grid_export AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_grid_export,
+          avg(efficiency_score) AS avg_efficiency_score, CAST(sum(CAST(estimated_cost AS DECIMAL(38,6))) AS DOUBLE) AS total_cost,
           count(*) AS record_count
         FROM results GROUP BY location, date_trunc('hour', "timestamp")) h""",
     "daily_summary": _P + _daily_sql("results"),
@@ -397,7 +397,7 @@ ORACLE = {
              s(location, name, battery_capacity, latitude, longitude)
         FULL OUTER JOIN (SELECT DISTINCT location, 'Microgrid ' || location AS name FROM results) u USING (location)""",
     "recent_by_location": _P + f"""SELECT location, count(*) AS count, {sround("avg(efficiency_score)")} AS avg_efficiency,
-        {sround("avg(estimated_cost)")} AS avg_cost, max("timestamp") AS last_update
+        {sround("(CAST(sum(CAST(estimated_cost AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(estimated_cost) AS DOUBLE))")} AS avg_cost, max("timestamp") AS last_update
         FROM results WHERE "timestamp" > {_AS_OF} - INTERVAL 1 HOUR GROUP BY location""",
     "recent_event_counts": _P + """SELECT event_type, severity, count(*) AS count FROM sys_events
         WHERE "timestamp" > (SELECT max("timestamp") FROM sys_events) - INTERVAL 1 HOUR
@@ -410,7 +410,7 @@ ORACLE = {
                    FROM results) cr ON m.location = cr.location AND cr.rn = 1""",
     "control_overall_stats": _P + f"""SELECT count(*) AS total_records, {sround("(CAST(sum(CAST(solar_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(solar_power) AS DOUBLE))")} AS avg_solar,
         {sround("(CAST(sum(CAST(wind_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(wind_power) AS DOUBLE))")} AS avg_wind, {sround("avg(efficiency_score)")} AS avg_efficiency,
-        {sround("sum(estimated_cost)")} AS total_cost, min("timestamp") AS first_record,
+        {sround("CAST(sum(CAST(estimated_cost AS DECIMAL(38,6))) AS DOUBLE)")} AS total_cost, min("timestamp") AS first_record,
         max("timestamp") AS last_record FROM results""",
     "control_hour_pattern": _P + f"""SELECT CAST(hour("timestamp") AS INTEGER) AS hour,
         {sround("(CAST(sum(CAST(solar_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(solar_power) AS DOUBLE))")} AS avg_solar, {sround("(CAST(sum(CAST(wind_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(wind_power) AS DOUBLE))")} AS avg_wind,

@@ -36,8 +36,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.conf.get("spark.checkpoint.dir", None)
     except Exception:  # pragma: no cover - conf access varies by deployment
         root = None
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+        current = sc.getCheckpointDir()
+    except Exception:  # pragma: no cover - e.g. a remote (Connect) session
+        sc, current = None, None
     if not root:
         root = current
     if not root:
@@ -46,9 +49,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", root)
         except Exception:  # pragma: no cover
             pass
-    if not current:
+    if not current and sc is not None:
         sc.setCheckpointDir(root)
-        current = sc.getCheckpointDir()
     return root
 
 

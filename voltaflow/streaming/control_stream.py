@@ -51,20 +51,24 @@ def merge_results(batch: DataFrame, results_path: str, seq: int) -> None:
 def hourly_rollup_stream(results: DataFrame, delay: str = C.WATERMARK_DELAY) -> DataFrame:
     """Continuous hourly rollup: tumbling 1-hour event-time windows per grid,
     bounded by a watermark (emit with outputMode 'update' or 'append')."""
-    from voltaflow.functions.exprs import exact_avg
+    from voltaflow.functions.exprs import exact_avg, exact_sum
     ts = F.col("timestamp").cast("timestamp")
     h = F.lit(C.HOURLY_INTERVAL_H)
+
+    def energy(c):
+        return exact_sum(F.col(c), C.SUM_SCALE) * h
+
     return (results.withColumn("timestamp", ts).withWatermark("timestamp", delay)
             .groupBy("location", F.window("timestamp", "1 hour").alias("w"))
             .agg(exact_avg(F.col("solar_power"), C.POWER_SCALE).alias("avg_solar_power"),
                  exact_avg(F.col("wind_power"), C.POWER_SCALE).alias("avg_wind_power"),
-                 F.sum(F.col("total_power") * h).alias("total_energy_generated"),
-                 F.sum(F.col("battery_charge_rate") * h).alias("total_battery_charged"),
-                 F.sum(F.col("battery_discharge_rate") * h).alias("total_battery_discharged"),
-                 F.sum(F.col("grid_import") * h).alias("total_grid_import"),
-                 F.sum(F.col("grid_export") * h).alias("total_grid_export"),
+                 energy("total_power").alias("total_energy_generated"),
+                 energy("battery_charge_rate").alias("total_battery_charged"),
+                 energy("battery_discharge_rate").alias("total_battery_discharged"),
+                 energy("grid_import").alias("total_grid_import"),
+                 energy("grid_export").alias("total_grid_export"),
                  F.avg("efficiency_score").alias("avg_efficiency_score"),
-                 F.sum("estimated_cost").alias("total_cost"),
+                 exact_sum(F.col("estimated_cost"), C.SUM_SCALE).alias("total_cost"),
                  F.count(F.lit(1)).alias("record_count"))
             .select("location", F.col("w.start").alias("hour_timestamp"), *[
                 c for c in ("avg_solar_power", "avg_wind_power", "total_energy_generated", "total_battery_charged",
