@@ -133,3 +133,13 @@ def test_observed_row_count(spark):
     df, obs = observed(solar_features(solar_hourly(spark, SF_SMALL)), "features_rows")
     n = df.count()
     assert obs.get["rows"] == n
+
+
+def test_progress_stats(spark, tmp):
+    from voltaflow.streaming.sources import progress_stats
+    raw = consumed_raw(spark, SF_SMALL)
+    schema = _land_by_time(raw, tmp + "/in", "timestamp")
+    s = read_topics(spark, "parquet", tmp + "/in/*", schema=schema, max_per_trigger=1)
+    q = _drain(dedup_stream(s), "progress_out")
+    stats = progress_stats(spark, q, topic="solar_raw_data")
+    assert stats.agg(F.sum("messages_consumed")).first()[0] == raw.count()

@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from voltaflow.operators.control import control_metrics, flatten_results, grid_interaction
-from voltaflow.operators.dispatch import (battery_dispatch, estimate_load, power_balance, tariff_load_balance,  # noqa: F401
-                                          with_tariff)
+from voltaflow.operators.dispatch import battery_dispatch, tariff_load_balance
 from voltaflow.operators.features import normalize_readings, optimization_requests
 from voltaflow.operators.quality import detect_anomalies, valid_predicate
 from voltaflow.sources.bridge import power_readings

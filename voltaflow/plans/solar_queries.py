@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaflow.operators import consumed, forecast, solar
 from voltaflow.plans import control_plan as P
 from voltaflow.plans import oracle_control as OC
-from voltaflow.plans.control_queries import R4, _rnd_sql, rnd, sround
+from voltaflow.plans.control_queries import R4, rnd, sround
 from voltaflow.session import scratch_dir
 from voltaflow.sources import bridge, ingest, messages
 from voltaflow.streaming.sliding import sliding_window_stats

@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 
 from voltaflow.operators.alerts import system_events
 from voltaflow.operators.control import control_metrics, flatten_results, grid_interaction
-from voltaflow.operators.dispatch import estimate_load, power_balance, with_tariff
+from voltaflow.operators.dispatch import tariff_load_balance
 from voltaflow.operators.joins import bounded_broadcast
 from voltaflow.functions import constants as C
-from voltaflow.operators.rollups import daily_summary, refresh_daily, upsert_first_last
+from voltaflow.operators.rollups import refresh_daily, upsert_first_last
 from voltaflow.plans.control_plan import DISPATCH_CARRY, requests_from_readings
 from voltaflow.streaming.state import battery_dispatch_stream
 
 
 def control_results_stream(readings: DataFrame, scope: str = "location") -> DataFrame:
     req = requests_from_readings(readings)
-    df = power_balance(estimate_load(with_tariff(req))).select(*DISPATCH_CARRY)
+    df = tariff_load_balance(req).select(*DISPATCH_CARRY)
     df = battery_dispatch_stream(df, scope=scope)
     return flatten_results(control_metrics(grid_interaction(df)))
 

@@ -75,3 +75,18 @@ def read_topic_batch(spark: SparkSession, fmt: str, source: str, schema=None, li
     else:
         df = (r.schema(schema) if schema is not None else r).load(source)
     return df.orderBy(*order).limit(limit) if limit else df
+
+
+def progress_stats(spark: SparkSession, query, topic: str | None = None) -> DataFrame:
+    """Consumption statistics of a running/finished stream, one row per
+    micro-batch: rows, trigger duration and milliseconds per message (the
+    streaming form of the consumption-stats table; progress reports are
+    small driver-side metadata, not data)."""
+    rows = []
+    for p in query.recentProgress:
+        n = int(p.get("numInputRows", 0) or 0)
+        ms = float((p.get("durationMs") or {}).get("triggerExecution", 0) or 0)
+        rows.append((topic or query.name or "stream", int(p.get("batchId", -1)), p.get("timestamp"), n, ms,
+                     ms / n if n else 0.0))
+    return spark.createDataFrame(rows, "topic string, batch_id bigint, start_time string, messages_consumed bigint, "
+                                       "duration_ms double, avg_processing_time_ms double")
