@@ -1,0 +1,23 @@
+"""Source widening: a narrow scan is spread over the cores; a wide one is left alone."""
+
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_MID
+from voltaflow.sources.tables import read_table, widen
+
+
+def test_narrow_scan_is_widened_by_key(spark):
+    target = spark.sparkContext.defaultParallelism
+    raw = read_table(spark, SF_MID, "events")
+    wide = widen(raw, "event_id")
+    if raw.rdd.getNumPartitions() < target:
+        assert wide.rdd.getNumPartitions() == target
+    # same rows, nothing dropped or duplicated
+    assert wide.count() == raw.count()
+    assert wide.select(F.sum("event_id")).first()[0] == raw.select(F.sum("event_id")).first()[0]
+
+
+def test_wide_input_is_unchanged(spark):
+    target = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 1000, 1, target + 2)
+    assert widen(df, "id") is df

@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.sources.tables import read_table
+from voltaflow.sources.tables import read_table, widen
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events")
+    """The ``events`` table, spread over the cores when its scan is narrow
+    (hash of the unique ``event_id``, so the spread is even)."""
+    return widen(read_table(spark, sf_dir, "events"), "event_id")
 
 
 def _k(props):
