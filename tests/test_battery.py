@@ -8,12 +8,12 @@ from voltaflow.operators import dispatch
 from voltaflow.plans import control_plan as P
 
 
-def reference_fold(rows):
+def reference_fold(rows, initial_soc=0.5):
     """Written from the rules: one SOC per key, rows in (ts, id) order."""
     soc = {}
     out = {}
     for key, _ts, eid, bal, price in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
-        s = soc.get(key, 0.5)
+        s = soc.get(key, initial_soc)
         c = d = 0.0
         if bal > 0:
             if s < 0.9 and price < 100:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from voltaflow.functions import constants as C
-from voltaflow.operators.dispatch import _step, battery_key
+from voltaflow.operators.dispatch import _fold_batch, battery_key
 
 
 def battery_dispatch_stream(df: DataFrame, scope: str = "location", order: tuple[str, ...] = ("ts", "event_id"),
@@ -34,14 +36,11 @@ def battery_dispatch_stream(df: DataFrame, scope: str = "location", order: tuple
     def fold(key, pdfs: Iterator[pd.DataFrame], state):
         soc = state.get[0] if state.exists else initial_soc
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(sort_cols, kind="mergesort")
-        bals = pdf["power_balance"].tolist()
-        prices = pdf["electricity_price"].tolist()
-        charge, dis, socs = [], [], []
-        for b, p in zip(bals, prices):
-            c, d, soc = _step(soc, b, p)
-            charge.append(c)
-            dis.append(d)
-            socs.append(soc)
+        # one battery, SOC from the state store: no resets inside the call
+        charge, dis, socs, soc = _fold_batch(
+            pa.array(pdf["power_balance"].to_numpy(dtype="float64")),
+            pa.array(pdf["electricity_price"].to_numpy(dtype="float64")),
+            np.zeros(len(pdf), dtype=bool), None, soc)
         state.update((soc,))
         yield pdf.assign(battery_charge_rate=charge, battery_discharge_rate=dis, soc_after=socs)
 
