@@ -29,25 +29,23 @@ def grid_interaction(df: DataFrame) -> DataFrame:
     Import above 2000 kW sheds min(import - 2000, 0.2 * load); export above
     3000 kW is curtailed to 3000.
     """
+    # one projection of nested expressions (one analysis pass instead of five);
+    # repeated subexpressions are shared by codegen's subexpression elimination
     net = F.col("power_balance") - F.col("battery_charge_rate") + F.col("battery_discharge_rate")
     price = F.col("electricity_price")
-    df = df.withColumn("_net", net)
-    net = F.col("_net")
     imp0 = F.when(net > 0, F.lit(0.0)).otherwise(F.abs(net))
     exp0 = F.when((net > 0) & (price > C.EXPORT_PRICE_ABOVE), net).otherwise(F.lit(0.0))
-    df = df.withColumns({"_imp0": imp0, "_exp0": exp0})
-    imp0, exp0 = F.col("_imp0"), F.col("_exp0")
     shed = F.when(imp0 > C.SHED_IMPORT_ABOVE,
                   F.least(imp0 - F.lit(C.SHED_IMPORT_ABOVE),
                           F.col("estimated_load") * F.lit(C.SHED_LOAD_FRACTION))).otherwise(F.lit(0.0))
     over = exp0 > C.EXPORT_LIMIT_KW
-    df = df.withColumns({
+    return df.withColumns({
         "load_shedding": shed,
         "renewable_curtailment": F.when(over, exp0 - F.lit(C.EXPORT_LIMIT_KW)).otherwise(F.lit(0.0)),
         "grid_export": F.when(over, F.lit(C.EXPORT_LIMIT_KW)).otherwise(exp0),
         "unallocated_surplus": F.when((net > 0) & (price <= C.EXPORT_PRICE_ABOVE), net).otherwise(F.lit(0.0)),
+        "grid_import": imp0 - shed,
     })
-    return df.withColumn("grid_import", imp0 - F.col("load_shedding")).drop("_net", "_imp0", "_exp0")
 
 
 def control_metrics(df: DataFrame) -> DataFrame:
