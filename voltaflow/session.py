@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -28,32 +29,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's checkpoint folder, registered on the SparkContext.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); only
-    when neither is set (local tests) it creates one under the temp folder.
+    A folder the caller registered with ``setCheckpointDir`` wins over the
+    setting ``spark.checkpoint.dir``. Where neither is given, a temporary
+    folder is made for a local master; on a cluster that is an error, because
+    every executor would write to its own disk.
     """
-    root = None
-    try:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # pragma: no cover - conf access varies by deployment
-        root = None
-    try:
-        sc = spark.sparkContext
-        current = sc.getCheckpointDir()
-    except Exception:  # pragma: no cover - e.g. a remote (Connect) session
-        sc, current = None, None
-    if not root:
-        root = current
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir()
+    if root:
+        # Spark adds a folder of its own below the one that was set
+        return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="voltaflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:  # pragma: no cover
-            pass
-    if not current and sc is not None:
-        sc.setCheckpointDir(root)
-    return root
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder for materialised tables under the checkpoint root."""
-    return f"{checkpoint_root(spark).rstrip('/')}/voltaflow/{name}"
+    """A new folder for one materialised table under the checkpoint root.
+
+    Every call gives another folder, so two jobs, or two runs of one job, never
+    write over each other's files.
+    """
+    return f"{checkpoint_root(spark).rstrip('/')}/voltaflow/{name}-{uuid.uuid4().hex}"
