@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltaflow.llm import simhash
+from voltaflow.llm import bpe, simhash
 from voltaflow.sources.tables import read_table
 
 
@@ -13,8 +15,24 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    model = bpe.serialise(bpe.read_ranks(ranks_path))
+    coded = docs.select("doc_id", bpe.encode(F.col("text"), model, pattern).alias("ids"))
+    both = coded.withColumn("raw", bpe.decode(F.col("ids"), model, pattern))
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("raw"), 256).alias("decoded_sha256"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(read_table(spark, sf_dir, "documents"),
+                         public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op6_bpe": op6_bpe,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
