@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import bpe, simhash
+from voltaflow.llm import bpe, pii, simhash
 from voltaflow.sources.tables import read_table
 
 
@@ -30,9 +30,23 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def private_spans(docs: DataFrame) -> DataFrame:
+    found = docs.select("doc_id", pii.find(F.col("text")).alias("found"))
+    s = F.col("found")
+    return found.select(
+        "doc_id", *[pii.count(s, k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.joined(F.filter(s, lambda x: x["base"])), 256).alias("base_sha256"),
+        pii.joined(s).alias("spans"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_spans(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op6_bpe": op6_bpe,
+    "op8_pii": op8_pii,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
