@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import bpe, pii, simhash
+from voltaflow.llm import bpe, pii, simhash, toxicity
 from voltaflow.sources.tables import read_table
 
 
@@ -15,6 +15,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                         toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     model = bpe.serialise(bpe.read_ranks(ranks_path))
     coded = docs.select("doc_id", bpe.encode(F.col("text"), model, pattern).alias("ids"))
@@ -45,6 +53,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_toxicity": op4_toxicity,
     "op6_bpe": op6_bpe,
     "op8_pii": op8_pii,
 }
