@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import bpe, pii, simhash, toxicity
+from voltaflow.llm import bpe, decontaminate, pii, simhash, toxicity
 from voltaflow.sources.tables import read_table
 
 
@@ -51,11 +51,16 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_spans(read_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_toxicity": op4_toxicity,
     "op6_bpe": op6_bpe,
     "op8_pii": op8_pii,
+    "op9_decontamination": op9_decontamination,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
