@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -12,37 +13,38 @@ from voltaflow.llm import bpe, queries
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 RANKS = bpe.read_ranks(PATH)
 MODEL = bpe.serialise(RANKS)
-CODEC = bpe.Codec(MODEL, public_tokenizers.PATTERN)
+ENCODER = bpe.Encoder(MODEL, public_tokenizers.PATTERN)
+TABLE = bpe.token_bytes(MODEL)
 OWN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
 
 @given(st.text(max_size=80) | st.text(alphabet="ab \n'\t1ßé中🙂st.ll", max_size=200))
 @settings(max_examples=400, deadline=None)
 def test_same_ids_as_the_reference_encoder_and_exact_round_trip(text):
-    ids = CODEC.encode(text)
+    ids = ENCODER.encode(text)
     assert ids.tolist() == OWN.encode_ordinary(text)
-    assert CODEC.decode(ids) == text.encode()
+    assert bpe.decode_ids(ids, TABLE) == text.encode()
 
 
 def test_every_token_of_the_vocabulary_and_long_runs():
     for text in ("x" * 30_000, " " * 30_000, "ab1 " * 600_000, "<|endoftext|>", "<unk>"):
-        ids = CODEC.encode(text)
+        ids = ENCODER.encode(text)
         assert ids.tolist() == OWN.encode_ordinary(text)
-        assert CODEC.decode(ids) == text.encode()
+        assert bpe.decode_ids(ids, TABLE) == text.encode()
     for token, rank in list(RANKS.items())[::37]:
-        assert CODEC.decode(__import__("numpy").array([rank])) == token
+        assert bpe.decode_ids(np.array([rank]), TABLE) == token
 
 
 def test_gaps_in_ranks():
-    codec = bpe.Codec(bpe.serialise({bytes([b]): b for b in range(256)} | {b"ab": 300}), r"\S+|\s+")
-    assert codec.encode("abb").tolist() == [300, 98]
+    encoder = bpe.Encoder(bpe.serialise({bytes([b]): b for b in range(256)} | {b"ab": 300}), r"\S+|\s+")
+    assert encoder.encode("abb").tolist() == [300, 98]
 
 
 def test_memory_limit_does_not_change_results(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
-    codec = bpe.Codec(MODEL, public_tokenizers.PATTERN)
+    encoder = bpe.Encoder(MODEL, public_tokenizers.PATTERN)
     for text in ("one two three four five", "six one seven two", "one two three nine ten eleven"):
-        assert codec.encode(text).tolist() == OWN.encode_ordinary(text)
+        assert encoder.encode(text).tolist() == OWN.encode_ordinary(text)
 
 
 def expected(text):

@@ -24,7 +24,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Pre-tokens a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Pre-tokens of one text that are held at once.
 _SLICE = 1 << 18
 _TO_CHAR = {b: chr(0x100 + b) for b in range(256)}
@@ -65,8 +65,22 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
     return model.SerializeToString()
 
 
-class Codec:
-    """Encoder and decoder of one worker."""
+def token_bytes(model: bytes) -> list[bytes]:
+    """The inverse mapping: bytes by rank. Unused pieces decode to nothing;
+    they are never encoded."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    pieces = (sp.id_to_piece(k) for k in range(1, sp.get_piece_size()))
+    return [b"" if p[0] == "<" else bytes(map(_FROM_CHAR.__getitem__, map(ord, p))) for p in pieces]
+
+
+def decode_ids(ids: np.ndarray, table: list[bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, ids.tolist()))
+
+
+class Encoder:
+    """Encoder of one worker."""
 
     def __init__(self, model: bytes, pattern: str):
         import regex
@@ -74,10 +88,7 @@ class Codec:
 
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.find = regex.compile(pattern)
-        pieces = [self.sp.id_to_piece(k) for k in range(1, self.sp.get_piece_size())]
-        # unused pieces decode to nothing; they are never encoded
-        self.bytes_of = [b"" if p[0] == "<" else bytes(map(_FROM_CHAR.__getitem__, map(ord, p))) for p in pieces]
-        self.whole = {b: k for k, b in enumerate(self.bytes_of) if b}
+        self.whole = {b: k for k, b in enumerate(token_bytes(model)) if b}
         self.known: dict[str, tuple[int, ...]] = {}
 
     def _learn(self, tokens: set[str]) -> None:
@@ -108,33 +119,30 @@ class Codec:
                 out.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, part)), np.int32))
         return np.concatenate(out) if out else np.empty(0, np.int32)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
-
 
 def encode(text: Column, model: bytes, pattern: str) -> Column:
     """Token ids (array of int) of a text column, without special tokens. A
     null text counts as empty, an empty one has no ids."""
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(model, pattern)
+        encoder = Encoder(model, pattern)
         for batch in batches:
-            got = [codec.encode(t.as_py()) for t in batch]
+            got = [encoder.encode(t.as_py()) for t in batch]
             ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
             flat = np.concatenate([np.empty(0, np.int32), *got])
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
     return ids(text)
 
 
-def decode(ids: Column, model: bytes, pattern: str) -> Column:
+def decode(ids: Column, model: bytes) -> Column:
     """Bytes of an id column, by the inverse mapping. Null ids give null bytes."""
     @F.arrow_udf("binary")
     def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(model, pattern)
+        table = token_bytes(model)
         for batch in batches:
             flat = batch.flatten().to_numpy(zero_copy_only=False)
             size = np.nan_to_num(np.array([len(x) if x.is_valid else 0 for x in batch], np.int64))
             end = np.cumsum(size)
-            yield pa.array([codec.decode(flat[e - n:e]) if x.is_valid else None
+            yield pa.array([decode_ids(flat[e - n:e], table) if x.is_valid else None
                             for x, e, n in zip(batch, end, size)], pa.binary())
     return raw(ids)

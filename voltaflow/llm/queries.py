@@ -26,7 +26,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     model = bpe.serialise(bpe.read_ranks(ranks_path))
     coded = docs.select("doc_id", bpe.encode(F.col("text"), model, pattern).alias("ids"))
-    both = coded.withColumn("raw", bpe.decode(F.col("ids"), model, pattern))
+    both = coded.withColumn("raw", bpe.decode(F.col("ids"), model))
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
