@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import bpe, decontaminate, pii, simhash, toxicity
+from voltaflow.llm import bpe, decontaminate, pii, simhash, toxicity, warc
 from voltaflow.sources.tables import read_table
 
 
@@ -15,6 +15,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def archived_pages(pages: DataFrame) -> DataFrame:
+    manifest, folder = warc.archive(pages)
+    return warc.read(manifest, folder).select(
+        warc.key_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.key_of("refers_to").alias("refers_to"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
@@ -57,6 +68,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_warc": op3_warc,
     "op4_toxicity": op4_toxicity,
     "op6_bpe": op6_bpe,
     "op8_pii": op8_pii,
@@ -64,4 +76,16 @@ QUERIES = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op3_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        q AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS largest FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to
+        FROM q""",
+}
