@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import bpe, decontaminate, pii, simhash, toxicity, warc
+from voltaflow.llm import bpe, decontaminate, neighbours, pii, simhash, toxicity, warc
 from voltaflow.sources.tables import read_table
 
 
@@ -15,6 +15,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 def archived_pages(pages: DataFrame) -> DataFrame:
     manifest, folder = warc.archive(pages)
     return warc.read(manifest, folder).select(
@@ -68,6 +73,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_neighbours": op2_neighbours,
     "op3_warc": op3_warc,
     "op4_toxicity": op4_toxicity,
     "op6_bpe": op6_bpe,
