@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import bpe, decontaminate, neighbours, pii, simhash, toxicity, warc
+from voltaflow.llm import bpe, decontaminate, neighbours, pii, sharding, simhash, toxicity, warc
 from voltaflow.sources.tables import read_table
 
 
@@ -39,6 +39,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read_table(spark, sf_dir, "documents"))
+
+
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     model = bpe.serialise(bpe.read_ranks(ranks_path))
     coded = docs.select("doc_id", bpe.encode(F.col("text"), model, pattern).alias("ids"))
@@ -76,6 +80,7 @@ QUERIES = {
     "op2_neighbours": op2_neighbours,
     "op3_warc": op3_warc,
     "op4_toxicity": op4_toxicity,
+    "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
@@ -94,4 +99,21 @@ ORACLE = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to
         FROM q""",
+    # keys of documents are unique, so no overflow shards arise
+    "op5_sharding": f"""
+        WITH d AS (
+            SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS bytes,
+                   ('0x' || substr(md5(coalesce('=' || doc_id, 'null')), 1, 15))::BIGINT AS h
+            FROM documents),
+        p AS (
+            SELECT doc_id, bytes, k::INT AS depth, h >> (60 - k)::INT AS prefix, sum(bytes) OVER (
+                PARTITION BY k, h >> (60 - k)::INT) AS total
+            FROM d, generate_series(0, 60) AS g(k)),
+        f AS (
+            SELECT doc_id, bytes, depth, prefix, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS nth
+            FROM p WHERE total <= {sharding.SHARD_BYTES} OR depth = 60)
+        SELECT doc_id, bytes, depth, bytes > {sharding.SHARD_BYTES} AS oversize,
+               CASE WHEN depth = 0 THEN '*' ELSE right(lpad(bin(prefix), 64, '0'), depth) END
+               || CASE WHEN bytes > {sharding.SHARD_BYTES} THEN '+' ELSE '' END AS shard
+        FROM f WHERE nth = 1""",
 }
