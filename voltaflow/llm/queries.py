@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import bpe, decontaminate, neighbours, pii, sharding, simhash, toxicity, warc
+from voltaflow.llm import bpe, chat, decontaminate, neighbours, pii, sharding, simhash, toxicity, warc
 from voltaflow.sources.tables import read_table
 
 
@@ -58,6 +58,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link(chat.from_turns(read_table(spark, sf_dir, "conversations")), chat.TOOLS)
+
+
 def private_spans(docs: DataFrame) -> DataFrame:
     found = docs.select("doc_id", pii.find(F.col("text")).alias("found"))
     s = F.col("found")
@@ -82,6 +86,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
+    "op7_chat": op7_chat,
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
 }
