@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import bpe, chat, decontaminate, neighbours, pii, sharding, simhash, toxicity, warc
+from voltaflow.llm import bpe, chat, decontaminate, licences, neighbours, pii, sharding, simhash, toxicity, warc
 from voltaflow.sources.tables import read_table
 
 
@@ -79,6 +79,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", licences.scan(F.col("text"), licences.train(docs)).alias("found"))
+    return found.select("doc_id", F.size("found").alias("n_found"),
+                        F.array_join(F.sort_array(F.array_distinct(F.col("found.family"))), ",").alias("families"),
+                        F.array_max("found.probability").alias("probability"),
+                        F.col("found.start").alias("starts"), F.col("found.end").alias("ends"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_neighbours": op2_neighbours,
@@ -89,6 +98,7 @@ QUERIES = {
     "op7_chat": op7_chat,
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
+    "op10_licences": op10_licences,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
