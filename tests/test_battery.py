@@ -58,26 +58,79 @@ def test_resume_from_state_equals_full_run(spark):
 
 def test_soc_may_go_below_zero_unclamped(spark):
     # discharging 5000*soc ignores the efficiency loss: soc goes slightly negative
-    c, d, s = dispatch._step(0.25, -2000.0, 150.0)
-    assert d == 1000.0 and s == 0.25 - 1000.0 / 4750.0
-    c, d, s = dispatch._step(0.21, -2000.0, 150.0)
-    assert d == 1000.0 and s < 0
+    df = _rows(spark, [("a", 0, k, -2000.0, 150.0) for k in range(4)])
+    got = [r.soc_after for r in dispatch.battery_dispatch(df, initial_soc=0.25).orderBy("event_id").collect()]
+    assert got[0] == 0.25 - 1000.0 / 4750.0
+    low = [r.soc_after for r in dispatch.battery_dispatch(df, initial_soc=0.2001).orderBy("event_id").collect()]
+    assert low[0] < 0
 
 
-@pytest.mark.parametrize("scope,rows", [("engine", 300), ("location", 100), ("location", 5000)])
-def test_chunked_is_bit_exact(spark, scope, rows):
-    """Chunk-parallel fold (converging or falling back) equals the serial fold."""
-    pre = _pre(spark)
-    a = {r.event_id: (r.battery_charge_rate, r.battery_discharge_rate, r.soc_after)
-         for r in dispatch.battery_dispatch(pre, scope=scope, method="serial").collect()}
-    b = {r.event_id: (r.battery_charge_rate, r.battery_discharge_rate, r.soc_after)
-         for r in dispatch.battery_dispatch_chunked(pre, scope=scope, chunk_rows=rows).collect()}
-    assert a == b
+def _rows(spark, rows):
+    """(key, minute, id, balance, price); a null minute is a null time."""
+    df = spark.createDataFrame(rows, "location string, minute int, event_id long, power_balance double, "
+                                     "electricity_price double")
+    return df.withColumn("ts", F.expr("timestamp_ntz'2024-01-15 00:00:00' + make_dt_interval(0, 0, minute, 0)")).drop("minute")
+
 
+def _result(df):
+    return {r.event_id: (r.battery_charge_rate, r.battery_discharge_rate, r.soc_after) for r in df.collect()}
 
-def test_auto_picks_chunked_for_hot_battery(spark):
+
+@pytest.mark.parametrize("scope,rows", [("engine", 300), ("location", 100), ("location", 5000)])
+def test_ranges_are_bit_exact(spark, scope, rows):
     pre = _pre(spark)
-    a = {r.event_id: r.soc_after for r in dispatch.battery_dispatch(pre, scope="engine", method="serial").collect()}
-    b = {r.event_id: r.soc_after for r in dispatch.battery_dispatch(pre, scope="engine", method="auto",
-                                                                     hot_rows=100, chunk_rows=250).collect()}
-    assert a == b and dispatch.LAST_CHUNKED_ROUNDS != 0
+    stats = {}
+    a = _result(dispatch.battery_dispatch(pre, scope=scope, method="serial"))
+    b = _result(dispatch.battery_dispatch(pre, scope=scope, chunk_rows=rows, stats=stats))
+    assert a == b
+    assert stats["method"] == "ranged"
+    if scope == "engine":
+        assert stats["partitions"] > 1 and stats["continued"] == stats["partitions"] - 1 and stats["rounds"] >= 1
+
+
+def test_rows_with_null_key_or_time_stay(spark):
+    rows = [(k, m, n, b, 60.0 if n % 2 else 150.0) for n, (k, m, b) in enumerate(
+        (k, m, b) for k in ("a", None, "b") for m in (None, None, 3, 1, 2, 9) for b in (900.0, -700.0, 40.0))]
+    df = _rows(spark, rows)
+    serial = _result(dispatch.battery_dispatch(df, method="serial"))
+    default = _result(dispatch.battery_dispatch(df))
+    tiny = _result(dispatch.battery_dispatch(df, chunk_rows=4))
+    assert len(serial) == len(rows) and serial == default == tiny
+
+
+def test_one_battery_on_one_day_is_cut_into_many_ranges(spark):
+    rows = [("a", m, m, 3000.0 * (-1) ** (m // 7), 60.0 if m % 3 else 150.0) for m in range(967)]
+    df, stats = _rows(spark, rows), {}
+    ranged = _result(dispatch.battery_dispatch(df, chunk_rows=50, stats=stats))
+    assert 15 <= stats["partitions"] <= 25
+    assert ranged == _result(dispatch.battery_dispatch(df, method="serial"))
+
+
+def test_batteries_that_never_saturate_resolve_range_by_range(spark):
+    # small alternating steps: guessed starts never merge with the true ones
+    rows = [(k, m, n, 1.0 if m % 2 else -1.0, 60.0 if m % 2 else 150.0)
+            for n, (k, m) in enumerate((k, m) for k in ("a", "b") for m in range(120))]
+    df, stats = _rows(spark, rows), {}
+    ranged = _result(dispatch.battery_dispatch(df, chunk_rows=20, initial_soc=0.37, stats=stats))
+    assert ranged == _result(dispatch.battery_dispatch(df, method="serial", initial_soc=0.37))
+    assert stats["rounds"] > 1
+    state = dispatch.battery_state(dispatch.battery_dispatch(df.where("event_id < 60 or event_id between 120 and 180")))
+    rest = df.where("event_id between 60 and 119 or event_id > 180")
+    whole = _result(dispatch.battery_dispatch(df))
+    assert _result(dispatch.battery_dispatch(rest, initial_state=state, chunk_rows=15)) == {
+        k: v for k, v in whole.items() if 60 <= k < 120 or k > 180}
+
+
+def test_load_noise_has_the_sigma_of_its_band(spark):
+    mean = {(r.location, r.hour): r.base_load for r in dispatch.load_profile_dim(spark).collect()}
+    draws = {}
+    for seed in range(60):
+        for r in dispatch.load_profile_dim(spark, seed).collect():
+            draws.setdefault((r.location, r.hour), []).append(r.base_load - mean[r.location, r.hour])
+    sd = {k: (sum(x * x for x in v) / len(v)) ** 0.5 for k, v in draws.items()}
+    for key, want in {("MicroGrid-03", 20): 100, ("MicroGrid-03", 12): 50, ("MicroGrid-03", 2): 30, ("MicroGrid-01", 12): 100,
+                      ("MicroGrid-01", 2): 50, ("MicroGrid-02", 5): 200, ("MicroGrid-03", 8): 100}.items():
+        assert 0.6 * want < sd[key] < 1.5 * want, key
+    again = {(r.location, r.hour): r.base_load for r in dispatch.load_profile_dim(spark.newSession(), 3).repartition(5).collect()}
+    assert again == {k: mean[k] + v[3] for k, v in draws.items()} or all(
+        abs(again[k] - mean[k] - v[3]) < 1e-9 for k, v in draws.items())

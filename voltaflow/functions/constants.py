@@ -48,7 +48,9 @@ LOAD_PROFILE_BANDS = {
     "MicroGrid-03": (((7, 9), 1500.0), ((18, 22), 1500.0), ((10, 17), 600.0)),
 }
 LOAD_PROFILE_ELSE = {"MicroGrid-01": 800.0, "MicroGrid-02": 3000.0, "MicroGrid-03": 400.0}
-LOAD_PROFILE_SIGMA = {"MicroGrid-01": (100.0, 50.0), "MicroGrid-02": (200.0,), "MicroGrid-03": (100.0, 50.0, 30.0)}
+# standard deviations in the order of the bands, the last for all other hours
+LOAD_PROFILE_SIGMA = {"MicroGrid-01": (100.0, 50.0), "MicroGrid-02": (200.0,),
+                      "MicroGrid-03": (100.0, 100.0, 50.0, 30.0)}
 DEFAULT_LOAD_KW = 1000.0
 # weekend factor, tested by substring in this order
 WEEKEND_FACTORS = (("MicroGrid-01", 0.3), ("MicroGrid-02", 0.5), ("MicroGrid-03", 1.2))

@@ -1,7 +1,7 @@
 """The control plan: readings -> requests -> dispatch -> results.
 
-One logical plan with one shuffle (the battery key); everything else is
-narrow and fuses into whole-stage codegen around the Arrow fold.
+One shuffle (the ranges of battery and time, which are materialised); everything
+else is narrow and fuses into whole-stage codegen around the Arrow fold.
 """
 
 from __future__ import annotations
@@ -27,12 +27,12 @@ def requests_from_readings(readings: DataFrame) -> DataFrame:
 
 
 def dispatch_requests(requests: DataFrame, scope: str = "location", profile_df: DataFrame | None = None,
-                      initial_state: DataFrame | None = None, method: str = "auto", **dispatch_opts) -> DataFrame:
+                      initial_state: DataFrame | None = None, **dispatch_opts) -> DataFrame:
     """tariff -> load -> balance -> battery fold -> grid -> metrics (wide frame)."""
     df = tariff_load_balance(requests, profile_df)
     # the Python fold is opaque to column pruning: ship only what later steps read
     df = df.select(*DISPATCH_CARRY)
-    df = battery_dispatch(df, scope=scope, initial_state=initial_state, method=method, **dispatch_opts)
+    df = battery_dispatch(df, scope=scope, initial_state=initial_state, **dispatch_opts)
     return control_metrics(grid_interaction(df))
 
 
@@ -44,32 +44,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests_from_readings(power_readings(spark, sf_dir))
 
 
-_ROW_BOUNDS: dict[tuple[str, str], int] = {}
-
-
-def source_rows(spark: SparkSession, sf_dir: str) -> int:
-    """Row count of the source table (answered from Parquet footers): an upper
-    bound on the rows of any battery, so the hot-battery check can be skipped.
-
-    Counted once per application and set of input files (a digest of the
-    listing; Spark writes new file names on every write). The bound only
-    chooses between two exact plans, so it can never change a result.
-    """
-    import hashlib
-    from voltaflow.sources.tables import read_table
-    df = read_table(spark, sf_dir, "events")
-    digest = hashlib.sha256("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
-    key = (spark.sparkContext.applicationId, digest)
-    if key not in _ROW_BOUNDS:
-        _ROW_BOUNDS[key] = df.count()
-    return _ROW_BOUNDS[key]
-
-
-def dispatched(spark: SparkSession, sf_dir: str, scope: str = "location", method: str = "auto",
-               **dispatch_opts) -> DataFrame:
-    if method == "auto" and "rows_upper_bound" not in dispatch_opts:
-        dispatch_opts["rows_upper_bound"] = source_rows(spark, sf_dir)
-    return dispatch_requests(requests(spark, sf_dir), scope=scope, method=method, **dispatch_opts)
+def dispatched(spark: SparkSession, sf_dir: str, scope: str = "location", **dispatch_opts) -> DataFrame:
+    return dispatch_requests(requests(spark, sf_dir), scope=scope, **dispatch_opts)
 
 
 def control_results(spark: SparkSession, sf_dir: str, scope: str = "location") -> DataFrame:

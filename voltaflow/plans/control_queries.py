@@ -110,7 +110,7 @@ def q_battery_dispatch_engine(spark, sf):
 
 def q_battery_dispatch_chunked(spark, sf):
     """Chunk-parallel exact fold forced on (small chunks), one shared battery."""
-    return P.dispatched(spark, sf, scope="engine", method="chunked", chunk_rows=2500).select(
+    return P.dispatched(spark, sf, scope="engine", chunk_rows=2500).select(
         "event_id", "location", "battery_charge_rate", "battery_discharge_rate", "soc_after")
 
 
