@@ -29,11 +29,3 @@ def test_wide_input_is_unchanged(spark):
     target = spark.sparkContext.defaultParallelism
     df = spark.range(0, 1000, 1, target + 2)
     assert widen(df, "id") is df
-
-
-def test_source_row_bound_is_the_row_count_per_input(spark):
-    from tests.conftest import SF_SMALL
-    from voltaflow.plans import control_plan as P
-    for sf in (SF_MID, SF_SMALL, SF_MID):  # cached per set of input files
-        assert P.source_rows(spark, sf) == read_table(spark, sf, "events").count()
-    assert P.source_rows(spark, SF_MID) != P.source_rows(spark, SF_SMALL)

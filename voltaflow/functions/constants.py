@@ -9,6 +9,8 @@ MAX_POWER_KW = 10000.0
 REQUIRED_INGEST_FIELDS = ("solar_power", "wind_power", "location")
 REQUIRED_VALIDATION_FIELDS = ("solar_power", "wind_power", "location", "timestamp")
 MSG_MISSING = "Missing required field: {}"
+MSG_NOT_NUMERIC = "Not numeric: {}"
+MSG_BAD_TIME = "Unreadable timestamp"
 MSG_SOLAR_NEGATIVE = "Solar power cannot be negative"
 MSG_SOLAR_OVER = "Solar power exceeds maximum capacity"
 MSG_WIND_NEGATIVE = "Wind power cannot be negative"
@@ -78,8 +80,6 @@ EXPORT_PRICE_FACTOR = 0.9
 HOURLY_INTERVAL_H = 1 / 12     # 5-minute readings, hourly table
 DAILY_INTERVAL_H = 0.0833      # 5-minute readings, daily table
 
-POWER_SCALE = 4                # power readings carry at most 4 decimals of kW
-SUM_SCALE = 6                  # energy and money totals accumulate in fixed point (1e-6 units)
 
 # --- fixed values: alert rules -------------------------------------------
 LOW_EFFICIENCY_BELOW = 0.5
@@ -104,7 +104,6 @@ SOLAR_SOURCE_FIELDS = (
     ("지역", "region"),
     ("태양광 발전량(MWh)", "solar_generation_mwh"),
 )
-MWH_SCALE = 2               # generation is reported to 0.01 MWh
 DAYLIGHT_FROM_HOUR = 6
 DAYLIGHT_TO_HOUR = 18
 HOUR_CATEGORIES = ((6, "dawn"), (12, "morning"), (18, "afternoon"))  # hour < bound

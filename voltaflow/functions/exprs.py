@@ -125,39 +125,6 @@ def is_finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
 
 
-def round_agg(c: Column, places: int = 4) -> Column:
-    """Presentation rounding for floating aggregates (order-independent digits)."""
-    return F.round(c, places)
-
-
-def exact_sum(c: Column, scale: int | None) -> Column:
-    """Sum that does not depend on partitioning or row order.
-
-    With ``scale`` (values known to carry at most ``scale`` decimals, e.g.
-    MWh reported to 0.01) the sum is accumulated as DECIMAL(38, scale) and
-    returned as double; ``None`` is a plain double sum.
-    """
-    if scale is None:
-        return F.sum(c)
-    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
-
-
-def exact_avg(c: Column, scale: int | None) -> Column:
-    if scale is None:
-        return F.avg(c)
-    return F.try_divide(exact_sum(c, scale), F.count(c).cast("double"))
-
-
-def exact_stddev_samp(c: Column, scale: int | None) -> Column:
-    """Sample standard deviation from exact sums: sqrt((n*S2 - S1^2) / (n*(n-1)))."""
-    if scale is None:
-        return F.stddev_samp(c)
-    dec = c.cast(f"decimal(38,{scale})")
-    n = F.count(c)
-    num = (F.sum(dec * dec) * n - F.sum(dec) * F.sum(dec)).cast("double")
-    return F.when(n > 1, F.sqrt(num / (n.cast("double") * (n - 1).cast("double"))))
-
-
 def hour_floor(ts: Column) -> Column:
     """Wall-clock hour start of a TIMESTAMP_NTZ, independent of the session time zone."""
     return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))

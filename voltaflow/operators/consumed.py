@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltaflow.functions import constants as C
-from voltaflow.functions.exprs import exact_avg
 
 LOG_KEY = ("topic", "partition", "offset")
 LOG_COLUMNS = ("timestamp", "key", "transaction_date", "transaction_hour", "region", "solar_generation_mwh")
@@ -15,30 +14,30 @@ LOG_COLUMNS = ("timestamp", "key", "transaction_date", "transaction_hour", "regi
 def consumed_dedup(delivered: DataFrame, arrival: str = "arrival") -> DataFrame:
     """First delivery per (topic, partition, offset) wins (INSERT OR IGNORE).
 
-    A partial+final ``min_by`` aggregation: duplicates of a hot key are
-    combined map-side, never gathered into one task. ``consumed_at`` is the
-    first arrival's message time (deterministic).
+    One exchange on the key; before it, each task keeps the first of its own
+    rows per key (window group limit), so a hot key is cut down early.
+    ``consumed_at`` is the first arrival's message time (deterministic); equal
+    arrivals are told apart by their content.
     """
-    first = F.min_by(F.struct(*LOG_COLUMNS, F.col(arrival).alias("_arrival")), F.col(arrival))
-    return (delivered.groupBy(*LOG_KEY).agg(first.alias("_f"))
-            .select(*LOG_KEY, "_f.*")
-            .withColumn("consumed_at", F.col("timestamp"))
-            .drop("_arrival"))
+    columns = [*LOG_KEY, *LOG_COLUMNS]
+    first = F.row_number().over(Window.partitionBy(*LOG_KEY).orderBy(arrival, F.xxhash64(*LOG_COLUMNS)))
+    return (delivered.withColumn("_nth", first).where(F.col("_nth") == 1).select(*columns)
+            .withColumn("consumed_at", F.col("timestamp")))
 
 
-def consumed_totals(log: DataFrame, scale: int | None = C.MWH_SCALE) -> DataFrame:
+def consumed_totals(log: DataFrame) -> DataFrame:
     return log.agg(F.count(F.lit(1)).alias("messages"),
                    F.countDistinct("region").alias("regions"),
-                   exact_avg(F.col("solar_generation_mwh"), scale).alias("avg_generation"),
+                   F.avg(F.col("solar_generation_mwh")).alias("avg_generation"),
                    F.max("solar_generation_mwh").alias("max_generation"),
                    F.min("consumed_at").alias("first_consumed"),
                    F.max("consumed_at").alias("last_consumed"))
 
 
-def top_regions(log: DataFrame, k: int = 5, scale: int | None = C.MWH_SCALE) -> DataFrame:
+def top_regions(log: DataFrame, k: int = 5) -> DataFrame:
     return (log.filter(F.col("solar_generation_mwh").isNotNull()).groupBy("region")
             .agg(F.count(F.lit(1)).alias("messages"),
-                 exact_avg(F.col("solar_generation_mwh"), scale).alias("avg_generation"))
+                 F.avg(F.col("solar_generation_mwh")).alias("avg_generation"))
             .orderBy(F.desc("avg_generation"), "region").limit(k))
 
 

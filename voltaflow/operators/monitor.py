@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltaflow.functions import constants as C
-from voltaflow.functions.exprs import exact_avg, exact_sum
 from voltaflow.operators.joins import bounded_broadcast
 
 
@@ -14,6 +13,8 @@ def _as_of(df: DataFrame, time_col: str, as_of) -> Column:
     if as_of is None:
         # scalar subquery: evaluated once, no join, no driver round trip
         return df.select(F.max(time_col)).scalar()
+    if isinstance(as_of, Column):
+        return as_of
     return F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else F.lit(as_of)
 
 
@@ -25,7 +26,7 @@ def recent_by_location(results: DataFrame, as_of=None, time_col: str = "timestam
     return (last_hour(results, time_col, as_of).groupBy("location")
             .agg(F.count(F.lit(1)).alias("count"),
                  F.avg("efficiency_score").alias("avg_efficiency"),
-                 exact_avg(F.col("estimated_cost"), C.SUM_SCALE).alias("avg_cost"),
+                 F.avg(F.col("estimated_cost")).alias("avg_cost"),
                  F.max(time_col).alias("last_update")))
 
 
@@ -60,20 +61,20 @@ def grid_status(dim: DataFrame, results: DataFrame) -> DataFrame:
     return grids.join(F.broadcast(latest_per_location(known)), "location", "left")
 
 
-def control_overall_stats(results: DataFrame, scale: int | None = C.POWER_SCALE) -> DataFrame:
+def control_overall_stats(results: DataFrame) -> DataFrame:
     return results.agg(F.count(F.lit(1)).alias("total_records"),
-                       exact_avg(F.col("solar_power"), scale).alias("avg_solar"),
-                       exact_avg(F.col("wind_power"), scale).alias("avg_wind"),
+                       F.avg(F.col("solar_power")).alias("avg_solar"),
+                       F.avg(F.col("wind_power")).alias("avg_wind"),
                        F.avg("efficiency_score").alias("avg_efficiency"),
-                       exact_sum(F.col("estimated_cost"), C.SUM_SCALE).alias("total_cost"),
+                       F.sum(F.col("estimated_cost")).alias("total_cost"),
                        F.min("timestamp").alias("first_record"),
                        F.max("timestamp").alias("last_record"))
 
 
-def control_hour_pattern(results: DataFrame, scale: int | None = C.POWER_SCALE) -> DataFrame:
+def control_hour_pattern(results: DataFrame) -> DataFrame:
     return (results.groupBy(F.hour("timestamp").alias("hour"))
-            .agg(exact_avg(F.col("solar_power"), scale).alias("avg_solar"),
-                 exact_avg(F.col("wind_power"), scale).alias("avg_wind"),
+            .agg(F.avg(F.col("solar_power")).alias("avg_solar"),
+                 F.avg(F.col("wind_power")).alias("avg_wind"),
                  F.avg("efficiency_score").alias("avg_efficiency"))
             .orderBy("hour"))
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltaflow.functions import constants as C
-from voltaflow.functions.exprs import exact_avg, exact_sum, hour_floor
+from voltaflow.functions.exprs import hour_floor
 
 # columns an upsert of a control result may change; all others keep first-seen values
 RESULT_UPDATABLE = ("timestamp", "efficiency_score", "estimated_cost")
@@ -19,47 +19,44 @@ def upsert_first_last(df: DataFrame, key: str | list[str], seq: str | list[str],
     """Collapse re-deliveries: ``last_cols`` from the latest delivery (by ``seq``),
     every other column from the first one.
 
-    A single partial+final hash aggregation (``min_by``/``max_by``), so a hot
-    key is pre-combined map-side instead of being gathered into one task.
+    One exchange and one sort on the key: the first row is kept, and the last
+    values come from the same window. Equal sequences are told apart by content.
     """
     keys = [key] if isinstance(key, str) else list(key)
     seqs = [seq] if isinstance(seq, str) else list(seq)
-    order = F.struct(*seqs)
-    first_cols = [c for c in df.columns if c not in keys and c not in last_cols and c not in seqs]
-    agg = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*first_cols), order).alias("_first"),
-        F.max_by(F.struct(*last_cols), order).alias("_last"),
-    )
-    out = agg.select(*keys, "_first.*", "_last.*")
-    return out.select(*[c for c in df.columns if c not in seqs])
+    w = Window.partitionBy(*keys).orderBy(*seqs, F.xxhash64(*[c for c in df.columns if c not in keys]))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = df.withColumn("_nth", F.row_number().over(w)).withColumns(
+        {f"_last_{c}": F.last(c).over(whole) for c in last_cols})
+    return out.where(F.col("_nth") == 1).select(*[
+        (F.col(f"_last_{c}").alias(c) if c in last_cols else F.col(c)) for c in df.columns if c not in seqs])
 
 
 def hourly_aggregates(results: DataFrame, time_col: str = "timestamp",
-                      hours_per_reading: float = C.HOURLY_INTERVAL_H, dedupe: bool = False,
-                      scale: int | None = C.POWER_SCALE, sum_scale: int | None = C.SUM_SCALE) -> DataFrame:
+                      hours_per_reading: float = C.HOURLY_INTERVAL_H, dedupe: bool = False) -> DataFrame:
     """Per (location, hour): mean powers/efficiency, energy sums (kW x h per
     reading), unscaled cost sum and record count.
 
-    ``dedupe=True`` collapses re-delivered results first (the stored table
-    keeps one row per result_id); ``False`` matches per-message accumulation.
+    ``dedupe=True`` collapses re-delivered results first as the stored table does
+    (``upsert_first_last`` by time); ``False`` matches per-message accumulation.
     """
     if dedupe:
-        results = results.dropDuplicates(["result_id"])
+        results = upsert_first_last(results.withColumn("_at", F.col(time_col)), "result_id", "_at")
     h = F.lit(hours_per_reading)
 
     def energy(c):  # sum(kW) x hours per reading, the sum in fixed point (order-independent)
-        return exact_sum(F.col(c), sum_scale) * h
+        return F.sum(F.col(c)) * h
 
     return (results.groupBy("location", hour_floor(F.col(time_col)).alias("hour_timestamp"))
-            .agg(exact_avg(F.col("solar_power"), scale).alias("avg_solar_power"),
-                 exact_avg(F.col("wind_power"), scale).alias("avg_wind_power"),
+            .agg(F.avg(F.col("solar_power")).alias("avg_solar_power"),
+                 F.avg(F.col("wind_power")).alias("avg_wind_power"),
                  energy("total_power").alias("total_energy_generated"),
                  energy("battery_charge_rate").alias("total_battery_charged"),
                  energy("battery_discharge_rate").alias("total_battery_discharged"),
                  energy("grid_import").alias("total_grid_import"),
                  energy("grid_export").alias("total_grid_export"),
                  F.avg("efficiency_score").alias("avg_efficiency_score"),
-                 exact_sum(F.col("estimated_cost"), sum_scale).alias("total_cost"),
+                 F.sum(F.col("estimated_cost")).alias("total_cost"),
                  F.count(F.lit(1)).alias("record_count")))
 
 
@@ -74,7 +71,7 @@ def _day_filter(df: DataFrame, time_col: str, dates) -> DataFrame:
 
 
 def daily_summary(results: DataFrame, time_col: str = "timestamp", dates=None,
-                  hours_per_reading: float = C.DAILY_INTERVAL_H, sum_scale: int | None = C.SUM_SCALE) -> DataFrame:
+                  hours_per_reading: float = C.DAILY_INTERVAL_H) -> DataFrame:
     """Per (location, date): energy sums, efficiency avg/max/min, cost, peak/min power.
 
     ``dates`` restricts to given days with half-open ranges on the raw
@@ -86,7 +83,7 @@ def daily_summary(results: DataFrame, time_col: str = "timestamp", dates=None,
     null = F.lit(None).cast("double")
 
     def energy(c):
-        return exact_sum(F.col(c), sum_scale) * h
+        return F.sum(F.col(c)) * h
 
     return (df.groupBy("location", F.to_date(F.col(time_col)).alias("date"))
             .agg(energy("solar_power").alias("total_solar_energy"),
@@ -97,7 +94,7 @@ def daily_summary(results: DataFrame, time_col: str = "timestamp", dates=None,
                  F.avg("efficiency_score").alias("avg_efficiency_score"),
                  F.max("efficiency_score").alias("max_efficiency_score"),
                  F.min("efficiency_score").alias("min_efficiency_score"),
-                 exact_sum(F.col("estimated_cost"), sum_scale).alias("total_cost"),
+                 F.sum(F.col("estimated_cost")).alias("total_cost"),
                  F.max("total_power").alias("peak_power"),
                  F.min("total_power").alias("min_power"))
             .withColumn("total_energy_consumed", null)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltaflow.functions import constants as C
-from voltaflow.functions.exprs import exact_avg, exact_stddev_samp, exact_sum
 
 MWH = "solar_generation_mwh"
 
@@ -41,7 +40,7 @@ def solar_features(df: DataFrame) -> DataFrame:
         "is_weekend": F.when(wd.isin(1, 7), 1).otherwise(0),
         "is_daylight": F.when((hour >= C.DAYLIGHT_FROM_HOUR) & (hour <= C.DAYLIGHT_TO_HOUR), 1).otherwise(0),
         "hour_category": cat.otherwise(F.lit(C.HOUR_CATEGORY_ELSE)),
-        MWH: F.coalesce(F.col(MWH), F.lit(0.0)),
+        MWH: F.coalesce(F.nanvl(F.col(MWH), F.lit(0.0)), F.lit(0.0)),
     })
 
 
@@ -55,40 +54,32 @@ def solar_lag_diff(df: DataFrame, key: str = "region", day: str = "transaction_d
     (2) the last value of every (region, day), lagged over days on that
         24x smaller summary; joined back on (region, day), which reuses the
         (region, day) partitioning of step 1.
-    Requires unique (region, day, hour) and non-NULL values (fill first).
+    Requires unique (region, day, hour). A NULL region or day is one like any
+    other (NULL days come first); NULL values are passed on.
     """
     in_day = Window.partitionBy(key, day).orderBy(hour)
-    lagged = df.withColumn("_prev_in_day", F.lag(value).over(in_day))
-    day_last = df.groupBy(key, day).agg(F.max_by(value, hour).alias("_last"))
-    prev_day = day_last.withColumn("_prev_day_last", F.lag("_last").over(Window.partitionBy(key).orderBy(day))) \
-        .drop("_last")
-    out = lagged.join(prev_day, [key, day], "left")
-    prev = F.coalesce(F.col("_prev_in_day"), F.col("_prev_day_last"))
+    # structs, so that a row before with a NULL value differs from no row before
+    lagged = df.withColumn("_prev_in_day", F.lag(F.struct(value)).over(in_day))
+    day_last = df.groupBy(key, day).agg(F.max_by(F.struct(value), F.coalesce(F.col(hour), F.lit(-1))).alias("_last"))
+    prev_day = day_last.select(F.col(key).alias("_key"), F.col(day).alias("_day"),
+                               F.lag("_last").over(Window.partitionBy(key).orderBy(day)).alias("_prev_day_last"))
+    out = lagged.join(prev_day, F.col(key).eqNullSafe(F.col("_key")) & F.col(day).eqNullSafe(F.col("_day")), "left")
+    prev = F.coalesce(F.col("_prev_in_day"), F.col("_prev_day_last"))[value]
     return (out.withColumn("prev_generation", prev)
             .withColumn("generation_diff", F.col(value) - F.col("prev_generation"))
-            .drop("_prev_in_day", "_prev_day_last"))
+            .drop("_prev_in_day", "_prev_day_last", "_key", "_day"))
 
 
 def solar_daily_windows(df: DataFrame, key: str = "region", day: str = "transaction_date",
-                        value: str = MWH, scale: int | None = C.MWH_SCALE) -> DataFrame:
+                        value: str = MWH) -> DataFrame:
     """daily_total / daily_avg / daily_max over the whole (region, day) group."""
     w = Window.partitionBy(key, day)
     v = F.col(value)
-    if scale is None:
-        total, avg = F.sum(v).over(w), F.avg(v).over(w)
-    else:
-        total = F.sum(v.cast(f"decimal(38,{scale})")).over(w).cast("double")
-        avg = F.try_divide(total, F.count(v).over(w).cast("double"))
-    return (df.withColumn("daily_total", total)
-            .withColumn("daily_avg", avg)
+    return (df.withColumn("daily_total", F.sum(v).over(w))
+            .withColumn("daily_avg", F.avg(v).over(w))
             .withColumn("daily_max", F.max(value).over(w)))
 
 
-def transform(df: DataFrame) -> DataFrame:
-    """Full feature transform: features, lag/diff and daily windows."""
-    return solar_daily_windows(solar_lag_diff(solar_features(df)))
-
-
 def observed(df: DataFrame, name: str):
     """Row count as a metric of the job that consumes ``df`` (no extra job):
     returns (df, observation); ``observation.get['rows']`` after an action."""
@@ -97,54 +88,54 @@ def observed(df: DataFrame, name: str):
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-# Sums and means below are exact decimal accumulations at ``scale`` (see
-# ``exact_sum``): the same numbers whatever the partitioning or row order.
+# Sums and means below are plain double sums of the values as they are; a NaN value
+# makes its group's sum and mean NaN. Only results are rounded, for display.
 
 
 def _v():
     return F.col(MWH)
 
 
-def overall_stats(df: DataFrame, scale: int | None = C.MWH_SCALE) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("total_records"), exact_avg(_v(), scale).alias("avg_generation"),
-                  F.max(MWH).alias("max_generation"), exact_stddev_samp(_v(), scale).alias("std_generation"),
-                  exact_sum(_v(), scale).alias("total_generation"))
+def overall_stats(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("total_records"), F.avg(_v()).alias("avg_generation"),
+                  F.max(MWH).alias("max_generation"), F.stddev_samp(_v()).alias("std_generation"),
+                  F.sum(_v()).alias("total_generation"))
 
 
-def regional_stats(df: DataFrame, scale: int | None = C.MWH_SCALE) -> DataFrame:
-    return (df.groupBy("region").agg(F.count(F.lit(1)).alias("count"), exact_avg(_v(), scale).alias("avg_generation"),
+def regional_stats(df: DataFrame) -> DataFrame:
+    return (df.groupBy("region").agg(F.count(F.lit(1)).alias("count"), F.avg(_v()).alias("avg_generation"),
                                      F.max(MWH).alias("max_generation"),
-                                     exact_sum(_v(), scale).alias("total_generation"))
+                                     F.sum(_v()).alias("total_generation"))
             .orderBy(F.desc("avg_generation"), "region"))
 
 
-def hourly_pattern(df: DataFrame, scale: int | None = C.MWH_SCALE) -> DataFrame:
-    return (df.groupBy("transaction_hour").agg(exact_avg(_v(), scale).alias("avg_generation"))
+def hourly_pattern(df: DataFrame) -> DataFrame:
+    return (df.groupBy("transaction_hour").agg(F.avg(_v()).alias("avg_generation"))
             .orderBy("transaction_hour"))
 
 
-def top_regions(df: DataFrame, k: int = 5, scale: int | None = C.MWH_SCALE) -> DataFrame:
+def top_regions(df: DataFrame, k: int = 5) -> DataFrame:
     """Top-k regions by average generation (ties by name): TakeOrderedAndProject."""
-    return regional_stats(df, scale).limit(k)
+    return regional_stats(df).limit(k)
 
 
-def daily_totals(df: DataFrame, scale: int | None = C.MWH_SCALE) -> DataFrame:
+def daily_totals(df: DataFrame) -> DataFrame:
     """The daily table layer: one row per (region, date)."""
     return df.groupBy("region", "transaction_date").agg(
-        F.count(F.lit(1)).alias("records"), exact_sum(_v(), scale).alias("daily_total"),
-        exact_avg(_v(), scale).alias("daily_avg"), F.max(MWH).alias("daily_max"))
+        F.count(F.lit(1)).alias("records"), F.sum(_v()).alias("daily_total"),
+        F.avg(_v()).alias("daily_avg"), F.max(MWH).alias("daily_max"))
 
 
-def report(df: DataFrame, k: int = 5, scale: int | None = C.MWH_SCALE) -> DataFrame:
+def report(df: DataFrame, k: int = 5) -> DataFrame:
     """Report as rows (section, rank, key, metric, value) instead of text."""
-    o = overall_stats(df, scale)
+    o = overall_stats(df)
     overall = o.select(F.lit("overall").alias("section"), F.lit(0).alias("rank"), F.lit("all").alias("key"),
                        F.explode(F.create_map(
                            F.lit("total_records"), F.col("total_records").cast("double"),
                            F.lit("avg_generation"), F.col("avg_generation"),
                            F.lit("max_generation"), F.col("max_generation"),
                            F.lit("total_generation"), F.col("total_generation"))).alias("metric", "value"))
-    top = top_regions(df, k, scale).withColumn(
+    top = top_regions(df, k).withColumn(
         "rank", F.row_number().over(Window.orderBy(F.desc("avg_generation"), "region")))  # k rows only
     regional = top.select(F.lit("top_regions").alias("section"), "rank", F.col("region").alias("key"),
                           F.explode(F.create_map(F.lit("avg_generation"), F.col("avg_generation"),
@@ -153,10 +144,10 @@ def report(df: DataFrame, k: int = 5, scale: int | None = C.MWH_SCALE) -> DataFr
     return overall.unionByName(regional)
 
 
-def write_solar(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Partitioned Parquet by (region, year, month); dynamic partition overwrite
-    so a rerun replaces only the partitions present in ``df``."""
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+def write_solar(df: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False) -> None:
+    """Parquet partitioned by (region, year, month). Overwriting replaces the
+    whole table; with ``dynamic`` only the partitions present in ``df``."""
+    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy("region", "year", "month").parquet(path))
 
 

@@ -13,17 +13,18 @@ from voltaflow.plans import oracle_control as O
 from voltaflow.sources.bridge import power_readings
 
 R4 = 4  # decimals kept for floating aggregates (their last bits depend on summation order)
+R9 = 9  # a first rounding, so that sums that differ in the last bits fall on the same side of a tie
 
 
 def rnd(df: DataFrame, cols, places: int = R4) -> DataFrame:
     cols = set(cols)
-    return df.select(*[F.round(F.col(c), places).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[F.round(F.round(F.col(c), R9), places).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def sround(expr: str, places: int = R4) -> str:
     """DuckDB rounding that mirrors Spark's ``round`` on doubles: half-up on
     the shortest decimal representation (so exact ties round alike)."""
-    return f"round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,20)), {places})::DOUBLE"
+    return f"round(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,20)), {R9}), {places})::DOUBLE"
 
 
 def _rnd_sql(cols, places: int = R4) -> str:
@@ -205,20 +206,26 @@ def q_daily_summary_refresh(spark, sf):
 
 
 def q_microgrid_dim_upsert(spark, sf):
-    seen = P.control_results(spark, sf).select("location").distinct()
+    seen = P.requests(spark, sf).select("location").distinct()  # known before the fold
     updates = seen.select("location", F.concat(F.lit("Microgrid "), F.col("location")).alias("name"))
     dim = rollups.upsert_dim_name(rollups.microgrid_seed(spark), updates)
     return dim.withColumn("latitude", F.col("latitude").cast("double")).withColumn(
         "longitude", F.col("longitude").cast("double"))
 
 
+def _latest(spark, sf):
+    """The latest time of a request, which is its result's: no second fold."""
+    return P.requests(spark, sf).select(F.max("ts")).scalar()
+
+
 def q_recent_by_location(spark, sf):
-    return rnd(monitor.recent_by_location(P.control_results(spark, sf)), ("avg_efficiency", "avg_cost"))
+    recent = monitor.recent_by_location(P.control_results(spark, sf), as_of=_latest(spark, sf))
+    return rnd(recent, ("avg_efficiency", "avg_cost"))
 
 
 def q_recent_event_counts(spark, sf):
     ev = alerts.system_events(P.control_results(spark, sf), with_payload=False)
-    return monitor.recent_event_counts(ev)
+    return monitor.recent_event_counts(ev, as_of=_latest(spark, sf))
 
 
 def q_grid_status(spark, sf):
@@ -235,15 +242,14 @@ def q_control_hour_pattern(spark, sf):
 
 
 def q_topic_counts(spark, sf):
-    """Messages per topic in one scan: every reading is produced, every valid
-    one becomes a request, and each request yields exactly one result."""
-    from voltaflow.operators.quality import valid_predicate
-    r = power_readings(spark, sf)
-    valid = valid_predicate()
-    tagged = r.select(F.explode(F.filter(F.array(
-        F.lit(C.TOPIC_READINGS), F.when(valid, F.lit(C.TOPIC_REQUESTS)), F.when(valid, F.lit(C.TOPIC_RESULTS))),
-        lambda x: x.isNotNull())).alias("topic"))
-    return monitor.topic_counts(tagged)
+    """Messages per topic, each stage counted on its own rows; the fold's output
+    has the request and its result in one row."""
+    r = power_readings(spark, sf).select(F.lit(C.TOPIC_READINGS).alias("topic"))
+    done = P.control_results(spark, sf).select("request_id", "result_id")
+    tagged = done.select(F.explode(F.array_compact(F.array(
+        F.when(F.col("request_id").isNotNull(), C.TOPIC_REQUESTS),
+        F.when(F.col("result_id").isNotNull(), C.TOPIC_RESULTS)))).alias("topic"))
+    return monitor.topic_counts(r.unionByName(tagged))
 
 
 def q_topic_summaries(spark, sf):
@@ -313,11 +319,11 @@ SELECT location, "date", {_rnd_sql(DAILY_FLOATS)},
   NULL::DOUBLE AS total_energy_consumed, NULL::DOUBLE AS total_revenue, NULL::DOUBLE AS net_profit
 FROM (
   SELECT location, CAST("timestamp" AS DATE) AS "date",
-    CAST(sum(CAST(solar_power AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_solar_energy, CAST(sum(CAST(wind_power AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_wind_energy,
-    CAST(sum(CAST(total_power AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_energy_generated,
-    CAST(sum(CAST(grid_import AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_grid_import, CAST(sum(CAST(grid_export AS DECIMAL(38,6))) AS DOUBLE) * 0.0833::DOUBLE AS total_grid_export,
+    sum(solar_power) * 0.0833::DOUBLE AS total_solar_energy, sum(wind_power) * 0.0833::DOUBLE AS total_wind_energy,
+    sum(total_power) * 0.0833::DOUBLE AS total_energy_generated,
+    sum(grid_import) * 0.0833::DOUBLE AS total_grid_import, sum(grid_export) * 0.0833::DOUBLE AS total_grid_export,
     avg(efficiency_score) AS avg_efficiency_score, max(efficiency_score) AS max_efficiency_score,
-    min(efficiency_score) AS min_efficiency_score, CAST(sum(CAST(estimated_cost AS DECIMAL(38,6))) AS DOUBLE) AS total_cost,
+    min(efficiency_score) AS min_efficiency_score, sum(estimated_cost) AS total_cost,
     max(total_power) AS peak_power, min(total_power) AS min_power
   FROM {src} GROUP BY location, CAST("timestamp" AS DATE)) d"""
 
@@ -373,13 +379,13 @@ ORACLE = {
     "hourly_aggregates": _P + f"""SELECT location, date_trunc('hour', "timestamp") AS hour_timestamp,
         {_rnd_sql(HOURLY_FLOATS)}, record_count FROM (
         SELECT location, date_trunc('hour', "timestamp") AS "timestamp",
-          (CAST(sum(CAST(solar_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(solar_power) AS DOUBLE)) AS avg_solar_power, (CAST(sum(CAST(wind_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(wind_power) AS DOUBLE)) AS avg_wind_power,
-          CAST(sum(CAST(total_power AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_energy_generated,
-          CAST(sum(CAST(battery_charge_rate AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_battery_charged,
-          CAST(sum(CAST(battery_discharge_rate AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_battery_discharged,
-          CAST(sum(CAST(grid_import AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_grid_import,
-          CAST(sum(CAST(grid_export AS DECIMAL(38,6))) AS DOUBLE) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_grid_export,
-          avg(efficiency_score) AS avg_efficiency_score, CAST(sum(CAST(estimated_cost AS DECIMAL(38,6))) AS DOUBLE) AS total_cost,
+          avg(solar_power) AS avg_solar_power, avg(wind_power) AS avg_wind_power,
+          sum(total_power) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_energy_generated,
+          sum(battery_charge_rate) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_battery_charged,
+          sum(battery_discharge_rate) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_battery_discharged,
+          sum(grid_import) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_grid_import,
+          sum(grid_export) * (1.0::DOUBLE / 12.0::DOUBLE) AS total_grid_export,
+          avg(efficiency_score) AS avg_efficiency_score, sum(estimated_cost) AS total_cost,
           count(*) AS record_count
         FROM results GROUP BY location, date_trunc('hour', "timestamp")) h""",
     "daily_summary": _P + _daily_sql("results"),
@@ -397,10 +403,10 @@ ORACLE = {
              s(location, name, battery_capacity, latitude, longitude)
         FULL OUTER JOIN (SELECT DISTINCT location, 'Microgrid ' || location AS name FROM results) u USING (location)""",
     "recent_by_location": _P + f"""SELECT location, count(*) AS count, {sround("avg(efficiency_score)")} AS avg_efficiency,
-        {sround("(CAST(sum(CAST(estimated_cost AS DECIMAL(38,6))) AS DOUBLE) / CAST(count(estimated_cost) AS DOUBLE))")} AS avg_cost, max("timestamp") AS last_update
+        {sround("avg(estimated_cost)")} AS avg_cost, max("timestamp") AS last_update
         FROM results WHERE "timestamp" > {_AS_OF} - INTERVAL 1 HOUR GROUP BY location""",
     "recent_event_counts": _P + """SELECT event_type, severity, count(*) AS count FROM sys_events
-        WHERE "timestamp" > (SELECT max("timestamp") FROM sys_events) - INTERVAL 1 HOUR
+        WHERE "timestamp" > (SELECT max("timestamp") FROM results) - INTERVAL 1 HOUR
         GROUP BY event_type, severity ORDER BY count DESC, event_type, severity LIMIT 10""",
     "grid_status": _P + """SELECT m.location, m.name, cr.battery_soc, cr.efficiency_score, cr."timestamp"
         FROM (VALUES ('MicroGrid-01', '서울 상업지구 마이크로그리드'), ('MicroGrid-02', '대전 산업단지 마이크로그리드'),
@@ -408,12 +414,12 @@ ORACLE = {
         LEFT JOIN (SELECT location, battery_soc, efficiency_score, "timestamp",
                      row_number() OVER (PARTITION BY location ORDER BY "timestamp" DESC, result_id DESC) AS rn
                    FROM results) cr ON m.location = cr.location AND cr.rn = 1""",
-    "control_overall_stats": _P + f"""SELECT count(*) AS total_records, {sround("(CAST(sum(CAST(solar_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(solar_power) AS DOUBLE))")} AS avg_solar,
-        {sround("(CAST(sum(CAST(wind_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(wind_power) AS DOUBLE))")} AS avg_wind, {sround("avg(efficiency_score)")} AS avg_efficiency,
-        {sround("CAST(sum(CAST(estimated_cost AS DECIMAL(38,6))) AS DOUBLE)")} AS total_cost, min("timestamp") AS first_record,
+    "control_overall_stats": _P + f"""SELECT count(*) AS total_records, {sround("avg(solar_power)")} AS avg_solar,
+        {sround("avg(wind_power)")} AS avg_wind, {sround("avg(efficiency_score)")} AS avg_efficiency,
+        {sround("sum(estimated_cost)")} AS total_cost, min("timestamp") AS first_record,
         max("timestamp") AS last_record FROM results""",
     "control_hour_pattern": _P + f"""SELECT CAST(hour("timestamp") AS INTEGER) AS hour,
-        {sround("(CAST(sum(CAST(solar_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(solar_power) AS DOUBLE))")} AS avg_solar, {sround("(CAST(sum(CAST(wind_power AS DECIMAL(38,4))) AS DOUBLE) / CAST(count(wind_power) AS DOUBLE))")} AS avg_wind,
+        {sround("avg(solar_power)")} AS avg_solar, {sround("avg(wind_power)")} AS avg_wind,
         {sround("avg(efficiency_score)")} AS avg_efficiency FROM results GROUP BY 1 ORDER BY 1""",
     "topic_counts": _P + """SELECT topic, count(*) AS messages FROM (
         SELECT 'power_generation_data' AS topic FROM readings

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voltaflow.operators import consumed, forecast, solar
 from voltaflow.plans import control_plan as P
 from voltaflow.plans import oracle_control as OC
-from voltaflow.plans.control_queries import R4, rnd, sround
+from voltaflow.plans.control_queries import rnd, sround
 from voltaflow.session import scratch_dir
 from voltaflow.sources import bridge, ingest, messages
 from voltaflow.streaming.sliding import sliding_window_stats
@@ -104,8 +104,8 @@ def q_control_message(spark, sf):
     day = (rec.groupBy(F.col("transaction_date").alias("date"))
            .agg(F.max("timestamp").alias("timestamp"), F.count(F.lit(1)).alias("records"),
                 F.countDistinct("region").alias("regions"),
-                F.round(F.sum(F.col("solar_generation_mwh").cast("decimal(20,2)")).cast("double"), R4)
-                .alias("total_mwh")))
+                F.sum("solar_generation_mwh").alias("total_mwh")))
+    day = rnd(day, ("total_mwh",))
     msg = messages.control_message(day, "daily_batch_complete", ["date", "records", "regions", "total_mwh"])
     p = F.from_json("value", "message_type string, timestamp string, "
                              "payload struct<date:string, records:bigint, regions:bigint, total_mwh:double>")
@@ -128,11 +128,12 @@ def q_unwrap_envelope(spark, sf):
 
 
 def q_paged_json_source(spark, sf):
+    """Pages with the wire's field names, landed, read back and renamed."""
     path = scratch_dir(spark, "landed_pages")
-    rec = _records(spark, sf).drop("timestamp").withColumn("arrival", F.col("transaction_hour"))
-    messages.land_pages(rec.drop("arrival"), path, order_col="region")
-    ddl = "region string, transaction_date string, transaction_hour int, solar_generation_mwh double"
-    return messages.read_pages(spark, path, ddl)
+    wire = messages.wire_record(_records(spark, sf))
+    messages.land_pages(_records(spark, sf).select("page", "region", wire.alias("r")).select("page", "r.*"), path,
+                        order_col=messages.ASCII_TO_WIRE["region"])
+    return messages.read_wire_pages(spark, path)
 
 
 def q_consumed_dedup(spark, sf):
@@ -178,7 +179,8 @@ def _raw_readings(spark, sf):
 
 
 def q_ingest_readings(spark, sf):
-    out = ingest.ingest_readings(_raw_readings(spark, sf))
+    latest = bridge.power_readings(spark, sf).select(F.max("ts")).scalar()  # reads one column
+    out = ingest.ingest_readings(_raw_readings(spark, sf), as_of=latest)
     return out.select("event_id", "accepted", "error", "location", "solar_power", "wind_power",
                       F.col("ts").alias("timestamp"), "received_at", "data_type")
 
@@ -262,20 +264,23 @@ def _ingest_sql() -> str:
     from voltaflow.plans.oracle_control import READINGS
     return "WITH" + READINGS + """,
 raw AS (
-  SELECT event_id, location, solar_power, CASE WHEN event_id % 50 = 1 THEN NULL ELSE wind_power END AS wind_power,
-    CASE WHEN event_id % 50 = 2 THEN NULL ELSE ts END AS ts0, event_id % 50 = 1 AS no_wind
+  SELECT event_id, location, event_id % 50 AS kind, CASE WHEN event_id % 50 <> 3 THEN solar_power END AS solar_power,
+    CASE WHEN event_id % 50 NOT IN (1, 4) THEN wind_power END AS wind_power,
+    CASE WHEN event_id % 50 NOT IN (2, 5) THEN ts END AS ts0
   FROM readings),
-as_of AS (SELECT max(ts0) AS t FROM raw)
+as_of AS (SELECT max(ts) AS t FROM readings)
 """
 
 
 ORACLE = {
-    "ingest_readings": _ingest_sql() + """SELECT event_id, NOT no_wind AS accepted,
-        CASE WHEN no_wind THEN 'Missing required field: wind_power' END AS error, location, solar_power, wind_power,
-        coalesce(ts0, (SELECT t FROM as_of)) AS "timestamp", (SELECT t FROM as_of) AS received_at,
+    "ingest_readings": _ingest_sql() + """SELECT event_id, kind NOT IN (1, 3, 4, 5) AS accepted,
+        CASE kind WHEN 1 THEN 'Missing required field: wind_power' WHEN 3 THEN 'Not numeric: solar_power'
+                  WHEN 4 THEN 'Not numeric: wind_power' WHEN 5 THEN 'Unreadable timestamp' END AS error,
+        location, solar_power, wind_power,
+        CASE WHEN kind = 2 THEN (SELECT t FROM as_of) ELSE ts0 END AS "timestamp", (SELECT t FROM as_of) AS received_at,
         'power_generation' AS data_type FROM raw""",
     "ingest_batch_counts": _ingest_sql() + """SELECT event_id // 100 AS batch_id,
-        count(*) FILTER (WHERE NOT no_wind) AS success, count(*) FILTER (WHERE no_wind) AS failed,
+        count(*) FILTER (WHERE kind <> 1) AS success, count(*) FILTER (WHERE kind = 1) AS failed,
         count(*) AS total FROM raw GROUP BY 1""",
     "solar_envelope": _CTES + """SELECT 'batch_' || coalesce(region, 'unknown') AS key,
         strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS envelope_timestamp, 'solar_api' AS data_source,
@@ -285,7 +290,7 @@ ORACLE = {
     "control_message": _CTES + f"""SELECT 'control' AS key, 'daily_batch_complete' AS message_type,
         strftime(max("timestamp"), '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", transaction_date AS date,
         count(*) AS records, count(DISTINCT region) AS regions,
-        round(sum(CAST(solar_generation_mwh AS DECIMAL(20,2))), {R4})::DOUBLE AS total_mwh
+        {sround("sum(solar_generation_mwh)")} AS total_mwh
         FROM records GROUP BY transaction_date""",
     "paged_json_source": _CTES + """SELECT page, region, transaction_date, transaction_hour, solar_generation_mwh
         FROM records""",
@@ -298,46 +303,46 @@ ORACLE = {
         solar_generation_mwh - lag(solar_generation_mwh) OVER w AS generation_diff
         FROM features WINDOW w AS (PARTITION BY region ORDER BY transaction_date, transaction_hour)""",
     "solar_daily_windows": _CTES + f"""SELECT region, transaction_date, transaction_hour, solar_generation_mwh,
-        {sround("CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) OVER w AS DOUBLE)")} AS daily_total,
-        {sround("(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) OVER w AS DOUBLE) / CAST(count(solar_generation_mwh) OVER w AS DOUBLE))")} AS daily_avg,
+        {sround("sum(solar_generation_mwh) OVER w")} AS daily_total,
+        {sround("avg(solar_generation_mwh) OVER w")} AS daily_avg,
         max(solar_generation_mwh) OVER w AS daily_max
         FROM features WINDOW w AS (PARTITION BY region, transaction_date)""",
     "solar_daily_totals": _CTES + f"""SELECT region, transaction_date, count(*) AS records,
-        {sround("CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE)")} AS daily_total, {sround("(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE))")} AS daily_avg,
+        {sround("sum(solar_generation_mwh)")} AS daily_total, {sround("avg(solar_generation_mwh)")} AS daily_avg,
         max(solar_generation_mwh) AS daily_max FROM features GROUP BY region, transaction_date""",
     "solar_overall_stats": _CTES + f"""SELECT count(*) AS total_records,
-        {sround("(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE))")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
-        {sround("sqrt(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2)) * CAST(solar_generation_mwh AS DECIMAL(38,2))) * count(solar_generation_mwh) - sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) * sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / (CAST(count(solar_generation_mwh) AS DOUBLE) * CAST(count(solar_generation_mwh) - 1 AS DOUBLE)))")} AS std_generation,
-        {sround("CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE)")} AS total_generation FROM features""",
+        {sround("avg(solar_generation_mwh)")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
+        {sround("stddev_samp(solar_generation_mwh)")} AS std_generation,
+        {sround("sum(solar_generation_mwh)")} AS total_generation FROM features""",
     "solar_regional_stats": _CTES + f"""SELECT region, count(*) AS count,
-        {sround("(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE))")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
-        {sround("CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE)")} AS total_generation FROM features GROUP BY region""",
+        {sround("avg(solar_generation_mwh)")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
+        {sround("sum(solar_generation_mwh)")} AS total_generation FROM features GROUP BY region""",
     "solar_hourly_pattern": _CTES + f"""SELECT transaction_hour,
-        {sround("(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE))")} AS avg_generation FROM features GROUP BY transaction_hour""",
+        {sround("avg(solar_generation_mwh)")} AS avg_generation FROM features GROUP BY transaction_hour""",
     "solar_top_regions": _CTES + f"""SELECT region, count(*) AS count,
-        {sround("(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE))")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
-        {sround("CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE)")} AS total_generation FROM features GROUP BY region
-        ORDER BY (CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE)) DESC, region LIMIT 5""",
+        {sround("avg(solar_generation_mwh)")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
+        {sround("sum(solar_generation_mwh)")} AS total_generation FROM features GROUP BY region
+        ORDER BY avg(solar_generation_mwh) DESC, region LIMIT 5""",
     "solar_report": _CTES + f""", top AS (
-        SELECT region, (CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE)) AS a, CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) AS s FROM features
+        SELECT region, avg(solar_generation_mwh) AS a, sum(solar_generation_mwh) AS s FROM features
         GROUP BY region ORDER BY a DESC, region LIMIT 5),
       ranked AS (SELECT *, row_number() OVER (ORDER BY a DESC, region) AS rk FROM top)
       SELECT 'overall' AS section, 0 AS rank, 'all' AS key, metric, {sround("value")} AS value FROM (
         SELECT 'total_records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM features
-        UNION ALL SELECT 'avg_generation', (CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE)) FROM features
+        UNION ALL SELECT 'avg_generation', avg(solar_generation_mwh) FROM features
         UNION ALL SELECT 'max_generation', max(solar_generation_mwh) FROM features
-        UNION ALL SELECT 'total_generation', CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) FROM features) o
+        UNION ALL SELECT 'total_generation', sum(solar_generation_mwh) FROM features) o
       UNION ALL
       SELECT 'top_regions', CAST(rk AS INTEGER), region, m.metric, {sround("m.value")} FROM ranked,
         LATERAL (SELECT 'avg_generation' AS metric, a AS value UNION ALL SELECT 'total_generation', s) m""",
     "consumed_dedup": _CTES + "SELECT * FROM consumed_log",
     "consumed_totals": _CTES + f"""SELECT count(*) AS messages, count(DISTINCT region) AS regions,
-        {sround("(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE))")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
+        {sround("avg(solar_generation_mwh)")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
         min(consumed_at) AS first_consumed, max(consumed_at) AS last_consumed FROM consumed_log""",
     "top_regions": _CTES + f"""SELECT region, count(*) AS messages,
-        {sround("(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE))")} AS avg_generation FROM consumed_log
+        {sround("avg(solar_generation_mwh)")} AS avg_generation FROM consumed_log
         WHERE solar_generation_mwh IS NOT NULL GROUP BY region
-        ORDER BY (CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE)) DESC, region LIMIT 5""",
+        ORDER BY avg(solar_generation_mwh) DESC, region LIMIT 5""",
     "consumption_stats": _CTES + f"""SELECT s.topic, messages_seen, start_time, end_time,
         coalesce(messages_inserted, 0) AS messages_inserted,
         {sround("CASE WHEN messages_seen > 0 THEN (date_diff('microsecond', start_time, end_time) / 1000.0::DOUBLE) / messages_seen ELSE 0.0::DOUBLE END")}
@@ -346,7 +351,7 @@ ORACLE = {
               FROM consumed_raw GROUP BY topic) s
         LEFT JOIN (SELECT topic, count(*) AS messages_inserted FROM consumed_log GROUP BY topic) i USING (topic)""",
     "sliding_window_stats": _CTES + f"""SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, region,
-        {sround("(CAST(sum(CAST(solar_generation_mwh AS DECIMAL(38,2))) AS DOUBLE) / CAST(count(solar_generation_mwh) AS DOUBLE))")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
+        {sround("avg(solar_generation_mwh)")} AS avg_generation, max(solar_generation_mwh) AS max_generation,
         count(*) AS count
         FROM (SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") - to_minutes(i) AS window_start, region,
                      solar_generation_mwh FROM consumed_raw, range(0, 5) t(i)) x

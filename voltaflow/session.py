@@ -55,3 +55,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     write over each other's files.
     """
     return f"{checkpoint_root(spark).rstrip('/')}/voltaflow/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its store; any error but absence is raised."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)

@@ -50,8 +50,9 @@ def power_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_reading_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON messages as a web client would post them.
 
-    ``wind_power`` is left out when ``event_id % 50 = 1`` and ``timestamp``
-    when ``event_id % 50 = 2`` (``to_json`` drops NULL fields).
+    By ``event_id % 50``: 1 has no ``wind_power``, 2 no ``timestamp`` (``to_json``
+    drops NULL fields), 3 a null ``solar_power``, 4 a text ``wind_power`` and 5 a
+    ``timestamp`` that can't be read.
     columns: event_id, value (JSON string)
     """
     r = power_readings(spark, sf_dir)
@@ -59,13 +60,16 @@ def raw_reading_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     body = F.struct(
         eid.alias("event_id"),
-        F.when(eid % 50 != 2, ts_text).alias("timestamp"),
+        F.when(eid % 50 == 5, F.lit("garbage")).when(eid % 50 != 2, ts_text).alias("timestamp"),
         F.col("solar_power"),
         F.when(eid % 50 != 1, F.col("wind_power")).alias("wind_power"),
         F.col("location"),
         F.struct(F.col("temperature"), F.col("wind_speed")).alias("weather"),
     )
-    return r.select(eid.alias("event_id"), F.to_json(body).alias("value"))
+    text = F.to_json(body)
+    text = (F.when(eid % 50 == 3, F.regexp_replace(text, '"solar_power":[^,]*', '"solar_power":null'))
+            .when(eid % 50 == 4, F.regexp_replace(text, '"wind_power":[^,]*', '"wind_power":"abc"')).otherwise(text))
+    return r.select(eid.alias("event_id"), text.alias("value"))
 
 
 def solar_hour_expr(ts="ts"):

@@ -21,39 +21,42 @@ def parse_ts(text: Column) -> Column:
 
 
 def ingest_readings(raw: DataFrame, value_col: str = "value", as_of=None) -> DataFrame:
-    """Accept a raw reading when solar_power, wind_power and location are present.
+    """Accept a raw reading when solar_power, wind_power and location are present,
+    both powers are JSON numbers and the timestamp, if present, can be read.
 
-    ``error`` names the first missing field (as the ingest endpoint does). A
-    missing timestamp is set to ``as_of`` (default: the latest timestamp in
-    the input, a scalar subquery) and ``received_at`` = ``as_of``; presence
-    is tested on the JSON keys, so an explicit null is *present*.
+    ``error`` names the first fault: a missing field (by the JSON keys), a power
+    that is null or text (``Not numeric``), or an unreadable time, whose ``ts``
+    stays NULL. Only an absent timestamp is set to ``as_of``, and ``received_at`` =
+    ``as_of``: a value, a scalar Column, or by default the latest timestamp in the
+    input, which costs a second parse; pass it where it is known.
     """
     keys = F.json_object_keys(F.col(value_col))
     p = F.from_json(F.col(value_col), READING_DDL)
-    err = None
-    for f in C.REQUIRED_INGEST_FIELDS:
-        cond = ~_has(keys, f)
-        err = F.when(cond, F.lit(C.MSG_MISSING.format(f))) if err is None else err.when(cond, F.lit(C.MSG_MISSING.format(f)))
-    df = raw.select(p.alias("r"), keys.alias("_keys"), err.alias("error"))
+    df = raw.select(p.alias("r"), keys.alias("_keys"))
+    timed = _has(F.col("_keys"), "timestamp")
+    faults = [F.when(~_has(F.col("_keys"), f), F.lit(C.MSG_MISSING.format(f))) for f in C.REQUIRED_INGEST_FIELDS]
+    # a power that is there but is null or text has no number in the record
+    faults += [F.when(F.col(f"r.{f}").isNull(), F.lit(C.MSG_NOT_NUMERIC.format(f))) for f in ("solar_power", "wind_power")]
+    faults.append(F.when(timed & parse_ts(F.col("r.timestamp")).isNull(), F.lit(C.MSG_BAD_TIME)))
     df = df.select(
         F.col("r.event_id").alias("event_id"),
         F.col("r.location").alias("location"),
         F.col("r.solar_power").alias("solar_power"),
         F.col("r.wind_power").alias("wind_power"),
-        F.when(_has(F.col("_keys"), "timestamp"), parse_ts(F.col("r.timestamp"))).alias("_ts"),
+        parse_ts(F.col("r.timestamp")).alias("_ts"), timed.alias("_timed"),
         F.col("r.weather.temperature").alias("temperature"),
         F.col("r.weather.wind_speed").alias("wind_speed"),
-        "error")
+        F.coalesce(*faults).alias("error"))
     if as_of is None:
-        as_of_col = df.select(F.max("_ts")).scalar()
-    else:
-        as_of_col = F.lit(as_of).cast("timestamp_ntz")
+        as_of = df.select(F.max("_ts")).scalar()
+    elif not isinstance(as_of, Column):
+        as_of = F.lit(as_of).cast("timestamp_ntz")
     # bind the (sub)query value to a column once, so it is evaluated once
-    df = df.withColumn("received_at", as_of_col)
-    return (df.withColumns({"ts": F.coalesce(F.col("_ts"), F.col("received_at")),
+    df = df.withColumn("received_at", as_of)
+    return (df.withColumns({"ts": F.when(F.col("_timed"), F.col("_ts")).otherwise(F.col("received_at")),
                             "data_type": F.lit("power_generation"),
                             "accepted": F.col("error").isNull()})
-            .drop("_ts"))
+            .drop("_ts", "_timed"))
 
 
 def batch_bodies(raw: DataFrame, batch_col: str, value_col: str = "value") -> DataFrame:

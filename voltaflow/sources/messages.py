@@ -94,9 +94,32 @@ def land_pages(records: DataFrame, path: str, page_col: str = "page", order_col:
     pages.write.mode("overwrite").json(path)
 
 
-def read_pages(spark: SparkSession, path: str, record_ddl: str) -> DataFrame:
-    """Read landed pages and flatten ``data``; malformed pages yield no rows
-    (PERMISSIVE), an empty folder yields an empty frame with the schema."""
+def read_pages(spark: SparkSession, path: str, record_ddl: str, multi_line: bool = False,
+               on_corrupt: str = "raise") -> DataFrame:
+    """Read landed pages and flatten ``data``; an empty folder yields an empty
+    frame with the schema. ``multi_line`` reads files that hold one page document
+    over several lines, as the API delivers them; without it each line is a page.
+    A malformed page is an error, or with ``on_corrupt='drop'`` yields no rows
+    (``corrupt_pages`` shows them)."""
     schema = f"page bigint, data array<struct<{record_ddl}>>"
-    pages = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    pages = (spark.read.schema(schema).option("mode", "FAILFAST" if on_corrupt == "raise" else "PERMISSIVE")
+             .option("multiLine", multi_line).json(path))
     return pages.select("page", F.explode("data").alias("r")).select("page", "r.*")
+
+
+def corrupt_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The text of pages that can't be read."""
+    text = spark.read.text(path, wholetext=multi_line)
+    page = F.from_json("value", "page bigint, data array<string>, _corrupt_record string", {"mode": "PERMISSIVE"})
+    return text.where(page["_corrupt_record"].isNotNull()).select(F.col("value").alias("page"))
+
+
+def read_wire_pages(spark: SparkSession, path: str, multi_line: bool = False, on_corrupt: str = "raise") -> DataFrame:
+    """``read_pages`` of records with the wire's field names, renamed to ours."""
+    ddl = RECORD_TYPE.removeprefix("struct<").removesuffix(">").replace("`:", "` ")
+    return read_pages(spark, path, ddl, multi_line, on_corrupt).withColumnsRenamed(WIRE)
+
+
+def event_time_from_millis(millis) -> "F.Column":
+    """Broker timestamp (milliseconds since the epoch) as TIMESTAMP."""
+    return F.timestamp_millis(millis)

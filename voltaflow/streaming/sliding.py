@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltaflow.functions import constants as C
-from voltaflow.functions.exprs import exact_avg
 
 
 def sliding_window_stats(df: DataFrame, time_col: str = "timestamp", key: str = "region",
                          value: str = "solar_generation_mwh", size: str = C.SLIDING_WINDOW,
-                         slide: str = C.SLIDING_SLIDE, delay: str | None = C.WATERMARK_DELAY,
-                         scale: int | None = C.MWH_SCALE) -> DataFrame:
+                         slide: str = C.SLIDING_SLIDE, delay: str | None = C.WATERMARK_DELAY) -> DataFrame:
     """avg / max / count of ``value`` per (sliding window, key).
 
     On a stream the event time must be a TIMESTAMP (NTZ is refused by the
@@ -27,7 +25,7 @@ def sliding_window_stats(df: DataFrame, time_col: str = "timestamp", key: str =
         if delay:
             df = df.withWatermark(time_col, delay)
     agg = (df.groupBy(F.window(F.col(time_col), size, slide).alias("w"), F.col(key))
-           .agg(exact_avg(F.col(value), scale).alias("avg_generation"), F.max(value).alias("max_generation"),
+           .agg(F.avg(F.col(value)).alias("avg_generation"), F.max(value).alias("max_generation"),
                 F.count(F.lit(1)).alias("count")))
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key,
                       "avg_generation", "max_generation", "count")
