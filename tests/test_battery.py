@@ -8,20 +8,21 @@ from voltaflow.operators import dispatch
 from voltaflow.plans import control_plan as P
 
 
-def reference_fold(rows, initial_soc=0.5):
+def reference_fold(rows, initial_soc=0.5, caps=None):
     """Written from the rules: one SOC per key, rows in (ts, id) order."""
     soc = {}
     out = {}
     for key, _ts, eid, bal, price in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         s = soc.get(key, initial_soc)
         c = d = 0.0
+        cap, most_c, most_d = (caps or {}).get(key, (5000, 1000, 1000))
         if bal > 0:
             if s < 0.9 and price < 100:
-                c = min(bal, 1000, 5000 * (1 - s))
-                s += (c * 0.95) / 5000
+                c = min(bal, most_c, cap * (1 - s))
+                s += (c * 0.95) / cap
         elif s > 0.2 and (price > 100 or abs(bal) > 500):
-            d = min(abs(bal), 1000, 5000 * s)
-            s -= d / (5000 * 0.95)
+            d = min(abs(bal), most_d, cap * s)
+            s -= d / (cap * 0.95)
         soc[key] = s
         out[eid] = (c, d, s)
     return out
@@ -134,3 +135,13 @@ def test_load_noise_has_the_sigma_of_its_band(spark):
     again = {(r.location, r.hour): r.base_load for r in dispatch.load_profile_dim(spark.newSession(), 3).repartition(5).collect()}
     assert again == {k: mean[k] + v[3] for k, v in draws.items()} or all(
         abs(again[k] - mean[k] - v[3]) < 1e-9 for k, v in draws.items())
+
+
+@pytest.mark.parametrize("options", [{"method": "serial"}, {}, {"chunk_rows": 40}])
+def test_parameters_per_battery(spark, options):
+    pre = _pre(spark)
+    caps = {"MicroGrid-01": (5000.0, 1000.0, 1000.0), "MicroGrid-02": (8000.0, 400.0, 700.0), "MicroGrid-03": (3000.0, 90.0, 50.0)}
+    params = spark.createDataFrame([(k, *v) for k, v in caps.items()] + [("MicroGrid-04", None, None, None)],
+                                   "battery_key string, battery_capacity double, battery_max_charge double, battery_max_discharge double")
+    rows = [(r.location, r.ts, r.event_id, r.power_balance, r.electricity_price) for r in pre.collect()]
+    assert _result(dispatch.battery_dispatch(pre, params=params, **options)) == reference_fold(rows, caps=caps)

@@ -126,3 +126,33 @@ def test_continuous_produce_sends_every_page(spark, tmp):
     q.stop()
     got = spark.read.schema("key string, value string").json(tmp + "/topic")
     assert got.count() == 3 and {r.key for r in got.collect()} == {"stream_R1"}
+
+
+def test_batch_produce_writes_and_counts(spark, tmp):
+    from voltaflow.plans.solar_queries import _records
+    from voltaflow.streaming.sources import produce_batch
+    rec = _records(spark, SF_SMALL)
+    totals = produce_batch(rec, "json", tmp + "/topic")
+    n = rec.count()
+    assert totals.agg(F.sum("records"), F.sum("success"), F.sum("failed")).first()[:] == (n, n, 0)
+    assert read_topic_batch(spark, "json", tmp + "/topic", schema="key string, value string").count() == n
+
+
+def test_forecast_importances_and_metrics(spark):
+    from voltaflow.operators import forecast
+    from voltaflow.plans.solar_queries import _features
+    frame = forecast.ml_training_frame(_features(spark, SF_SMALL))
+    metrics, fitted = forecast.train_forecast(spark, frame)
+    imp = dict(forecast.feature_importances(fitted["random_forest"]))
+    assert abs(sum(imp.values()) - 1) < 1e-6 and set(imp) == set(forecast.C.FEATURE_COLUMNS)
+    base = forecast.split_baseline(frame).first()
+    assert base.n_train + base.n_test == frame.count()
+    assert all(0 < r.rmse < 2 * base.rmse and r.r2 <= 1 for r in metrics.collect())
+
+
+def test_stored_tables_can_be_registered(spark, tmp):
+    from voltaflow.functions.schemas import TABLES, create_tables
+    create_tables(spark, tmp)
+    for name in TABLES:
+        assert spark.table(name).count() == 0
+        spark.sql(f"DROP TABLE {name}")

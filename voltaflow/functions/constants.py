@@ -7,7 +7,6 @@ together, in natural order, as plain text.
 # --- fixed values: validation -------------------------------------------
 MAX_POWER_KW = 10000.0
 REQUIRED_INGEST_FIELDS = ("solar_power", "wind_power", "location")
-REQUIRED_VALIDATION_FIELDS = ("solar_power", "wind_power", "location", "timestamp")
 MSG_MISSING = "Missing required field: {}"
 MSG_NOT_NUMERIC = "Not numeric: {}"
 MSG_BAD_TIME = "Unreadable timestamp"
@@ -122,7 +121,6 @@ STREAM_TRIGGER = "30 seconds"
 TOPIC_READINGS = "power_generation_data"
 TOPIC_REQUESTS = "control_optimization_request"
 TOPIC_RESULTS = "control_result"
-TOPIC_SOLAR = "solar_raw_data"
 
 # --- fixed values: forecast models ---------------------------------------
 FEATURE_COLUMNS = ("transaction_hour", "month", "day", "weekday", "is_weekend", "is_daylight")

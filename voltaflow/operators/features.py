@@ -43,20 +43,3 @@ def optimization_requests(df: DataFrame, ts_col: str = "ts") -> DataFrame:
         "quality_score": quality_score(F.col("n_anomalies")),
         "original_timestamp": F.col(ts_col),
     })
-
-
-def request_struct(df: DataFrame) -> DataFrame:
-    """Nested request message (the wire shape) from the flat request frame."""
-    return df.select(
-        F.col("request_id"),
-        F.col("ts").alias("timestamp"),
-        F.col("location"),
-        F.struct(F.col("solar_power").alias("solar"), F.col("wind_power").alias("wind"),
-                 F.col("total_power").alias("total")).alias("power_data"),
-        F.struct(F.col("solar_efficiency").alias("solar"), F.col("wind_efficiency").alias("wind")).alias("efficiencies"),
-        F.struct("hour", "day_of_week", "is_weekend").alias("temporal_features"),
-        F.struct("temperature", "wind_speed").alias("weather"),
-        F.col("anomalies"),
-        F.col("quality_score"),
-        F.col("original_timestamp"),
-    )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +21,11 @@ def ml_training_frame(features: DataFrame) -> DataFrame:
 
 
 def split(frame: DataFrame, train_fraction: float = C.TRAIN_FRACTION, seed: int = C.SPLIT_SEED):
-    """Deterministic train/test split by a hash of the row key (unlike
-    ``randomSplit`` it does not depend on partitioning or row order)."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *KEY), F.lit(10_000))
+    """Deterministic train/test split by the MD5 of the row key (unlike
+    ``randomSplit`` it does not depend on partitioning or row order, and other
+    engines can repeat it)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in KEY])
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 10_000
     flagged = frame.withColumn("_train", bucket < int(train_fraction * 10_000))
     return flagged.filter("_train").drop("_train"), flagged.filter(~F.col("_train")).drop("_train")
 
@@ -44,13 +45,10 @@ def train_forecast(spark: SparkSession, frame: DataFrame, models=("linear_regres
     """
     train, test = split(frame)
     train = train.persist()
-    ev = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction")
     rows, fitted = [], {}
     for name in models:
         model = pipelines()[name].fit(train)
-        pred = model.transform(test)
-        rows.append((name, float(ev.evaluate(pred, {ev.metricName: "rmse"})),
-                     float(ev.evaluate(pred, {ev.metricName: "r2"}))))
+        rows.append((name, *regression_metrics(model.transform(test)).first()))  # one pass for both
         fitted[name] = model
         if save_dir:
             model.write().overwrite().save(f"{save_dir.rstrip('/')}/{name}")
@@ -68,9 +66,19 @@ def predict(model_path: str, frame: DataFrame) -> DataFrame:
     return PipelineModel.load(model_path).transform(frame).drop("features")
 
 
-def metrics_sql_form(pred: DataFrame) -> DataFrame:
-    """RMSE and R^2 as plain aggregates (same numbers as the evaluator)."""
-    err = F.col(LABEL) - F.col("prediction")
+def regression_metrics(pred: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """RMSE and R^2 as plain aggregates in one pass."""
+    err = F.col(LABEL) - F.col(prediction)
     s = pred.agg(F.sqrt(F.avg(err * err)).alias("rmse"),
                  F.sum(err * err).alias("sse"), F.var_pop(LABEL).alias("var"), F.count(F.lit(1)).alias("n"))
-    return s.select("rmse", (F.lit(1.0) - F.col("sse") / (F.col("var") * F.col("n"))).alias("r2"))
+    return s.select("rmse", (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("var") * F.col("n"))).alias("r2"))
+
+
+def split_baseline(frame: DataFrame) -> DataFrame:
+    """Rows of each split and, for the test split, RMSE and R^2 of predicting the
+    mean of the training split: what a model has to beat."""
+    train, test = split(frame)
+    mean = train.agg(F.avg(LABEL)).scalar()
+    base = regression_metrics(test.withColumn("prediction", mean))
+    return base.select(train.agg(F.count(F.lit(1))).scalar().alias("n_train"),
+                       test.agg(F.count(F.lit(1))).scalar().alias("n_test"), "rmse", "r2")

@@ -51,11 +51,6 @@ def valid_predicate(max_kw: float = C.MAX_POWER_KW, ts_col: str = "ts") -> Colum
     return ok
 
 
-def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Accepted and dead-letter frames from one validated projection."""
-    return df.filter("is_valid"), df.filter(~F.col("is_valid"))
-
-
 def rejected_readings(df: DataFrame) -> DataFrame:
     return validate_readings(df).filter(~F.col("is_valid"))
 

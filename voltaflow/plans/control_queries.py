@@ -133,14 +133,6 @@ def q_control_result_json(spark, sf):
     return control.parse_result_json(control.result_json(P.control_results(spark, sf)))
 
 
-def redeliveries(results_with_id: DataFrame) -> DataFrame:
-    """Re-delivered results (event_id % 20 = 0) with changed time, efficiency and cost."""
-    return (results_with_id.filter(F.col("event_id") % 20 == 0)
-            .withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 HOUR"))
-            .withColumn("efficiency_score", F.col("efficiency_score") * F.lit(0.5))
-            .withColumn("estimated_cost", F.col("estimated_cost") + F.lit(1.0)))
-
-
 def with_redeliveries(results_with_id: DataFrame) -> DataFrame:
     """Delivery log in one pass: every result once (``_seq`` 0) plus a second
     delivery (``_seq`` 1, changed time/efficiency/cost) when event_id % 20 = 0.

@@ -171,7 +171,13 @@ def q_ml_predict(spark, sf):
     path = scratch_dir(spark, "models")
     forecast.train_forecast(spark, frame, models=("linear_regression",), save_dir=path)
     _, test = forecast.split(frame)
-    return forecast.predict(f"{path}/linear_regression", test).select(*forecast.KEY, "prediction")
+    p = F.col("prediction")
+    return forecast.predict(f"{path}/linear_regression", test).select(
+        *forecast.KEY, (p.isNotNull() & ~F.isnan(p) & (F.abs(p) < float("inf"))).alias("is_finite"))
+
+
+def q_ml_split_baseline(spark, sf):
+    return rnd(forecast.split_baseline(forecast.ml_training_frame(_features(spark, sf))), ("rmse", "r2"))
 
 
 def _raw_readings(spark, sf):
@@ -217,6 +223,7 @@ QUERIES = {
     "ml_training_frame": q_ml_training_frame,
     "ml_metrics": q_ml_metrics,
     "ml_predict": q_ml_predict,
+    "ml_split_baseline": q_ml_split_baseline,
 }
 
 # --------------------------------------------------------------------------- oracle SQL
@@ -259,6 +266,12 @@ consumed_log AS (
 
 _FEAT = ", ".join(FEATURE_COLS)
 
+_SPLIT = """, frame AS (
+  SELECT *, ('0x' || substr(md5(concat_ws('|', '42', region, transaction_date, transaction_hour)), 1, 8))::BIGINT % 10000
+    < 8000 AS is_train
+  FROM features WHERE solar_generation_mwh > 0)
+"""
+
 
 def _ingest_sql() -> str:
     from voltaflow.plans.oracle_control import READINGS
@@ -359,6 +372,13 @@ ORACLE = {
     "ml_training_frame": _CTES + """SELECT region, transaction_date, transaction_hour,
         month, day, weekday, is_weekend, is_daylight, solar_generation_mwh FROM features
         WHERE solar_generation_mwh > 0""",
+    "ml_predict": _CTES + _SPLIT + """SELECT region, transaction_date, transaction_hour, true AS is_finite
+        FROM frame WHERE NOT is_train""",
+    "ml_split_baseline": _CTES + _SPLIT + f"""SELECT count(*) FILTER (WHERE is_train) AS n_train,
+        count(*) FILTER (WHERE NOT is_train) AS n_test,
+        {sround("sqrt(avg((solar_generation_mwh - m) ** 2) FILTER (WHERE NOT is_train))")} AS rmse,
+        {sround("1 - sum((solar_generation_mwh - m) ** 2) FILTER (WHERE NOT is_train) / (var_pop(solar_generation_mwh) FILTER (WHERE NOT is_train) * count(*) FILTER (WHERE NOT is_train))")} AS r2
+        FROM frame, (SELECT avg(solar_generation_mwh) AS m FROM frame WHERE is_train)""",
     "json_roundtrip": "WITH RECURSIVE" + ",".join([OC.READINGS, OC.CHECKED, OC.REQ.replace("{bkey}", "location")])
         + """ SELECT request_id, location, ts, total_power, solar_efficiency, wind_efficiency, hour, day_of_week,
         is_weekend, quality_score FROM req2""",

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltaflow.sources.messages import produce_totals, solar_envelope
+
 
 def read_topics(spark: SparkSession, fmt: str, source: str, schema=None, starting: str = "earliest",
                 max_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
@@ -40,12 +42,6 @@ def to_topic_value(df: DataFrame, key_col: str | None = None) -> DataFrame:
     return df.select(*out)
 
 
-def parse_value(df: DataFrame, schema, value_col: str = "value") -> DataFrame:
-    """Decode JSON message values (binary or string) with an explicit schema."""
-    return df.select(F.from_json(F.col(value_col).cast("string"), schema).alias("m"), *[
-        c for c in df.columns if c != value_col]).select("m.*", *[c for c in df.columns if c != value_col])
-
-
 def write_topic(df: DataFrame, fmt: str, target: str, checkpoint: str, trigger: dict | None = None,
                 options: dict | None = None):
     """Streaming sink of (key, value) rows: a Kafka topic (``fmt='kafka'``,
@@ -62,6 +58,26 @@ def write_topic(df: DataFrame, fmt: str, target: str, checkpoint: str, trigger:
     return w.start()
 
 
+def write_topic_batch(df: DataFrame, fmt: str, target: str, mode: str = "append", options: dict | None = None) -> None:
+    """Batch sink of (key, value) rows: a Kafka topic or a folder."""
+    w = df.write.format(fmt)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    if fmt == "kafka":
+        w.option("topic", target).save()
+    else:
+        w.mode(mode).save(target)
+
+
+def produce_batch(records: DataFrame, fmt: str, target: str, prefix: str = "batch", page_col: str = "page",
+                  options: dict | None = None) -> DataFrame:
+    """Envelope and key the records, write those that can be encoded, and return
+    the totals per page. Run again, it produces the records again."""
+    envelopes = solar_envelope(records, prefix=prefix, keep=(page_col,))
+    write_topic_batch(envelopes.where("value is not null").select("key", "value"), fmt, target, options=options)
+    return produce_totals(envelopes, page_col)
+
+
 def read_topic_batch(spark: SparkSession, fmt: str, source: str, schema=None, limit: int | None = None,
                      order=("topic", "partition", "offset"), options: dict | None = None) -> DataFrame:
     """Bounded (batch) read of topics or a folder, e.g. to replay from the
