@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltaflow.functions import constants as C
-from voltaflow.operators.joins import bounded_broadcast
 
 
 def _as_of(df: DataFrame, time_col: str, as_of) -> Column:
@@ -39,26 +38,20 @@ def recent_event_counts(events: DataFrame, as_of=None, k: int = 10, time_col: st
 
 def latest_per_location(results: DataFrame, cols=("battery_soc", "efficiency_score", "timestamp"),
                         time_col: str = "timestamp") -> DataFrame:
-    """Latest row per location (ties broken by result_id) as a partial-aggregated
-    ``max_by`` rather than a window: a hot location is combined map-side."""
-    order = F.struct(F.col(time_col), F.col("result_id"))
-    return (results.groupBy("location").agg(F.max_by(F.struct(*cols), order).alias("_l"))
-            .select("location", "_l.*"))
+    """Latest row per location (ties broken by result_id). Each task keeps its
+    own latest row per location before the exchange (window group limit), so a
+    hot location is cut down early."""
+    w = Window.partitionBy("location").orderBy(F.desc(time_col), F.desc("result_id"))
+    latest = results.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") == 1)
+    return latest.select("location", *cols)
 
 
 def grid_status(dim: DataFrame, results: DataFrame) -> DataFrame:
     """Every microgrid with its latest SOC and efficiency (NULL when no data).
-
-    The dimension's size is checked (a cheap count of a small table), then
-    it is broadcast to semi-join the results, so the latest-per-location
-    side is bounded by the dimension and can itself be broadcast.
-    """
+    Results of unknown grids are dropped first; AQE picks the joins by size."""
     grids = dim.select("location", "name")
-    small = bounded_broadcast(grids)
-    if small is grids:  # dimension too large to broadcast: let AQE pick the joins
-        return grids.join(latest_per_location(results), "location", "left")
-    known = results.join(F.broadcast(grids.select("location")), "location", "left_semi")
-    return grids.join(F.broadcast(latest_per_location(known)), "location", "left")
+    known = results.join(grids.select("location"), "location", "left_semi")
+    return grids.join(latest_per_location(known), "location", "left")
 
 
 def control_overall_stats(results: DataFrame) -> DataFrame:
