@@ -10,14 +10,11 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "voltaflow") -> SparkSession:
-    """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
+    """A local session for tests and benchmarks (UI off, UTC; AQE is Spark's default)."""
     spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-             .config("spark.sql.adaptive.enabled", "true")
-             .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-             .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
              .config("spark.driver.memory", "16g")

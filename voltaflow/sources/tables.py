@@ -10,25 +10,3 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def widen(df: DataFrame, *keys: str, max_factor: int = 8) -> DataFrame:
-    """Spread a scan that yields fewer tasks than the cluster has cores.
-
-    Parquet splits by row group, so a table held in one or a few row groups
-    is scanned by one task and every narrow step fused onto it (JSON,
-    validation, features) runs on one core. Such a scan is hash-repartitioned
-    on ``keys`` to the default parallelism; the explicit partition count keeps
-    AQE from coalescing it back. A large input already has at least that many
-    splits and is returned unchanged, so no shuffle is added at scale. The
-    width is at most ``max_factor`` times the scan's own split count, so a
-    small table on a large cluster gets a few tasks, not thousands.
-    """
-    try:
-        have = df.rdd.getNumPartitions()  # plans the scan only; no job
-        target = min(df.sparkSession.sparkContext.defaultParallelism, max(1, have) * max_factor)
-    except Exception:  # pragma: no cover - e.g. a remote (Connect) session
-        return df
-    if have >= target:
-        return df
-    return df.repartition(target, *keys)
