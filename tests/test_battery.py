@@ -145,3 +145,12 @@ def test_parameters_per_battery(spark, options):
                                    "battery_key string, battery_capacity double, battery_max_charge double, battery_max_discharge double")
     rows = [(r.location, r.ts, r.event_id, r.power_balance, r.electricity_price) for r in pre.collect()]
     assert _result(dispatch.battery_dispatch(pre, params=params, **options)) == reference_fold(rows, caps=caps)
+
+
+def test_recent_queries_fold_once_and_the_dimension_never(spark):
+    from voltaflow.plans import control_queries as Q
+
+    def folds(q):
+        return q(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    assert folds(Q.q_recent_by_location) == folds(Q.q_recent_event_counts) == folds(Q.q_grid_status) == 1
+    assert folds(Q.q_microgrid_dim_upsert) == 0
