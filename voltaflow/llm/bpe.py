@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from voltaflow.llm.common import bounded_batches
+
 #: Pre-tokens a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 150_000
 #: Pre-tokens of one text that are held at once.
@@ -123,6 +125,8 @@ class Encoder:
 def encode(text: Column, model: bytes, pattern: str) -> Column:
     """Token ids (array of int) of a text column, without special tokens. A
     null text counts as empty, an empty one has no ids."""
+    bounded_batches()
+
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(model, pattern)
@@ -136,6 +140,8 @@ def encode(text: Column, model: bytes, pattern: str) -> Column:
 
 def decode(ids: Column, model: bytes) -> Column:
     """Bytes of an id column, by the inverse mapping. Null ids give null bytes."""
+    bounded_batches()
+
     @F.arrow_udf("binary")
     def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = token_bytes(model)

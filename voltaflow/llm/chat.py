@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import cut
+from voltaflow.llm.common import bounded_batches, cut
 
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 _KEY = ["conv_id", "call_id"]
@@ -145,6 +145,8 @@ def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     other messages: ``plain``. Null keys never link; a null payload is invalid
     for a call and null content else. Other columns are not read.
     """
+    bounded_batches()
+
     @F.pandas_udf("struct<message: string, error: string>")
     def serialised(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for columns in batches:

@@ -5,12 +5,31 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaflow.session import checkpoint_root
 
 
+#: Bytes of one Arrow batch that a Python worker holds.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches() -> None:
+    """Bound the Arrow batches of the session by bytes, since texts can be long.
+
+    A lower setting of the session stays. The setting only cuts batches; no
+    result depends on it.
+    """
+    spark = SparkSession.getActiveSession()
+    now = spark.conf.get(_BATCH, None) if spark else None
+    if now is not None:
+        size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) if not now.lstrip("-").isdigit() else int(now)
+        if size <= 0 or size > BATCH_BYTES:
+            spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
     checkpoint_root(df.sparkSession)

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import cut
+from voltaflow.llm.common import bounded_batches, cut
 
 MAX_DF = 0.02
 RAREST = (3, 8)
@@ -73,6 +73,8 @@ def encode(text: Column, vocabulary: dict[str, int]) -> Column:
     """Word ids of a text as little-endian binary; 0 is any other word."""
     kind = "<u2" if len(vocabulary) < 1 << 16 else "<u4"
 
+    bounded_batches()
+
     @F.pandas_udf("binary")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def one(text):
@@ -332,6 +334,8 @@ class Search:
     def leaks(self, ids: Column) -> Column:
         finder = self.finder
 
+        bounded_batches()
+
         @F.pandas_udf(LEAKS)
         def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for s in batches:

@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltaflow.llm.common import bounded_batches
+
 LONG, STEP = 40, 26
 #: Sampled documents and prose paragraphs that training takes at most.
 SAMPLE_DOCS, PROSE = 400, 4000
@@ -245,6 +247,8 @@ def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
     # the ids of the sample first, so that only its texts are collected; equal texts count once
     ids = [r["h"] for r in picked.groupBy("h").agg(F.lit(1).alias("one")).orderBy("h").limit(sample_docs).collect()]
 
+    bounded_batches()
+
     @F.pandas_udf("array<string>")
     def paragraphs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def some(t):  # about 40 paragraphs, spread over the text
@@ -281,6 +285,8 @@ def scan(text: Column, model: Model) -> Column:
     """Paragraphs with a licence: family or ``unknown``, calibrated probability
     (of the family; of any licence for ``unknown``), template similarity and code
     point offsets. None for a null or empty text."""
+    bounded_batches()
+
     @F.pandas_udf(FOUND)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:

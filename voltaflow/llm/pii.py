@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from voltaflow.llm.common import bounded_batches
+
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<kind: string, start: int, end: int, base: boolean>>"
 
@@ -211,6 +213,8 @@ def redacted(text: str, spans: list[tuple[str, int, int, bool]]) -> str:
 
 def find(text: Column) -> Column:
     """Spans of a text column; none for a null or empty text."""
+    bounded_batches()
+
     @F.pandas_udf(SPAN)
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = ("kind", "start", "end", "base")
@@ -221,6 +225,8 @@ def find(text: Column) -> Column:
 
 def redact(text: Column) -> Column:
     """The text with its personal data replaced; a null text stays null."""
+    bounded_batches()
+
     @F.pandas_udf("string")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import components, cut, min_labels
+from voltaflow.llm.common import bounded_batches, components, cut, min_labels
 
 SEED = 42
 WORDS = 4
@@ -66,6 +66,8 @@ def fingerprint_of(text: str | None, words: int = WORDS, seed: int = SEED) -> in
 
 def fingerprint(text: Column, words: int = WORDS, seed: int = SEED) -> Column:
     """Fingerprint column (bigint) of a text column."""
+    bounded_batches()
+
     @F.pandas_udf("long")
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import cut
+from voltaflow.llm.common import bounded_batches, cut
 from voltaflow.session import scratch_dir
 
 FRAME_BYTES = 1 << 20
@@ -160,6 +160,8 @@ def write(rows: DataFrame, folder: str) -> DataFrame:
     """Write ``rows(record_id, uri, payload, digest, refers_to)`` as bundles
     under ``folder``; returns the manifest, checkpointed. Rows without a
     ``record_id`` aren't expected; a null payload is written as an empty one."""
+    bounded_batches()
+
     def bundles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, path = _store(folder)
         fs.create_dir(path, recursive=True)
