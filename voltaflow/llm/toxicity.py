@@ -23,12 +23,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import cut
+from voltaflow.llm.common import bounded_batches, cut
 
 #: Labelled rows of label 0 and of label 1 that training takes at most.
-SAMPLE = (14_000, 6_000)
+SAMPLE = (10_000, 5_000)
 #: Features that the model keeps at most.
-FEATURES = 4_000
+FEATURES = 1_500
 HASH_BITS = 20
 #: Weight of L2, of the counterfactual penalty, and steps of the optimiser.
 L2, SWAP, STEPS = 2e-5, 1.0, 400
@@ -92,8 +92,8 @@ def fit(rows: list[np.ndarray], swapped: list[np.ndarray], labels: np.ndarray, k
 
     def sparse(some: list[np.ndarray]):
         size = np.array([len(r) for r in some])
-        return np.repeat(np.arange(len(some)), size), np.searchsorted(kept, np.concatenate(some)) if size.sum() else \
-            np.empty(0, np.int64)
+        col = np.searchsorted(kept, np.concatenate(some)) if size.sum() else np.empty(0)
+        return np.repeat(np.arange(len(some), dtype=np.int32), size), col.astype(np.int32)
 
     at, col = sparse(rows)
     sat, scol = sparse(swapped)
@@ -132,6 +132,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = [named.where(F.col("_label") == k).orderBy(*order).limit(n) for k, n in enumerate(sample)]
     ids = chosen[0].unionByName(chosen[1])  # at most sum(sample) rows
 
+    bounded_batches()
+
     @F.pandas_udf("struct<own: array<int>, swapped: array<int>>")
     def featured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         def hashed(words):
@@ -173,6 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(text: Column, model: Model) -> Column:
     """Score from 0 to 1 of a text column; a null text is scored as an empty one."""
+    bounded_batches()
+
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, tuple[int, ...]] = {}
