@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from voltaflow.llm.common import cut
 
 NEAREST = 20
-LIST_ROWS = 1000
+LIST_ROWS = 4096
 MAX_LISTS = 16_384
 SAMPLE = 200_000
 PER_LIST = 64  # sampled vectors for each list
@@ -40,7 +40,7 @@ PROBE = 1.16
 BEAM = 256
 DEGREE = 24
 #: Vectors, and queries, of one list that a task takes at once.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 32_768
 
 
 def _balanced_split(x: np.ndarray, parts: int, rng: np.random.Generator) -> np.ndarray:
@@ -189,7 +189,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST, id_col: str =
     sample = np.c_[sample, np.sqrt(np.maximum(norm ** 2 - (sample ** 2).sum(axis=1), 0))].astype(np.float32)
     graph = Graph.build(centroids(sample, lists) if len(sample) else np.zeros((1, sizes["d"] + 1), np.float32))
 
-    postings = cut(entries.select("entry", "x", F.explode(_lists(graph, x, REPLICATE, REPLICAS, 32, norm, False))
+    postings = cut(entries.select("entry", F.col("ids")[0].alias("first"), "x", F.explode(_lists(graph, x, REPLICATE, REPLICAS, 32, norm, False))
                                   .alias("list")))
     asking = rows.where("asks").groupBy("x").agg(F.min("id").alias("q")).select(
         F.concat_ws(":", "q", F.hex(F.xxhash64("x"))).alias("question"), F.col("x").alias("qx"))
@@ -201,7 +201,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST, id_col: str =
     keys = ["list", "block", "qblock"]
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     dealt = (postings.join(F.broadcast(blocks), "list")
-             .select("list", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int").alias("block"), "entry", "x",
+             .select("list", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int").alias("block"), "entry", "first", "x",
                      every("qblocks").alias("qblock")))
     asked = (visits.join(F.broadcast(blocks), "list")
              .select("list", every("blocks").alias("block"), "question", F.col("qx").alias("qx"),
@@ -210,26 +210,28 @@ def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST, id_col: str =
 
     def products(qs: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
         if not len(qs) or not len(vs):
-            return pd.DataFrame({"question": [], "entry": [], "score": []})
+            return pd.DataFrame({"question": [], "entry": [], "first": [], "score": []})
         q, v = np.stack(qs["qx"].to_numpy()), np.stack(vs["x"].to_numpy())
-        names, entry, out = qs["question"].to_numpy(), vs["entry"].to_numpy(), []
-        for a in range(0, len(q), 512):
-            s = q[a:a + 512] @ v.T
+        names, entry, first, out = qs["question"].to_numpy(), vs["entry"].to_numpy(), vs["first"].to_numpy(), []
+        for a in range(0, len(q), 128):
+            s = q[a:a + 128] @ v.T
             n = min(most, len(v))
             # the margin keeps ties of the last place, up to the error of the product
             last = np.partition(s, len(v) - n, axis=1)[:, len(v) - n]
             i, j = np.nonzero(s >= last[:, None] - 1e-9 * np.abs(last[:, None]))
             score = _dot(q[a + i], v[j])
-            out.append(pd.DataFrame({"question": names[a + i], "entry": entry[j], "score": score}))
+            out.append(pd.DataFrame({"question": names[a + i], "entry": entry[j], "first": first[j], "score": score}))
         return pd.concat(out)
 
-    scored = (asked.groupBy(*keys).cogroup(dealt.groupBy(*keys))
-              .applyInPandas(products, "question string, entry string, score double").distinct())
-    named = scored.join(entries.select("entry", F.col("ids")), "entry")
-    place = Window.partitionBy("question").orderBy(F.desc("score"), F.col("ids")[0])
-    # the best entries hold k + 1 ids or more only if they have copies; k + 1 entries are always enough
-    best = cut(named.withColumn("place", F.row_number().over(place)).where(F.col("place") <= most)
-               .select("question", F.explode("ids").alias("id"), "score")
+    scored = asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(
+        products, "question string, entry string, first long, score double")
+    place = Window.partitionBy("question").orderBy(F.desc("score"), "first", "entry")
+    # an entry is in REPLICAS lists at most, so these rows hold the k + 1 best entries; k + 1
+    # entries are always enough, as each has at least one id
+    few = (scored.withColumn("place", F.row_number().over(place)).where(F.col("place") <= REPLICAS * most)
+           .dropDuplicates(["question", "entry"])
+           .withColumn("place", F.row_number().over(place)).where(F.col("place") <= most).drop("place"))
+    best = cut(few.join(entries.select("entry", "ids"), "entry").select("question", F.explode("ids").alias("id"), "score")
                .withColumn("place", F.row_number().over(Window.partitionBy("question").orderBy(F.desc("score"), "id")))
                .where(F.col("place") <= most))
     own = rows.where("asks").select(F.col("id").alias("query_id"), "x").join(
