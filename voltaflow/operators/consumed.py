@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltaflow.functions import constants as C
 
 LOG_KEY = ("topic", "partition", "offset")
 LOG_COLUMNS = ("timestamp", "key", "transaction_date", "transaction_hour", "region", "solar_generation_mwh")
