@@ -68,6 +68,28 @@ def test_whole_search_with_blocks_norms_copies_and_ties(frame, monkeypatch):
         assert [s for _, s in got[q]] == pytest.approx([s for _, s in want[q]])
 
 
+def test_no_cap_on_the_lists_of_a_query():
+    rng = np.random.default_rng(6)
+    c, q = rng.standard_normal((700, 12)).astype(np.float32), rng.standard_normal((30, 12)).astype(np.float32)
+    d = np.linalg.norm(q[:, None] - c[None], axis=2)
+    for factor in (1.05, 1.8, 1e9):
+        want = [set(np.flatnonzero(r <= factor * r.min() * (1 - 1e-4))) for r in d]
+        assert all(w <= set(got.tolist()) for w, got in zip(want, neighbours.visited(c, q, factor)))
+    assert max(map(len, want)) == 700
+
+
+def test_recall_with_several_hundred_lists_of_unstructured_vectors(frame):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((6000, 24))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    rows = list(enumerate(x.tolist()))
+    docs = frame(rows, "vec_id long, embedding array<float>")
+    got = as_dict(neighbours.nearest(docs, F.col("vec_id") % 20 == 0, list_rows=12).collect())
+    want = brute(rows, lambda q: q % 20 == 0, 20)
+    assert got.keys() == want.keys()
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.97
+
+
 def test_odd_vectors(frame):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]),

@@ -8,12 +8,15 @@
    brings all vectors to the largest norm. Centroids are fitted on a hash-chosen
    sample of at most about ``SAMPLE`` vectors by splitting clusters again and
    again with a size penalty, until a list is expected to hold ``LIST_ROWS``.
-3. *Graph.* Centroids are searched by beam search over an in-memory neighbour
-   graph (at most ``MAX_LISTS`` centroids, which bounds what is broadcast).
+3. *Graph.* Vectors find their lists by beam search over an in-memory neighbour
+   graph of the centroids (at most ``MAX_LISTS``, which bounds what is broadcast).
+   Queries are compared with all centroids.
 4. *Boundary vectors* go to every list whose centroid is at most ``REPLICATE``
    times as far as the nearest one, up to ``REPLICAS`` lists.
-5. *Search.* A query visits the lists whose centroid is at most ``PROBE`` times
-   as far as its nearest one. Large lists, and lists with many queries, are dealt
+5. *Search.* A query visits the lists whose centroid is at most ``probe`` times
+   as far as its nearest one. The ratio is measured: the true neighbours of up to
+   ``TUNE`` queries, by products with all vectors, tell which ratio reaches
+   ``RECALL`` of them; it is ``PROBE`` at least. Large lists, and lists with many queries, are dealt
    out in blocks. Scores are exact products of the original vectors in double
    precision; only the choice of lists is approximate.
 """
@@ -37,7 +40,9 @@ SAMPLE = 200_000
 PER_LIST = 64  # sampled vectors for each list
 REPLICATE, REPLICAS = 1.10, 4
 PROBE = 1.16
-BEAM = 256
+#: Queries whose true neighbours are looked up, and the share of these that must be reached.
+TUNE, RECALL = 256, 0.99
+BEAM = 32
 DEGREE = 24
 #: Vectors, and queries, of one list that a task takes at once.
 BLOCK_ROWS = 32_768
@@ -127,22 +132,40 @@ class Graph:
             fresh = fresh.reshape(len(q), -1)
 
 
-def _lists(graph: Graph, vec: Column, factor: float, most: int, beam: int, norm: float, query: bool) -> Column:
-    """Lists of a vector: those within ``factor`` times its nearest centroid's distance."""
+def _at_norm(x: np.ndarray, norm: float) -> np.ndarray:
+    """Queries among the centroids; the length of a query does not change the order."""
+    return np.c_[x * (norm / np.sqrt((x ** 2).sum(axis=1)))[:, None], np.zeros(len(x))]
+
+
+def _distances(centre: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Distance of each query from every centroid."""
+    d = (q ** 2).sum(axis=1)[:, None] + (centre ** 2).sum(axis=1) - 2 * q @ centre.T
+    return np.sqrt(np.maximum(d, 0))
+
+
+def visited(centre: np.ndarray, q: np.ndarray, factor: float) -> list[np.ndarray]:
+    """All lists whose centroid is within ``factor`` times the nearest one's
+    distance. All centroids are compared: that costs less than a few lists, and
+    the graph would lose some."""
+    return [np.flatnonzero(d <= factor * max(d.min(), 1e-9) + 1e-9).astype(np.int32) for d in _distances(centre, q)]
+
+
+def _lists(graph: Graph, vec: Column, factor: float, norm: float, query: bool) -> Column:
+    """Lists of a vector: those within ``factor`` times its nearest centroid's
+    distance; of an indexed vector at most ``REPLICAS``, of a query all."""
     @F.pandas_udf("array<int>")
     def chosen(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             out = []
             for a in range(0, len(s), 256):
                 x = np.stack(s.iloc[a:a + 256].to_numpy()).astype(np.float64)
-                size = (x ** 2).sum(axis=1)
-                if query:  # the length of a query does not change the order
-                    x = np.c_[x * (norm / np.sqrt(size))[:, None], np.zeros(len(x))]
-                else:
-                    x = np.c_[x, np.sqrt(np.maximum(norm ** 2 - size, 0))]
-                ids, d = graph.search(x.astype(np.float32), beam)
+                if query:
+                    out += visited(graph.centre, _at_norm(x, norm).astype(np.float32), factor)
+                    continue
+                x = np.c_[x, np.sqrt(np.maximum(norm ** 2 - (x ** 2).sum(axis=1), 0))]
+                ids, d = graph.search(x.astype(np.float32), BEAM)
                 ok = (ids >= 0) & (d <= factor * d[:, :1] + 1e-9)
-                out += [row[keep][:most].astype(np.int32) for row, keep in zip(ids, ok)]
+                out += [row[keep][:REPLICAS].astype(np.int32) for row, keep in zip(ids, ok)]
             yield pd.Series(out, dtype=object)
     return chosen(vec)
 
@@ -152,11 +175,49 @@ def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1)
 
 
+def _measured(graph: Graph, entries: DataFrame, postings: DataFrame, asking: DataFrame, norm: float, k: int) -> float:
+    """The smallest ratio, from ``PROBE`` on, at which a hash-chosen sample of the
+    queries visits a list of ``RECALL`` of its true neighbours."""
+    some = asking.orderBy(F.xxhash64("question"), "question").limit(TUNE).collect()
+    if not some:
+        return PROBE
+    q = np.array([r["qx"] for r in some], np.float64)
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, scores = np.empty((len(q), 0), object), np.empty((len(q), 0))
+        for part in batches:
+            for a in range(0, len(part), 4096):
+                own = part.iloc[a:a + 4096]
+                scores = np.concatenate([scores, q @ np.stack(own["x"].to_numpy()).T], axis=1)
+                names = np.concatenate([names, np.broadcast_to(own["entry"].to_numpy(), (len(q), len(own)))], axis=1)
+                if scores.shape[1] > k + 1:
+                    at = np.argpartition(-scores, k, axis=1)[:, :k + 1]
+                    scores, names = np.take_along_axis(scores, at, axis=1), np.take_along_axis(names, at, axis=1)
+        n = scores.shape[1]
+        yield pd.DataFrame({"nth": np.repeat(np.arange(len(q)), n), "entry": names.ravel(), "score": scores.ravel()})
+
+    # a query is no neighbour of its own
+    asked = F.element_at(F.array(*[F.lit(r["question"].rpartition(":")[2]) for r in some]), F.col("nth") + 1)
+    place = F.row_number().over(Window.partitionBy("nth").orderBy(F.desc("score"), "entry"))
+    true = (entries.select("entry", "x").mapInPandas(best, "nth int, entry string, score double")
+            .where(F.substring_index("entry", ":", -1) != asked)
+            .withColumn("place", place).where(F.col("place") <= k).select("nth", "entry"))
+    # at most TUNE * k * REPLICAS rows
+    held = postings.select("entry", "list").join(F.broadcast(true), "entry").select("nth", "entry", "list").toPandas()
+    if not len(held):
+        return PROBE
+    d = _distances(graph.centre.astype(np.float64), _at_norm(q, norm))
+    ratio = d / np.maximum(d.min(axis=1, keepdims=True), 1e-9)
+    held["ratio"] = ratio[held["nth"].to_numpy(), held["list"].to_numpy()]
+    need = np.sort(held.groupby(["nth", "entry"])["ratio"].min().to_numpy())
+    return max(PROBE, float(need[int(np.ceil(RECALL * len(need))) - 1]) * (1 + 1e-4))
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST, id_col: str = "vec_id", vec_col: str = "embedding",
-            list_rows: int = LIST_ROWS, probe: float = PROBE) -> DataFrame:
+            list_rows: int = LIST_ROWS, probe: float | None = None) -> DataFrame:
     """``query_id, rank, <id_col>, score`` of the ``k`` nearest rows found for
     each row of which ``queries`` is true, itself excluded; ties go to the
-    smaller id.
+    smaller id. Without ``probe``, the ratio of the lists to visit is measured.
 
     Vectors that are null, empty, zero or hold a null or non-finite component
     take no part, nor do rows without an id or with another number of components
@@ -189,12 +250,15 @@ def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST, id_col: str =
     sample = np.c_[sample, np.sqrt(np.maximum(norm ** 2 - (sample ** 2).sum(axis=1), 0))].astype(np.float32)
     graph = Graph.build(centroids(sample, lists) if len(sample) else np.zeros((1, sizes["d"] + 1), np.float32))
 
-    postings = cut(entries.select("entry", F.col("ids")[0].alias("first"), "x", F.explode(_lists(graph, x, REPLICATE, REPLICAS, 32, norm, False))
+    postings = cut(entries.select("entry", F.col("ids")[0].alias("first"), "x", F.explode(_lists(graph, x, REPLICATE, norm, False))
                                   .alias("list")))
-    asking = rows.where("asks").groupBy("x").agg(F.min("id").alias("q")).select(
-        F.concat_ws(":", "q", F.hex(F.xxhash64("x"))).alias("question"), F.col("x").alias("qx"))
-    visits = cut(asking.select("question", "qx", F.explode(_lists(graph, F.col("qx"), probe, BEAM, BEAM, norm, True))
-                               .alias("list")))
+    asking = cut(rows.where("asks").groupBy("x").agg(F.min("id").alias("q")).select(
+        F.concat_ws(":", "q", F.hex(F.xxhash64("x"))).alias("question"), F.col("x").alias("qx")))
+    if probe is None:
+        probe = _measured(graph, entries, postings, asking, norm, k) if len(graph.centre) > 1 else PROBE
+    # lists, not rows, are stored: a query may visit most of them
+    visits = cut(asking.select("question", "qx", _lists(graph, F.col("qx"), probe, norm, True).alias("lists")))
+    visits = visits.select("question", "qx", F.explode("lists").alias("list"))
     # one row per list: at most MAX_LISTS
     blocks = (postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
               .join(visits.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("qblocks")), "list"))
