@@ -97,6 +97,21 @@ def test_planted_leaks_are_found_and_nothing_else(frame, corpus):
     assert {r.doc_id for r in kept.collect()} == set(range(600)) - {d for d, _ in got}
 
 
+def test_every_document_shapes_the_basis(frame, corpus, monkeypatch):
+    docs, items, _ = corpus
+    docs, bench = frame(docs, SCHEMA), frame(items, ITEMS)
+
+    def basis():
+        (search, _), = dec.searches(docs, bench)
+        return search.finder.space.latent
+    whole = basis()
+    assert whole.shape[1] == dec.RANK
+    monkeypatch.setattr(dec, "FIT_DOCS", 50, raising=False)  # the size from which a sample was taken
+    part = basis()
+    # some products of words instead of the whole Gram matrix
+    assert np.allclose(part[:300] @ part.T, whole[:300] @ whole.T, atol=1e-3)
+
+
 def test_blocks_of_the_benchmark_find_the_same_exact_passages(frame, corpus):
     docs, items, want = corpus
     docs, bench = frame(docs, SCHEMA), frame(items, ITEMS)

@@ -10,8 +10,7 @@
    of unit rows, stacked with the benchmark items (weighted to the same total).
    Each task multiplies its rows by a random test matrix and back; the products
    are summed by word in a shuffle, and a Nystroem step on the driver (words by
-   ``RANK`` numbers) gives the latent basis. The basis may be fitted on a
-   hash-chosen sample of at most about ``FIT_DOCS`` documents.
+   ``RANK`` numbers) gives the latent basis. All documents take part.
 3. *Search.* Every document is covered by overlapping windows whose length
    follows the items' lengths. A window is a candidate for an item if their
    latent cosine is at least ``COSINE`` and the window covers at least ``COVER``
@@ -47,7 +46,6 @@ MAX_DF = 0.02
 RAREST = (3, 8)
 PASSAGE = 32
 RANK, EXTRA = 128, 16
-FIT_DOCS = 200_000
 COSINE, COVER = 0.45, 0.35
 EXACT, LOOSE, ANSWER = 0.8, 0.5, 0.8
 TELLING, TELLING_DF = 4, 0.25
@@ -303,10 +301,8 @@ def _fit(coded: DataFrame, items: list[tuple[int, list[int], int]], vocabulary:
                 total[w] = total.get(w, 0) + np.frombuffer(v)
         yield pd.DataFrame({"word": list(total), "v": [v.tobytes() for v in total.values()]})
 
-    share = min(1.0, FIT_DOCS / max(docs, 1))
-    sample = coded.where(F.pmod(F.xxhash64("ids"), F.lit(1_000_000)) < math.ceil(share * 1_000_000)).select("ids")
     product, rows = np.zeros((len(idf), width)), 1.0
-    for r in (sample.mapInPandas(products, "word long, v binary").repartition("word")
+    for r in (coded.select("ids").mapInPandas(products, "word long, v binary").repartition("word")
               .mapInPandas(summed, "word long, v binary").collect()):  # one row per word that is kept
         if r["word"]:
             product[r["word"]] = np.frombuffer(r["v"])
