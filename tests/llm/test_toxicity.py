@@ -38,6 +38,21 @@ def test_counterfactual_penalty_frees_neutral_mentions(frame):
     assert fair.logit({"scum"}, {}) > fair.logit({"w1"}, {}) + 1
 
 
+def test_a_sample_with_another_share_of_labels_gives_the_same_scores(frame):
+    rng = np.random.default_rng(3)
+    rows, labels = [], []
+    for k in range(6000):
+        toxic = int(rng.random() < 0.1)
+        words = [str(w) for w in rng.choice([f"w{j}" for j in range(30)], 4)]
+        rows.append((k, " ".join([*words, "hm"] if rng.random() < (0.7 if toxic else 0.2) else words), "x")), labels.append((k, toxic))
+    docs, marked = frame(rows, "doc_id long, text string, score string"), frame(labels, "doc_id long, toxic int")
+    share = np.mean([t for _, t in labels])
+    for sample in ((10_000, 5_000), (400, 400)):
+        model = toxicity.train(docs, marked, sample=sample)
+        p = [1 / (1 + np.exp(-model.logit(toxicity.words_of(t), {}))) for _, t, _ in rows]
+        assert abs(np.mean(p) - share) < 0.03
+
+
 def test_labels_of_held_out_rows_never_matter(frame):
     rows, labels = biased(200)
     held = {k for k in range(200) if zlib.crc32(str(k).encode()) % 5 == 0}

@@ -4,7 +4,9 @@
 it holds, each counted once. *Training* takes a bounded sample of labelled rows
 (``SAMPLE`` per label, by a hash of the id): Spark counts the features by label
 over the sample and keeps the ``FEATURES`` with the strongest association; the
-driver fits a logistic regression on the sample's sparse rows. Beside L2, the
+driver fits a logistic regression on the sample's sparse rows. Both weigh the
+rows of a label by what the sample leaves out of it, so scores follow the true
+share of toxic rows whatever the size of the table. Beside L2, the
 loss penalises the squared change of the logit when the identity terms of a
 labelled text are swapped for others of their category, so neutral mentions of
 a group don't carry weight. Nothing but the text is an input of a score.
@@ -81,12 +83,15 @@ class Model:
 
 
 def fit(rows: list[np.ndarray], swapped: list[np.ndarray], labels: np.ndarray, kept: np.ndarray,
-        l2: float = L2, swap: float = SWAP, steps: int = STEPS) -> Model:
+        l2: float = L2, swap: float = SWAP, steps: int = STEPS, weights: tuple[float, float] = (1.0, 1.0)) -> Model:
     """Logistic regression by Adam on sparse 0/1 rows; ``swapped`` are the
-    rows' counterfactuals. Without both labels, the score is the smoothed share
-    of label 1 for every text."""
+    rows' counterfactuals, ``weights`` the weight of a row of label 0 and 1.
+    Without both labels, the score is the smoothed share of label 1 for every
+    text."""
     n, ones = len(labels), float(labels.sum())
-    prior = (ones + 0.5) / (n + 1.0)
+    each = np.where(labels == 1, weights[1], weights[0])
+    total, heavy = each.sum(), float((each * labels).sum())
+    prior = (heavy + 0.5) / (total + 1.0)
     if not 0 < ones < n or not len(kept):
         return Model(float(np.log(prior / (1 - prior))) if n else -20.0, {})
 
@@ -104,7 +109,7 @@ def fit(rows: list[np.ndarray], swapped: list[np.ndarray], labels: np.ndarray, k
         z = np.bincount(at, w[col], n)
         change = z - np.bincount(sat, w[scol], n)
         p = 1 / (1 + np.exp(-np.clip(z + w[d], -40, 40)))
-        err, pair = (p - labels) / n, 2 * swap * change / n
+        err, pair = each * (p - labels) / total, 2 * swap * each * change / total
         grad = np.r_[np.bincount(col, (err + pair)[at], d) - np.bincount(scol, pair[sat], d) + 2 * l2 * w[:d], err.sum()]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         w -= 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
@@ -131,6 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = [F.xxhash64(F.lit(7), "_id"), "_id"]
     chosen = [named.where(F.col("_label") == k).orderBy(*order).limit(n) for k, n in enumerate(sample)]
     ids = chosen[0].unionByName(chosen[1])  # at most sum(sample) rows
+    every = {r["_label"]: r["n"] for r in named.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # ids are chosen by hash, so a label's rows stand for as many others as its ids do
+    scale = [max(1.0, every.get(k, 0) / n) if n else 1.0 for k, n in enumerate(sample)]
 
     bounded_batches()
 
@@ -154,7 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return fit([], [], np.r_[np.zeros(min(n0, 1)), np.ones(min(n1, 1))], np.empty(0, np.int64))
     counts = (rows.select("_label", F.explode("own").alias("feature")).groupBy("feature")
               .agg(F.sum("_label").alias("b"), F.sum(1 - F.col("_label")).alias("a")).where("a + b >= 3"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+    n0, n1 = n0 * scale[0], n1 * scale[1]
+    a, b = F.col("a") * F.lit(scale[0]), F.col("b") * F.lit(scale[1])
     chi = (F.pow(b * (n0 - a) - a * (n1 - b), F.lit(2.0)) / ((a + b) * (n0 + n1 - a - b) + 1.0))
     kept = np.array(sorted(r[0] for r in counts.orderBy(chi.desc(), "feature").limit(features)
                            .select("feature").collect()), np.int64)
@@ -170,7 +179,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
            .orderBy(F.xxhash64(F.lit(7), "_hash"), "_label").limit(sum(sample)).toPandas())
     own = [np.asarray(x, np.int64) for x in got["own"]]
     other = [x if y is None else np.asarray(y, np.int64) for x, y in zip(own, got["swapped"])]
-    return fit(own, other, got["_label"].to_numpy(float), kept, swap=swap)
+    y = got["_label"].to_numpy(float)
+    weights = n0 / max(1, int((y == 0).sum())), n1 / max(1, int((y == 1).sum()))
+    return fit(own, other, y, kept, swap=swap, weights=weights)
 
 
 def score(text: Column, model: Model) -> Column:
