@@ -79,6 +79,39 @@ def test_added_spans(text, want):
     assert base(text) == brute(text)
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("call plus 44 20 7946 0958 now", [("phone", "plus 44 20 7946 0958")]),
+    ("PLUS double four two zero seven nine four six zero nine five eight", [
+        ("phone", "PLUS double four two zero seven nine four six zero nine five eight")]),
+    ("plus four, four, two, zero, seven, nine, four, six, zero, nine", [
+        ("phone", "plus four, four, two, zero, seven, nine, four, six, zero, nine")]),
+    ("card four, one, one, one, one, one, one, one, one, one, one, one, one, one, one, one.", [
+        ("card", "four, one, one, one, one, one, one, one, one, one, one, one, one, one, one, one")]),
+    ("four,one  one\tone-one one one one one one one one one one one one", [
+        ("card", "four,one  one\tone-one one one one one one one one one one one one")]),
+    ("double five triple five double five triple five double four double nine", [
+        ("card", "double five triple five double five triple five double four double nine")]),
+    ("one plus one, f\u0131ve, s\u0131x and 2 plus 2", []),
+])
+def test_plus_separators_and_leading_multiples(text, want):
+    assert found(text) == want
+
+
+@given(st.lists(st.sampled_from([
+    "plus ", "Plus  ", "dot ", " dot ", " at ", "[at]", "(dot)", "{ . }", "<@>", "double ", "triple ", "one", "Two", "oh", "five ", ", ",
+    " ", "-", "\t", "_", "44", "7", "a", "example", "com", "\u200b", "\u0131", "f\u0131ve", "\u0130", "\uff11", "é", "\u0301"]), max_size=14).map("".join))
+@settings(max_examples=1500, deadline=None)
+def test_skipping_the_check_for_disguises_changes_nothing(text):
+    quick, held = pii.spans_of(text), pii._disguised
+    pii._disguised = lambda _: True
+    try:
+        assert pii.spans_of(text) == quick
+        full = pii._rewritten(text)
+    finally:
+        pii._disguised = held
+    assert pii._rewritten(text) == full
+
+
 def test_base_stays_beside_added():
     text = "a@b.co, c at d dot org, 10.0.0.1"
     assert [(k, text[a:b], own) for k, a, b, own in pii.spans_of(text)] == [

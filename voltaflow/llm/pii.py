@@ -76,22 +76,32 @@ def _char_class(codes) -> str:
 
 _ALIKE_RE = re.compile(_char_class(_ALIKE))
 _GAP = r"[\x20\t]"
-_DIGIT = "(?:" + "|".join(DIGIT_WORDS) + ")"
+
+
+def _any_case(*words: str) -> str:
+    """A pattern of words in ASCII letters of any case. ``re.IGNORECASE`` would
+    take other letters as well, such as a dotless i."""
+    return "(?:" + "|".join("".join(f"[{c}{c.upper()}]" for c in w) for w in words) + ")"
+
+
+_DIGIT, _AT, _DOT, _PLUS = _any_case(*DIGIT_WORDS), _any_case("at"), _any_case("dot"), _any_case("plus")
+_TIMES = {"double": 2, "triple": 3}
+_DIGITS = rf"(?:{_any_case(*_TIMES)}{_GAP})?{_DIGIT}"
 _SEP = rf"(?:{_GAP}{{1,2}}|-|,{_GAP}?)"
 _REWRITE = re.compile(
     rf"(?P<zero>[{ZERO_WIDTH}]+)"
-    rf"|(?P<at>(?<=[A-Za-z0-9]){_GAP}{{0,2}}(?:\[{_GAP}?(?:at|@){_GAP}?\]|\({_GAP}?(?:at|@){_GAP}?\)|\{{{_GAP}?(?:at|@){_GAP}?\}}"
-    rf"|<{_GAP}?(?:at|@){_GAP}?>){_GAP}{{0,2}}(?=[A-Za-z0-9])"
-    rf"|(?<=[A-Za-z0-9]){_GAP}{{1,2}}at{_GAP}{{1,2}}(?=[A-Za-z0-9-]{{1,63}}{_GAP}{{1,2}}dot{_GAP}{{1,2}}[A-Za-z0-9]"
-    rf"|[A-Za-z0-9-]{{1,63}}{_GAP}{{0,2}}[\[({{<]{_GAP}?(?:dot|\.){_GAP}?[\])}}>]))"
-    rf"|(?P<dot>(?<=[A-Za-z0-9]){_GAP}{{0,2}}(?:\[{_GAP}?(?:dot|\.){_GAP}?\]|\({_GAP}?(?:dot|\.){_GAP}?\)"
-    rf"|\{{{_GAP}?(?:dot|\.){_GAP}?\}}|<{_GAP}?(?:dot|\.){_GAP}?>){_GAP}{{0,2}}(?=[A-Za-z0-9])"
-    rf"|(?<=[A-Za-z0-9]){_GAP}{{1,2}}dot{_GAP}{{1,2}}(?=[A-Za-z0-9]))"
-    rf"|(?P<plus>\bplus{_GAP}{{1,2}}(?={_DIGIT}\b|[0-9]))"
-    rf"|(?P<digits>\b{_DIGIT}(?:{_SEP}(?:(?:double|triple){_GAP})?{_DIGIT})*+\b)", re.IGNORECASE)
+    rf"|(?P<at>(?<=[A-Za-z0-9]){_GAP}{{0,2}}(?:\[{_GAP}?(?:{_AT}|@){_GAP}?\]|\({_GAP}?(?:{_AT}|@){_GAP}?\)|\{{{_GAP}?(?:{_AT}|@){_GAP}?\}}"
+    rf"|<{_GAP}?(?:{_AT}|@){_GAP}?>){_GAP}{{0,2}}(?=[A-Za-z0-9])"
+    rf"|(?<=[A-Za-z0-9]){_GAP}{{1,2}}{_AT}{_GAP}{{1,2}}(?=[A-Za-z0-9-]{{1,63}}{_GAP}{{1,2}}{_DOT}{_GAP}{{1,2}}[A-Za-z0-9]"
+    rf"|[A-Za-z0-9-]{{1,63}}{_GAP}{{0,2}}[\[({{<]{_GAP}?(?:{_DOT}|\.){_GAP}?[\])}}>]))"
+    rf"|(?P<dot>(?<=[A-Za-z0-9]){_GAP}{{0,2}}(?:\[{_GAP}?(?:{_DOT}|\.){_GAP}?\]|\({_GAP}?(?:{_DOT}|\.){_GAP}?\)"
+    rf"|\{{{_GAP}?(?:{_DOT}|\.){_GAP}?\}}|<{_GAP}?(?:{_DOT}|\.){_GAP}?>){_GAP}{{0,2}}(?=[A-Za-z0-9])"
+    rf"|(?<=[A-Za-z0-9]){_GAP}{{1,2}}{_DOT}{_GAP}{{1,2}}(?=[A-Za-z0-9]))"
+    rf"|(?P<plus>\b{_PLUS}{_GAP}{{1,2}}(?={_DIGITS}\b|[0-9]))"
+    rf"|(?P<digits>\b{_DIGITS}(?:{_SEP}{_DIGITS})*+\b)")
 _BRACKET = re.compile(rf"[\[({{<]{_GAP}?(?:[@.]|[aA][tT]|[dD][oO][tT]){_GAP}?[\])}}>]")
-_WORDS = [(w, re.compile(rf"{w}\b")) for w in ("dot", *DIGIT_WORDS)]
-_RUN = re.compile(rf"(?:(double|triple){_GAP})?({_DIGIT})\b", re.IGNORECASE)
+_WORDS = [(w, re.compile(rf"{w}\b")) for w in ("dot", "plus", *DIGIT_WORDS)]
+_RUN = re.compile(rf"(?:({_any_case(*_TIMES)}){_GAP})?({_DIGIT})\b")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -145,9 +155,14 @@ def _rewritten(text: str) -> tuple[str, list[tuple[int, int, int, int]]] | None:
     if _disguised(plain):
         for m in _REWRITE.finditer(plain):
             if m.lastgroup == "digits":
+                last = None
                 for d in _RUN.finditer(m[0]):  # "double five" stands for two digits
-                    put = DIGIT_WORDS[d[2].lower()] * {"double": 2, "triple": 3}.get((d[1] or "").lower(), 1)
+                    # commas, tabs and wide gaps between digits count as one space
+                    if last is not None and m[0][last:d.start()] not in (" ", "-"):
+                        edits.append((m.start() + last, m.start() + d.start(), " "))
+                    put = DIGIT_WORDS[d[2].lower()] * _TIMES.get((d[1] or "").lower(), 1)
                     edits.append((m.start() + d.start(), m.start() + d.end(), put))
+                    last = d.end()
             else:
                 edits.append((m.start(), m.end(), {"zero": "", "at": "@", "dot": ".", "plus": "+"}[m.lastgroup]))
     if not edits:
