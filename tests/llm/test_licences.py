@@ -1,3 +1,5 @@
+import textwrap
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +65,20 @@ def test_whole_texts_are_covered_and_offsets_fit(model, prose):
         assert [text[f["start"]:f["end"]] for f in licences.scan_text(text, model) if f["family"] == family] == [line]
 
 
+@pytest.mark.parametrize("mark", ["", "// ", " * ", "# "])
+def test_templates_wrapped_at_72_columns(model, prose, mark):
+    def wrapped(t):
+        return "\n".join(mark + x for x in textwrap.wrap(t, 72 - len(mark)))
+    code = "\n".join(" ".join(p[:9]) for p in prose[600:610])
+    for family, notices in licences.NOTICES.items():
+        for t in notices:
+            for text in (wrapped(t), f"{code}\n{mark.rstrip()}\n{wrapped(t)}\n{mark.rstrip()}\n{code}", f"{code}\n{wrapped(t)}\n{code}"):
+                got = licences.scan_text(text, model)
+                assert family in {f["family"] for f in got} <= {family, "unknown"}, (t, got)
+    both = wrapped(licences.NOTICES["GPL"][4]) + f"\n{mark}SPDX-License-Identifier: MIT\n" + wrapped(licences.NOTICES["ISC"][2])
+    assert {"GPL", "MIT", "ISC"} <= {f["family"] for f in licences.scan_text(both, model)}
+
+
 def test_query_against_brute_force(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = {r.doc_id: r for r in queries.op10_licences(spark, SF).collect()}

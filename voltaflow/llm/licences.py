@@ -1,7 +1,10 @@
 """Licence scan: a trained paragraph classifier confirmed by templates.
 
-*Paragraphs* are lines; a line over ``LONG`` words is cut into overlapping
-windows, so whole texts are covered. *Features* are the word unigrams and
+*Paragraphs* are lines, and runs of lines up to one without a word (which a bare
+comment marker is, too). A line over ``LONG`` words is cut into overlapping
+windows, so whole texts are covered; a run over ``LONG`` words is cut at every
+``RUN_STEP``, so that each notice lies in a window as a whole. Comment markers
+are no words. *Features* are the word unigrams and
 bigrams that occur in the training notices, each counted once. *Training* is
 multinomial logistic regression on the driver: notices of each family, varied
 by dropped words and surrounding prose; notices of no listed family (class
@@ -13,6 +16,12 @@ A fifth of the rows calibrates the probabilities by a temperature.
 ``SURE`` holds no licence. A family needs probability ``SURE`` and a template: the
 share of a template's bigrams that the paragraph holds must reach ``ALIKE``, and
 no other family may match better. What is neither is an ``unknown`` licence.
+
+*Lines and runs.* The findings of a family are taken by similarity, lines
+before runs, then shortness. One is part of another, and left out, if they overlap and the bigrams
+that speak for it all belong to the better one's template. A run without a new
+family or place adds nothing, and an unknown line inside a notice that only its
+run shows is left out.
 """
 
 from __future__ import annotations
@@ -28,7 +37,7 @@ from pyspark.sql import functions as F
 
 from voltaflow.llm.common import bounded_batches
 
-LONG, STEP = 40, 26
+LONG, STEP, RUN_STEP = 40, 26, 11
 #: Sampled documents and prose paragraphs that training takes at most.
 SAMPLE_DOCS, PROSE = 400, 4000
 VARIANTS = 24
@@ -121,6 +130,29 @@ def units_of(text: str | None) -> Iterator[tuple[int, int]]:
                 yield m.start() + at[k][0], m.start() + at[min(k + LONG, len(at)) - 1][1]
 
 
+def runs_of(text: str | None) -> Iterator[list[tuple[int, int, int]]]:
+    """For each run of two or more lines with words: line, start and end of its words."""
+    text, run, last, nth = text or "", [], None, 0
+    for nth, m in enumerate(_LINE.finditer(text)):
+        own = [(nth, m.start() + w.start(), m.start() + w.end()) for w in _WORD.finditer(m[0])]
+        if last is not None and (not own or text[last:m.start()] not in ("\n", "\r\n", "\r")):
+            if run and run[0][0] != run[-1][0]:
+                yield run
+            run = []
+        run += own
+        last = m.end()
+    if run and run[0][0] != run[-1][0]:
+        yield run
+
+
+def windows_of(run: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The windows of a run that cross the end of a line, as ranges of its words."""
+    for k in range(0, max(1, len(run) - LONG + RUN_STEP), RUN_STEP):
+        end = min(k + LONG, len(run))
+        if run[k][0] != run[end - 1][0]:
+            yield k, end
+
+
 def bigrams(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:]))
 
@@ -137,6 +169,13 @@ def alike(words: list[str]) -> dict[str, float]:
     return out
 
 
+def _evidence(words: list[str], family: str) -> tuple[set, set]:
+    """The family's most alike template, and its bigrams among ``words``."""
+    own = bigrams(words)
+    best = max((t for f, t in _TEMPLATES if f == family), key=lambda t: len(own & t) / len(t))
+    return best, own & best
+
+
 @dataclass
 class Model:
     singles: dict[str, int]
@@ -262,23 +301,69 @@ def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
     return fit(prose)
 
 
-def scan_text(text: str | None, model: Model) -> list[dict]:
-    units, rows, words = [], [], []
-    for a, b in units_of(text):
-        w = words_of(text[a:b])
-        units.append((a, b)), words.append(w), rows.append(model.features(w))
-    if not units:
-        return []
+def _judged(words: list[list[str]], rows: list[set[int]], model: Model) -> Iterator[tuple[int, dict]]:
+    """Number and finding of the units that hold a licence."""
     p = model.probabilities(rows)
-    out = []
     for k in np.flatnonzero(p[:, 0] < SURE):
         best = 2 + int(np.argmax(p[k, 2:]))
         similar = alike(words[k])
         own, top = similar.get(CLASSES[best], 0.0), max(similar.values(), default=0.0)
         sure = p[k, best] >= SURE and own >= ALIKE and own >= top
-        out.append({"family": CLASSES[best] if sure else "unknown", "probability": round(float(p[k, best] if sure else 1 - p[k, 0]), 6),
-                    "similarity": round(own if sure else top, 6), "start": units[k][0], "end": units[k][1]})
-    return out
+        yield int(k), {"family": CLASSES[best] if sure else "unknown", "similarity": round(own if sure else top, 6),
+                       "probability": round(float(p[k, best] if sure else 1 - p[k, 0]), 6)}
+
+
+def _run_findings(text: str, model: Model) -> Iterator[dict]:
+    spans, words, rows = [], [], []
+    for run in runs_of(text):
+        if not any(text[a:b].lower() in model.singles for _, a, b in run):
+            continue
+        own = [text[a:b].lower() for _, a, b in run]
+        for k, end in windows_of(run):
+            f = model.features(own[k:end])
+            if f:  # without one it is like an empty line
+                spans.append(run[k:end]), words.append(own[k:end]), rows.append(f)
+    if not rows:
+        return
+    for k, f in _judged(words, rows, model):
+        at = [0, len(words[k]) - 1]
+        if f["family"] != "unknown":  # from the first to the last word that speaks for it
+            held = _evidence(words[k], f["family"])[1]
+            pairs = [n for n, b in enumerate(zip(words[k], words[k][1:])) if b in held]
+            at = [pairs[0], pairs[-1] + 1]
+        yield f | {"start": spans[k][at[0]][1], "end": spans[k][at[1]][2], "words": words[k][at[0]:at[1] + 1]}
+
+
+def _overlap(a: dict, b: dict) -> bool:
+    return a["start"] < b["end"] and b["start"] < a["end"]
+
+
+def scan_text(text: str | None, model: Model) -> list[dict]:
+    units = list(units_of(text))
+    if not units:
+        return []
+    words = [words_of(text[a:b]) for a, b in units]
+    lines = [f | {"start": units[k][0], "end": units[k][1], "words": words[k], "line": True}
+             for k, f in _judged(words, [model.features(w) for w in words], model)]
+    found = [*lines, *(f | {"line": False} for f in _run_findings(text, model))]
+    taken = []
+    for f in sorted((f for f in found if f["family"] != "unknown"),
+                    key=lambda f: (-f["similarity"], not f["line"], f["end"] - f["start"], f["start"])):
+        template, held = _evidence(f["words"], f["family"])
+        near = [(g, t) for g, t in taken if _overlap(f, g)]
+        if any((g["family"] == f["family"] and not (f["line"] and g["line"]))
+               or (not (f["line"] and g["line"]) and held <= t) for g, t in near):
+            continue
+        taken.append((f, template))
+    out = [f for f, _ in taken]
+    for f in lines:
+        if f["family"] == "unknown" and not any(not g["line"] and _overlap(f, g) for g, _ in taken):
+            out.append(f)
+    for f in found:
+        if f["family"] == "unknown" and not f["line"] and not any(_overlap(f, g) for g in out):
+            out.append(f)
+    return [{k: f[k] for k in ("family", "probability", "similarity", "start", "end")}
+            for f in sorted(out, key=lambda f: (f["start"], f["end"]))]
 
 
 def scan(text: Column, model: Model) -> Column:
