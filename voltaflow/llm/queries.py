@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import bpe, chat, decontaminate, licences, neighbours, pii, sharding, simhash, toxicity, warc
+from voltaflow.llm import (bpe, chat, decontaminate, licences, neighbours, packing, pii, sharding, simhash, toxicity,
+                           trie, warc)
 from voltaflow.sources.tables import read_table
 
 
@@ -88,6 +89,19 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.start").alias("starts"), F.col("found.end").alias("ends"))
 
 
+def packed(docs: DataFrame, vocabulary_path: str, pattern: str, capacity: int = packing.CAPACITY) -> DataFrame:
+    with open(vocabulary_path, encoding="utf-8") as f:
+        return packing.pack(packing.pieces(docs, f.read(), pattern, capacity), capacity)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(trie.rebuilt(trie.turns(read_table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_neighbours": op2_neighbours,
@@ -99,6 +113,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_licences": op10_licences,
+    "op12_packing": op12_packing,
+    "op13_trie": op13_trie,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
