@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaflow.llm import (bpe, chat, decontaminate, licences, neighbours, packing, pii, sharding, simhash, toxicity,
-                           trie, warc)
+from voltaflow.llm import (bpe, chat, decontaminate, licences, neighbours, packing, pii, repair, sharding, simhash,
+                           toxicity, trie, warc)
 from voltaflow.sources.tables import read_table
 
 
@@ -89,6 +89,10 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.start").alias("starts"), F.col("found.end").alias("ends"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.summary(repair.damage(read_table(spark, sf_dir, "conversations")))
+
+
 def packed(docs: DataFrame, vocabulary_path: str, pattern: str, capacity: int = packing.CAPACITY) -> DataFrame:
     with open(vocabulary_path, encoding="utf-8") as f:
         return packing.pack(packing.pieces(docs, f.read(), pattern, capacity), capacity)
@@ -113,6 +117,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_licences": op10_licences,
+    "op11_repair": op11_repair,
     "op12_packing": op12_packing,
     "op13_trie": op13_trie,
 }
