@@ -122,6 +122,14 @@ QUERIES = {
     "op13_trie": op13_trie,
 }
 
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text in SQL, bit by bit (DuckDB has no function for it)."""
+    return f"""xor(list_reduce([4294967295::BIGINT] || [ord(x)::BIGINT FOR x IN string_split({text}, '')],
+            lambda crc, byte: list_reduce([xor(crc, byte)] || [0::BIGINT FOR _ IN range(8)],
+                lambda v, _: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"""
+
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE = {
     "op3_warc": """
@@ -152,4 +160,96 @@ ORACLE = {
                CASE WHEN depth = 0 THEN '*' ELSE right(lpad(bin(prefix), 64, '0'), depth) END
                || CASE WHEN bytes > {sharding.SHARD_BYTES} THEN '+' ELSE '' END AS shard
         FROM f WHERE nth = 1""",
+    "op11_repair": f"""
+        WITH RECURSIVE d AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+            FROM conversations),
+        e AS (
+            SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM d, generate_series(1, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+        o AS (
+            SELECT *, row_number() OVER w AS i,
+                   lag(left(role, 1)) OVER w AS before, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid
+            FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+        r AS (
+            SELECT conv_id, turn, i, role, text, left(role, 1) AS initial, before || left(role, 1) AS pair,
+                   CASE WHEN solid = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                        WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM o),
+        f AS (
+            SELECT conv_id, max(i) AS size, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM r GROUP BY conv_id),
+        ins(q, p, cost, audit, body) AS (  -- inserted turns that lead from state to state (0, s: 1, u: 2, a: 3)
+            VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+                   (0, 2, 2, 'I', '\nuser:'), (1, 2, 2, 'I', '\nuser:'), (3, 2, 2, 'I', '\nuser:'), (2, 3, 2, 'I', '\nassistant:'),
+                   (0, 3, 4, 'II', '\nuser:\nassistant:'), (1, 3, 4, 'II', '\nuser:\nassistant:'),
+                   (3, 3, 4, 'II', '\nuser:\nassistant:'), (2, 2, 4, 'II', '\nassistant:\nuser:')),
+        best(conv_id, i, q, cost, audit, body) AS (
+            SELECT DISTINCT conv_id, 0::BIGINT, 0, 0::BIGINT, '', '' FROM conversations
+            UNION ALL
+            SELECT conv_id, i, q, cost, audit, body FROM (
+                SELECT b.conv_id, r.i, x.to_ AS q, b.cost + ins.cost + x.cost AS cost, b.audit || ins.audit || x.edit AS audit,
+                       b.body || ins.body || x.line AS body
+                FROM best AS b JOIN r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1 JOIN ins ON ins.q = b.q,
+                LATERAL (
+                    SELECT 'D' AS edit, 3 AS cost, ins.p AS to_, '' AS line
+                    UNION ALL
+                    SELECT 'K', (r.fault = 'truncated')::INT, CASE r.initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END,
+                           '\n' || r.role || ':' || r.text
+                    WHERE r.fault NOT IN ('blank', 'duplicate') AND ((r.initial = 's' AND ins.p = 0)
+                        OR (r.initial = 'u' AND ins.p <> 2) OR (r.initial = 'a' AND ins.p = 2))
+                    UNION ALL
+                    SELECT 'R', 2 + (r.fault = 'truncated')::INT, CASE ins.p WHEN 2 THEN 3 ELSE 2 END,
+                           CASE ins.p WHEN 2 THEN '\nassistant:' ELSE '\nuser:' END || r.text
+                    WHERE r.fault NOT IN ('blank', 'duplicate')) AS x)
+            QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1),
+        z AS (
+            SELECT b.conv_id, b.cost + ins.cost AS cost, b.audit || ins.audit AS audit, b.body || ins.body AS body
+            FROM best AS b LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM b.conv_id JOIN ins ON ins.q = b.q
+            WHERE b.i = coalesce(f.size, 0) AND ins.p IN (0, 3)
+            QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + ins.cost, b.audit || ins.audit) = 1)
+        SELECT z.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+               coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+               coalesce(illegal, 0)::BIGINT AS illegal, cost::BIGINT AS cost, audit, sha256(substr(body, 2)) AS repaired_sha256
+        FROM z LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM z.conv_id""",
+    "op13_trie": f"""
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+            FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (
+            SELECT conv_id, conv_id - conv_id % 20 AS base, {_crc32("conv_id::VARCHAR")} % 4 AS h
+            FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+        r AS (
+            SELECT c.conv_id, 0 AS part, p, role, text FROM c JOIN t ON t.conv_id = c.base AND p <= h
+            UNION ALL
+            SELECT c.conv_id, 1, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND p > h),
+        d AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS depth,
+                   len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words,
+                   md5(strlen(role) || ':' || role || ':' || text) AS token
+            FROM r),
+        m AS (  -- every beginning of every conversation
+            SELECT conv_id, depth, words, sha256(string_agg(token, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS prefix FROM d
+            UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+        n AS (
+            SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                   coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = size), '') AS ends
+            FROM m JOIN (SELECT conv_id, max(depth) AS size FROM m GROUP BY conv_id) USING (conv_id) GROUP BY depth, prefix),
+        p AS (  -- with the node above
+            SELECT n.*, up.prefix AS above FROM n LEFT JOIN m AS up ON up.conv_id = n.conv_id AND up.depth = n.depth - 1),
+        k AS (SELECT depth - 1 AS depth, above AS prefix, count(*) AS n_children FROM p WHERE depth > 0 GROUP BY ALL),
+        s AS (  -- sums over subtrees: each node counts for all nodes above it
+            SELECT up.depth, up.prefix, count(*) FILTER (k.n_children IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved
+            FROM n LEFT JOIN k USING (depth, prefix) JOIN m AS up ON up.conv_id = n.conv_id AND up.depth <= n.depth
+            GROUP BY up.depth, up.prefix)
+        SELECT p.conv_id, p.depth::BIGINT AS depth, o.conv_id AS parent_conv_id, p.n_convs::BIGINT AS n_convs,
+               coalesce(k.n_children, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+               sha256(p.ends) AS ends_sha256
+        FROM p LEFT JOIN k USING (depth, prefix) JOIN s USING (depth, prefix)
+        LEFT JOIN n AS o ON o.depth = p.depth - 1 AND o.prefix = p.above""",
 }
