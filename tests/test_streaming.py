@@ -56,17 +56,6 @@ def test_battery_stream_equals_batch(spark, tmp):
     assert got == exp
 
 
-def test_dedup_stream_within_watermark(spark, tmp):
-    t = dt.datetime(2024, 1, 1)
-    rows = [("a", 0, 1, t + dt.timedelta(seconds=i), i) for i in range(3)] + \
-           [("a", 0, 2, t + dt.timedelta(seconds=5), 9), ("b", 1, 1, t, 10)]
-    df = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp timestamp, arrival long")
-    df.coalesce(1).write.parquet(tmp + "/in")
-    s = read_topics(spark, "parquet", tmp + "/in", schema=df.schema)
-    _drain(dedup_stream(s), "dedup_out")
-    assert spark.table("dedup_out").count() == 3
-
-
 def test_control_stream_equals_batch(spark, tmp):
     readings = power_readings(spark, SF_SMALL)
     schema = _land_by_time(readings, tmp + "/in", "ts")
@@ -133,13 +122,3 @@ def test_observed_row_count(spark):
     df, obs = observed(solar_features(solar_hourly(spark, SF_SMALL)), "features_rows")
     n = df.count()
     assert obs.get["rows"] == n
-
-
-def test_progress_stats(spark, tmp):
-    from voltaflow.streaming.sources import progress_stats
-    raw = consumed_raw(spark, SF_SMALL)
-    schema = _land_by_time(raw, tmp + "/in", "timestamp")
-    s = read_topics(spark, "parquet", tmp + "/in/*", schema=schema, max_per_trigger=1)
-    q = _drain(dedup_stream(s), "progress_out")
-    stats = progress_stats(spark, q, topic="solar_raw_data")
-    assert stats.agg(F.sum("messages_consumed")).first()[0] == raw.count()

@@ -3,9 +3,13 @@ the classpath; file formats for tests and landed data)."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
+from voltaflow.session import path_exists
 from voltaflow.sources.messages import produce_totals, solar_envelope
 
 
@@ -93,16 +97,61 @@ def read_topic_batch(spark: SparkSession, fmt: str, source: str, schema=None, li
     return df.orderBy(*order).limit(limit) if limit else df
 
 
-def progress_stats(spark: SparkSession, query, topic: str | None = None) -> DataFrame:
-    """Consumption statistics of a running/finished stream, one row per
-    micro-batch: rows, trigger duration and milliseconds per message (the
-    streaming form of the consumption-stats table; progress reports are
-    small driver-side metadata, not data)."""
-    rows = []
-    for p in query.recentProgress:
-        n = int(p.get("numInputRows", 0) or 0)
-        ms = float((p.get("durationMs") or {}).get("triggerExecution", 0) or 0)
-        rows.append((topic or query.name or "stream", int(p.get("batchId", -1)), p.get("timestamp"), n, ms,
-                     ms / n if n else 0.0))
-    return spark.createDataFrame(rows, "topic string, batch_id bigint, start_time string, messages_consumed bigint, "
-                                       "duration_ms double, avg_processing_time_ms double")
+class ConsumptionLog(StreamingQueryListener):
+    """Writes one row for each micro-batch of the session's streams to a shared folder.
+
+    Spark itself remembers the last batches only. A batch is a file named by query
+    and batch, so a batch that is reported or run again replaces its row. Idle
+    triggers, which run no batch, are left out. Add it with
+    ``spark.streams.addListener`` and read the rows with ``consumption_log``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__()
+        self._spark, self.path = spark, path.rstrip("/")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress.json)
+        spent = p.get("durationMs") or {}
+        if "addBatch" not in spent:
+            return
+        row = {"query": p["id"], "name": p.get("name"), "batch_id": int(p["batchId"]), "start_time": p["timestamp"],
+               "messages_consumed": int(p.get("numInputRows") or 0), "duration_ms": float(spent.get("triggerExecution") or 0)}
+        jvm = self._spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{row['query']}-{row['batch_id']:012d}.json")
+        store = target.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration())
+        out = store.create(target, True)
+        try:
+            out.write(bytearray((json.dumps(row) + "\n").encode()))
+        finally:
+            out.close()
+
+
+LOG_DDL = "query string, name string, batch_id bigint, start_time string, messages_consumed bigint, duration_ms double"
+
+
+def consumption_log(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
+    """The log's rows, one per micro-batch, with milliseconds per message; empty before the first batch."""
+    rows = spark.read.schema(LOG_DDL).json(path) if path_exists(spark, path) else spark.createDataFrame([], LOG_DDL)
+    n, ms = F.col("messages_consumed"), F.col("duration_ms")
+    name = F.lit(topic) if topic else F.coalesce("name", F.lit("stream"))
+    return rows.select(name.alias("topic"), "query", "batch_id", F.col("start_time").try_cast("timestamp").alias("start_time"),
+                       "messages_consumed", "duration_ms", F.when(n > 0, ms / n).otherwise(0.0).alias("avg_processing_time_ms"))
+
+
+def progress_stats(log: DataFrame) -> DataFrame:
+    """One row per topic over all its micro-batches: batches, messages, first start,
+    time spent and mean milliseconds per message (the streaming form of the
+    consumption-stats table)."""
+    n, ms = F.sum("messages_consumed"), F.sum("duration_ms")
+    return log.groupBy("topic").agg(F.count(F.lit(1)).alias("batches"), n.alias("messages_consumed"), F.min("start_time").alias("start_time"),
+                                    ms.alias("duration_ms"), F.when(n > 0, ms / n).otherwise(0.0).alias("avg_processing_time_ms"))
