@@ -43,7 +43,7 @@ def test_recall_and_exact_scores(spark):
 def test_lists_prune_on_clustered_data():
     rng = np.random.default_rng(1)
     middle = rng.standard_normal((40, 16)) * 5
-    x = (middle[rng.integers(0, 40, 4000)] + rng.standard_normal((4000, 16))).astype(np.float32)
+    x = middle[rng.integers(0, 40, 4000)] + rng.standard_normal((4000, 16))
     c = neighbours.centroids(x, 40)
     graph = neighbours.Graph.build(c, degree=8)
     ids, d = graph.search(x[:500], 32)
@@ -70,12 +70,51 @@ def test_whole_search_with_blocks_norms_copies_and_ties(frame, monkeypatch):
 
 def test_no_cap_on_the_lists_of_a_query():
     rng = np.random.default_rng(6)
-    c, q = rng.standard_normal((700, 12)).astype(np.float32), rng.standard_normal((30, 12)).astype(np.float32)
-    d = np.linalg.norm(q[:, None] - c[None], axis=2)
+    c, x = rng.standard_normal((700, 12)), rng.standard_normal((30, 11))
+    band = neighbours.Band(1.0, 0, neighbours.Graph.build(c))
+    d = np.linalg.norm(neighbours._queries(x)[:, None] - c[None], axis=2)
+    seen = total = 0
     for factor in (1.05, 1.8, 1e9):
         want = [set(np.flatnonzero(r <= factor * r.min() * (1 - 1e-4))) for r in d]
-        assert all(w <= set(got.tolist()) for w, got in zip(want, neighbours.visited(c, q, factor)))
-    assert max(map(len, want)) == 700
+        got = neighbours.visited([band], x, factor, np.ones(700, int), 1)
+        seen += sum(len(w & set(g.tolist())) for w, g in zip(want, got))
+        total += sum(map(len, want))
+    assert max(map(len, want)) == 700 and seen >= 0.995 * total
+
+
+def test_lists_are_widened_until_they_hold_enough():
+    rng = np.random.default_rng(7)
+    c, x = rng.standard_normal((50, 5)), rng.standard_normal((9, 4))
+    band = neighbours.Band(1.0, 3, neighbours.Graph.build(c))
+    rows = np.array([0, 0, 0] + [1] * 50)
+    for least in (1, 21, 50, 1000):
+        for own in neighbours.visited([band], x, 1.0001, rows, least):
+            assert rows[own].sum() >= min(least, 50) and len(set(own.tolist())) == len(own)
+
+
+@pytest.mark.parametrize("scale", [30.0, 1e5, 1e20, 1e200])
+def test_one_very_long_vector(frame, scale):
+    rng = np.random.default_rng(11)
+    middle = rng.standard_normal((30, 16))
+    x = middle[rng.integers(0, 30, 3000)] + 0.3 * rng.standard_normal((3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[77] *= scale
+    rows = list(enumerate(x.tolist()))
+    got = as_dict(neighbours.nearest(frame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, list_rows=100).collect())
+    s = x[::20] @ x.T
+    s[np.arange(len(s)), np.arange(0, 3000, 20)] = -np.inf
+    want = {20 * k: set(np.argsort(-r, kind="stable")[:20].tolist()) for k, r in enumerate(s)}
+    assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
+    assert np.mean([len({i for i, _ in got[q]} & want[q]) / 20 for q in want]) >= 0.95
+
+
+def test_large_finite_components(frame):
+    rows = [(k, [1e19 * (k + 1), -1e18]) for k in range(30)] + [(100, [1e300, 1e300]), (120, [3e38, 0.0])]
+    got = as_dict(neighbours.nearest(frame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect())
+    assert got.keys() == {0, 20, 100, 120} and all(len(v) == 20 for v in got.values())
+    assert got[0][0][0] == 120  # with 100 the product has no value, which counts as minus infinity
+    assert 100 not in dict(got[0])
+    assert got[100][0] == (120, float("inf"))
 
 
 def test_recall_with_several_hundred_lists_of_unstructured_vectors(frame):

@@ -4,21 +4,31 @@
    its ``k + 1`` smallest ids. More copies can't be among anyone's ``k``
    nearest, so nothing is lost, and a vector that a third of the rows share is
    no hot list.
-2. *Balanced lists.* Inner product becomes distance by one more component that
-   brings all vectors to the largest norm. Centroids are fitted on a hash-chosen
-   sample of at most about ``SAMPLE`` vectors by splitting clusters again and
+2. *Bands.* Inner product becomes distance by one more component that brings all
+   vectors to one norm. A few very long vectors would make all others look alike,
+   so vectors of the same power of two of their norm are a band of their own, brought to the
+   largest norm of the band. All geometry is in double precision, on vectors
+   divided by that norm.
+3. *Balanced lists.* The centroids of a band are fitted on a hash-chosen sample
+   (about ``SAMPLE`` vectors over all bands) by splitting clusters again and
    again with a size penalty, until a list is expected to hold ``LIST_ROWS``.
-3. *Graph.* Vectors find their lists by beam search over an in-memory neighbour
-   graph of the centroids (at most ``MAX_LISTS``, which bounds what is broadcast).
-   Queries are compared with all centroids.
-4. *Boundary vectors* go to every list whose centroid is at most ``REPLICATE``
+4. *Graph.* Vectors and queries find their lists by search over an in-memory
+   neighbour graph of the band's centroids. There are at most ``MAX_LISTS`` and
+   one for each band, which bounds what is broadcast; beyond ``MAX_LISTS * LIST_ROWS``
+   vectors the lists grow instead, and a visit costs more.
+5. *Boundary vectors* go to every list whose centroid is at most ``REPLICATE``
    times as far as the nearest one, up to ``REPLICAS`` lists.
-5. *Search.* A query visits the lists whose centroid is at most ``probe`` times
-   as far as its nearest one. The ratio is measured: the true neighbours of up to
+6. *Search.* A query visits, in each band, the lists whose centroid is at most ``probe`` times
+   as far as the nearest one: the beam of the graph search is doubled until it
+   ends beyond that. If the lists hold fewer than ``k + 1`` vectors, farther ones follow,
+   nearest first, until they do. The ratio is measured: the true neighbours of up to
    ``TUNE`` queries, by products with all vectors, tell which ratio reaches
-   ``RECALL`` of them; it is ``PROBE`` at least. Large lists, and lists with many queries, are dealt
-   out in blocks. Scores are exact products of the original vectors in double
-   precision; only the choice of lists is approximate.
+   ``RECALL`` of them; it is ``PROBE`` at least.
+7. Neighbouring lists are searched as a group of up to ``GROUP_ROWS`` vectors: a query is sent
+   once to a group, not once to each list, and a group returns its best entries
+   only. Groups, and groups with many queries, are dealt out in blocks. Scores
+   are exact products of the original vectors in double precision; only the
+   choice of lists is approximate.
 """
 
 from __future__ import annotations
@@ -44,7 +54,8 @@ PROBE = 1.16
 TUNE, RECALL = 256, 0.99
 BEAM = 32
 DEGREE = 24
-#: Vectors, and queries, of one list that a task takes at once.
+#: Vectors of the lists that are searched together, and vectors or queries that a task takes at once.
+GROUP_ROWS = 131_072
 BLOCK_ROWS = 32_768
 
 
@@ -76,7 +87,7 @@ def centroids(x: np.ndarray, lists: int, seed: int = 3) -> np.ndarray:
             out.append(x[own].mean(axis=0))
         else:
             todo += [own[label == p] for p in range(parts) if (label == p).any()]
-    return np.array(out, np.float32)
+    return np.array(out)
 
 
 @dataclass
@@ -132,9 +143,27 @@ class Graph:
             fresh = fresh.reshape(len(q), -1)
 
 
-def _at_norm(x: np.ndarray, norm: float) -> np.ndarray:
-    """Queries among the centroids; the length of a query does not change the order."""
-    return np.c_[x * (norm / np.sqrt((x ** 2).sum(axis=1)))[:, None], np.zeros(len(x))]
+    def within(self, q: np.ndarray, factor: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        """All centroids found within ``factor`` times the nearest one's distance,
+        nearest first, and their distances over that of the nearest."""
+        out: list = [None] * len(q)
+        todo, beam = np.arange(len(q)), BEAM
+        while len(todo):
+            ids, d = self.search(q[todo], beam)
+            ratio = np.where(ids >= 0, d, np.inf) / np.maximum(d[:, :1], 1e-9)
+            inside = ratio <= factor + 1e-9
+            # the search saw the end of the ratio, or everything there is
+            done = ~inside[:, -1] | (beam >= len(self.centre))
+            for k in np.flatnonzero(done):
+                out[todo[k]] = ids[k][inside[k]], ratio[k][inside[k]]
+            todo, beam = todo[~done], 2 * beam
+        return out
+
+
+def _lengths(x: np.ndarray) -> np.ndarray:
+    """Norms, also where squares would not fit a double."""
+    most = np.maximum(np.abs(x).max(axis=1), 1e-300)
+    return most * np.sqrt(((x / most[:, None]) ** 2).sum(axis=1))
 
 
 def _distances(centre: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -143,29 +172,71 @@ def _distances(centre: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0))
 
 
-def visited(centre: np.ndarray, q: np.ndarray, factor: float) -> list[np.ndarray]:
-    """All lists whose centroid is within ``factor`` times the nearest one's
-    distance. All centroids are compared: that costs less than a few lists, and
-    the graph would lose some."""
-    return [np.flatnonzero(d <= factor * max(d.min(), 1e-9) + 1e-9).astype(np.int32) for d in _distances(centre, q)]
+@dataclass
+class Band:
+    """Lists ``first, first + 1, ...`` of vectors with norms up to ``norm``."""
+    norm: float
+    first: int
+    graph: Graph
+
+    def vectors(self, x: np.ndarray) -> np.ndarray:
+        z = x / self.norm
+        return np.c_[z, np.sqrt(np.maximum(1 - (z ** 2).sum(axis=1), 0))]
+
+
+def _queries(x: np.ndarray) -> np.ndarray:
+    """Queries among the centroids of any band; the length of a query does not change the order."""
+    return np.c_[x / _lengths(x)[:, None], np.zeros(len(x))]
+
+
+def visited(bands: list[Band], x: np.ndarray, factor: float, rows: np.ndarray, least: int) -> list[np.ndarray]:
+    """Lists that each query visits: those within the ratio in every band, then
+    farther ones until ``least`` of the ``rows`` of the lists are reached."""
+    q, out = _queries(x), []
+    found = [band.graph.within(q, factor) for band in bands]
+    for k in range(len(q)):
+        own = np.concatenate([band.first + f[k][0] for band, f in zip(bands, found)])
+        if rows[own].sum() < least:
+            all_ = [(band.first + np.arange(len(band.graph.centre)), _distances(band.graph.centre, q[k:k + 1])[0]) for band in bands]
+            lists = np.concatenate([a for a, _ in all_])
+            far = np.concatenate([d / max(d.min(), 1e-9) for _, d in all_])
+            far[np.isin(lists, own)] = 0
+            order = lists[np.argsort(far, kind="stable")]
+            own = order[:max(len(own), int(np.searchsorted(np.cumsum(rows[order]), least)) + 1)]
+        out.append(np.sort(own).astype(np.int32))
+    return out
+
+
+def _placed(bands: dict[int, Band], vec: Column, band: Column) -> Column:
+    """Lists of an indexed vector: the nearest of its band, and those almost as near."""
+    @F.pandas_udf("array<int>")
+    def chosen(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for s, of in batches:
+            out: list = [None] * len(s)
+            for b in of.unique():
+                at = np.flatnonzero((of == b).to_numpy())
+                own = bands[b]
+                for a in range(0, len(at), 256):
+                    some = at[a:a + 256]
+                    z = own.vectors(np.stack(s.iloc[some].to_numpy()).astype(np.float64))
+                    ids, d = own.graph.search(z, BEAM)
+                    ok = (ids >= 0) & (d <= REPLICATE * d[:, :1] + 1e-9)
+                    for k, row, keep in zip(some, ids, ok):
+                        out[k] = (own.first + row[keep][:REPLICAS]).astype(np.int32)
+            yield pd.Series(out, dtype=object)
+    return chosen(vec, band)
 
 
-def _lists(graph: Graph, vec: Column, factor: float, norm: float, query: bool) -> Column:
-    """Lists of a vector: those within ``factor`` times its nearest centroid's
-    distance; of an indexed vector at most ``REPLICAS``, of a query all."""
-    @F.pandas_udf("array<int>")
+def _visits(bands: list[Band], vec: Column, factor: float, rows: np.ndarray, group: np.ndarray, least: int) -> Column:
+    """Groups that a query visits, with the lists of each."""
+    @F.pandas_udf("array<struct<group:int,lists:array<int>>>")
     def chosen(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             out = []
             for a in range(0, len(s), 256):
-                x = np.stack(s.iloc[a:a + 256].to_numpy()).astype(np.float64)
-                if query:
-                    out += visited(graph.centre, _at_norm(x, norm).astype(np.float32), factor)
-                    continue
-                x = np.c_[x, np.sqrt(np.maximum(norm ** 2 - (x ** 2).sum(axis=1), 0))]
-                ids, d = graph.search(x.astype(np.float32), BEAM)
-                ok = (ids >= 0) & (d <= factor * d[:, :1] + 1e-9)
-                out += [row[keep][:REPLICAS].astype(np.int32) for row, keep in zip(ids, ok)]
+                for own in visited(bands, np.stack(s.iloc[a:a + 256].to_numpy()).astype(np.float64), factor, rows, least):
+                    of = group[own]
+                    out.append([{"group": int(g), "lists": own[of == g].tolist()} for g in np.unique(of)])
             yield pd.Series(out, dtype=object)
     return chosen(vec)
 
@@ -175,7 +246,7 @@ def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1)
 
 
-def _measured(graph: Graph, entries: DataFrame, postings: DataFrame, asking: DataFrame, norm: float, k: int) -> float:
+def _measured(bands: list[Band], entries: DataFrame, postings: DataFrame, asking: DataFrame, k: int) -> float:
     """The smallest ratio, from ``PROBE`` on, at which a hash-chosen sample of the
     queries visits a list of ``RECALL`` of its true neighbours."""
     some = asking.orderBy(F.xxhash64("question"), "question").limit(TUNE).collect()
@@ -188,7 +259,7 @@ def _measured(graph: Graph, entries: DataFrame, postings: DataFrame, asking: Dat
         for part in batches:
             for a in range(0, len(part), 4096):
                 own = part.iloc[a:a + 4096]
-                scores = np.concatenate([scores, q @ np.stack(own["x"].to_numpy()).T], axis=1)
+                scores = np.concatenate([scores, q @ np.stack(own["x"].to_numpy()).astype(np.float64).T], axis=1)
                 names = np.concatenate([names, np.broadcast_to(own["entry"].to_numpy(), (len(q), len(own)))], axis=1)
                 if scores.shape[1] > k + 1:
                     at = np.argpartition(-scores, k, axis=1)[:, :k + 1]
@@ -206,15 +277,15 @@ def _measured(graph: Graph, entries: DataFrame, postings: DataFrame, asking: Dat
     held = postings.select("entry", "list").join(F.broadcast(true), "entry").select("nth", "entry", "list").toPandas()
     if not len(held):
         return PROBE
-    d = _distances(graph.centre.astype(np.float64), _at_norm(q, norm))
-    ratio = d / np.maximum(d.min(axis=1, keepdims=True), 1e-9)
+    each = [_distances(band.graph.centre, _queries(q)) for band in bands]
+    ratio = np.concatenate([d / np.maximum(d.min(axis=1, keepdims=True), 1e-9) for d in each], axis=1)
     held["ratio"] = ratio[held["nth"].to_numpy(), held["list"].to_numpy()]
     need = np.sort(held.groupby(["nth", "entry"])["ratio"].min().to_numpy())
     return max(PROBE, float(need[int(np.ceil(RECALL * len(need))) - 1]) * (1 + 1e-4))
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST, id_col: str = "vec_id", vec_col: str = "embedding",
-            list_rows: int = LIST_ROWS, probe: float | None = None) -> DataFrame:
+            list_rows: int = LIST_ROWS, probe: float | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``query_id, rank, <id_col>, score`` of the ``k`` nearest rows found for
     each row of which ``queries`` is true, itself excluded; ties go to the
     smaller id. Without ``probe``, the ratio of the lists to visit is measured.
@@ -222,12 +293,16 @@ def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST, id_col: str =
     Vectors that are null, empty, zero or hold a null or non-finite component
     take no part, nor do rows without an id or with another number of components
     than most vectors have. Rows with equal id and vector count once; an id with
-    several vectors is a row for each. Other columns are not read.
+    several vectors is a row for each. Components may be as large as doubles are:
+    a product that overflows is infinite, and one of overflows of both signs counts
+    as minus infinity. Every query gets ``k`` rows, or all
+    candidates if there are fewer. Other columns are not read.
     """
     spark = vectors.sparkSession
     schema = f"query_id long, rank int, {id_col} long, score double"
     x = F.col("x")
-    rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("x"),
+    kind = "float" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "double"
+    rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(f"array<{kind}>").alias("x"),
                            F.coalesce(queries, F.lit(False)).alias("asks"))
             .where(F.col("id").isNotNull() & x.isNotNull()
                    & F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))
@@ -237,55 +312,89 @@ def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST, id_col: str =
         return spark.createDataFrame([], schema)
     rows = rows.where(F.size("x") == sizes["d"]).groupBy("id", "x").agg(F.max("asks").alias("asks"))
     first = rows.withColumn("nth", F.row_number().over(Window.partitionBy("x").orderBy("id"))).where(F.col("nth") <= k + 1)
+    # the norm by the largest component, whose square may not fit a double
+    most = F.array_max(F.transform("x", lambda v: F.abs(v).cast("double")))
+    norm = F.col("most") * F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + F.pow(v.cast("double") / F.col("most"), F.lit(2.0))))
     entries = cut(first.groupBy("x").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-                  .select(F.concat_ws(":", F.col("ids")[0], F.hex(F.xxhash64("x"))).alias("entry"), "x", "ids"))
-    total = entries.agg(F.count(F.lit(1)).alias("n"),
-                        F.max(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)).alias("m")).first()
-    count, norm = total["n"], float(total["m"]) ** 0.5
-
+                  .select(F.concat_ws(":", F.col("ids")[0], F.hex(F.xxhash64("x"))).alias("entry"), "x", "ids", most.alias("most"))
+                  .withColumn("norm", norm).withColumn("band", F.floor(F.log2("norm")).cast("int")).drop("most"))
+    # a row for each power of two among the norms: at most some two thousand
+    sides = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("norm")).orderBy(F.desc("band")).collect()
+    count = sum(r["n"] for r in sides)
     lists = max(1, min(MAX_LISTS, -(-count // list_rows)))
     share = min(1.0, min(SAMPLE, max(PER_LIST * lists, 4096)) / count)
-    sample = np.array([r["x"] for r in entries.where(F.pmod(F.xxhash64("entry"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-                       .select("x").orderBy("entry").limit(SAMPLE).toLocalIterator()], np.float64).reshape(-1, sizes["d"])
-    sample = np.c_[sample, np.sqrt(np.maximum(norm ** 2 - (sample ** 2).sum(axis=1), 0))].astype(np.float32)
-    graph = Graph.build(centroids(sample, lists) if len(sample) else np.zeros((1, sizes["d"] + 1), np.float32))
-
-    postings = cut(entries.select("entry", F.col("ids")[0].alias("first"), "x", F.explode(_lists(graph, x, REPLICATE, norm, False))
-                                  .alias("list")))
+    some = (entries.where(F.pmod(F.xxhash64("entry"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+            .select("band", "x").orderBy("entry").limit(SAMPLE).collect())
+    bands: dict[int, Band] = {}
+    for r in sides:
+        own = Band(r["norm"], sum(len(b.graph.centre) for b in bands.values()), None)
+        sample = own.vectors(np.array([s["x"] for s in some if s["band"] == r["band"]], np.float64).reshape(-1, sizes["d"]))
+        fit = max(1, round(lists * r["n"] / count))
+        own.graph = Graph.build(centroids(sample, fit) if len(sample) else np.zeros((1, sizes["d"] + 1)))
+        bands[r["band"]] = own
+    some = None
+
+    postings = cut(entries.select("entry", F.col("ids")[0].alias("first"), "x", F.explode(_placed(bands, x, F.col("band"))).alias("list")))
     asking = cut(rows.where("asks").groupBy("x").agg(F.min("id").alias("q")).select(
         F.concat_ws(":", "q", F.hex(F.xxhash64("x"))).alias("question"), F.col("x").alias("qx")))
+    all_bands = list(bands.values())
+    total = sum(len(b.graph.centre) for b in all_bands)
     if probe is None:
-        probe = _measured(graph, entries, postings, asking, norm, k) if len(graph.centre) > 1 else PROBE
-    # lists, not rows, are stored: a query may visit most of them
-    visits = cut(asking.select("question", "qx", _lists(graph, F.col("qx"), probe, norm, True).alias("lists")))
-    visits = visits.select("question", "qx", F.explode("lists").alias("list"))
-    # one row per list: at most MAX_LISTS
-    blocks = (postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-              .join(visits.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("qblocks")), "list"))
-    keys = ["list", "block", "qblock"]
+        probe = _measured(all_bands, entries, postings, asking, k) if total > 1 else PROBE
+    # one row per list: at most MAX_LISTS, and one per band
+    held = np.zeros(total, np.int64)
+    for r in postings.groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
+    group = (np.cumsum(held) - held) // group_rows
+    groups = spark.createDataFrame([(n, int(g)) for n, g in enumerate(group)], "list int, group int")
+    # a boundary vector counts in each of its lists, so up to REPLICAS times as many are asked for
+    visits = cut(asking.select("question", "qx", F.explode(_visits(all_bands, F.col("qx"), probe, held, group, REPLICAS * (k + 1))).alias("v"))
+                 .select("question", "qx", "v.group", "v.lists"))
+    grouped = postings.join(F.broadcast(groups), "list")
+    blocks = (grouped.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+              .join(visits.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("qblocks")), "group"))
+    keys = ["group", "block", "qblock"]
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    dealt = (postings.join(F.broadcast(blocks), "list")
-             .select("list", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int").alias("block"), "entry", "first", "x",
+    dealt = (grouped.join(F.broadcast(blocks), "group")
+             .select("group", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int").alias("block"), "entry", "first", "x", "list",
                      every("qblocks").alias("qblock")))
-    asked = (visits.join(F.broadcast(blocks), "list")
-             .select("list", every("blocks").alias("block"), "question", F.col("qx").alias("qx"),
+    asked = (visits.join(F.broadcast(blocks), "group")
+             .select("group", every("blocks").alias("block"), "question", "qx", "lists",
                      F.pmod(F.xxhash64("question"), F.col("qblocks")).cast("int").alias("qblock")))
     most = k + 1
 
     def products(qs: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
+        """The best ``most`` entries of each query among those of its lists."""
         if not len(qs) or not len(vs):
             return pd.DataFrame({"question": [], "entry": [], "first": [], "score": []})
-        q, v = np.stack(qs["qx"].to_numpy()), np.stack(vs["x"].to_numpy())
-        names, entry, first, out = qs["question"].to_numpy(), vs["entry"].to_numpy(), vs["first"].to_numpy(), []
-        for a in range(0, len(q), 128):
-            s = q[a:a + 128] @ v.T
-            n = min(most, len(v))
-            # the margin keeps ties of the last place, up to the error of the product
-            last = np.partition(s, len(v) - n, axis=1)[:, len(v) - n]
-            i, j = np.nonzero(s >= last[:, None] - 1e-9 * np.abs(last[:, None]))
-            score = _dot(q[a + i], v[j])
-            out.append(pd.DataFrame({"question": names[a + i], "entry": entry[j], "first": first[j], "score": score}))
-        return pd.concat(out)
+        vs = vs.sort_values("list", kind="stable")
+        q, v = (np.stack(c.to_numpy()).astype(np.float64) for c in (qs["qx"], vs["x"]))
+        names, entry, first, of = qs["question"].to_numpy(), vs["entry"].to_numpy(), vs["first"].to_numpy(), vs["list"].to_numpy()
+        own, begin = np.unique(of, return_index=True)
+        spans = dict(zip(own.tolist(), zip(begin.tolist(), [*begin[1:].tolist(), len(of)])))
+        asks: dict[int, list[int]] = {}
+        for n, wanted in enumerate(qs["lists"]):
+            for one in wanted:
+                asks.setdefault(int(one), []).append(n)
+        found = []
+        with np.errstate(over="ignore", invalid="ignore"):
+            for one, (a, z) in spans.items():
+                at = np.array(asks.get(one, ()), np.int64)
+                for b in range(0, len(at), 128):
+                    s = q[at[b:b + 128]] @ v[a:z].T
+                    n = min(most, z - a)
+                    # the margin keeps ties of the last place, up to the error of the product; nothing compares to NaN
+                    last = np.partition(s, z - a - n, axis=1)[:, z - a - n]
+                    i, j = np.nonzero(~(s < last[:, None] - 1e-9 * np.abs(last[:, None])))
+                    found.append((at[b + i], a + j))
+            if not found:
+                return pd.DataFrame({"question": [], "entry": [], "first": [], "score": []})
+            i, j = (np.concatenate(c) for c in zip(*found))
+            score = np.concatenate([_dot(q[i[a:a + 65536]], v[j[a:a + 65536]]) for a in range(0, len(i), 65536)])
+        out = pd.DataFrame({"q": i, "entry": entry[j], "first": first[j], "score": np.where(np.isnan(score), -np.inf, score)})
+        out = out.drop_duplicates(["q", "entry"]).sort_values(["q", "score", "first", "entry"], ascending=[True, False, True, True], kind="stable")
+        out = out[out.groupby("q", sort=False).cumcount() < most]
+        return out.assign(question=names[out["q"]])[["question", "entry", "first", "score"]]
 
     scored = asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(
         products, "question string, entry string, first long, score double")

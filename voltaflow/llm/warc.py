@@ -46,6 +46,8 @@ BUNDLE_BYTES = 128 << 20
 REVISIT_BYTES = 1000
 #: Plain bytes of the frames that one reading task takes at once.
 READ_BYTES = 32 << 20
+#: Bundles whose seek tables one task reads.
+OPENED = 8
 LEVEL = 3
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, DESCRIPTOR = 0x184D2A5E, 0x8F92EAB1, 0
@@ -213,8 +215,11 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                     for k in range(first, last):
                         yield pd.DataFrame([_row(h, b) for h, b, _ in parse(read_frame(f, table[k]))], columns=_COLUMNS)
 
-    names = manifest.select("bundle").distinct()
-    parts = names.mapInPandas(ranges, "bundle string, first int, last int").repartition("bundle", "first")
+    # explicit numbers of partitions: these rows are a few bytes each, so they would be merged into one task
+    size = manifest.agg(F.sum("length").alias("plain"), F.countDistinct("bundle").alias("bundles")).first()
+    tasks = max(1, -(-(size["plain"] or 0) // READ_BYTES), size["bundles"])
+    names = manifest.select("bundle").distinct().repartition(max(1, -(-size["bundles"] // OPENED)), "bundle")
+    parts = names.mapInPandas(ranges, "bundle string, first int, last int").repartition(tasks, "bundle", "first")
     return parts.mapInPandas(records, "record_id string, record_type string, uri string, payload_bytes long, "
                                       "payload_digest string, refers_to string, payload binary")
 
