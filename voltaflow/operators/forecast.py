@@ -1,7 +1,14 @@
-"""Solar generation regression: training frame, two pipelines, metrics, persistence."""
+"""Solar generation regression: training frame, two pipelines, metrics, persistence.
+
+The linear model can also be had from sufficient statistics (``linear_model``):
+one pass over the rows, whatever the number of models and metrics.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -20,13 +27,18 @@ def ml_training_frame(features: DataFrame) -> DataFrame:
     return features.filter(F.col(LABEL) > 0).select(*cols)
 
 
+def with_split(frame: DataFrame, train_fraction: float = C.TRAIN_FRACTION, seed: int = C.SPLIT_SEED) -> DataFrame:
+    """Adds ``_train``: whether a row is in the training split (see ``split``)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in KEY])
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 10_000
+    return frame.withColumn("_train", bucket < int(train_fraction * 10_000))
+
+
 def split(frame: DataFrame, train_fraction: float = C.TRAIN_FRACTION, seed: int = C.SPLIT_SEED):
     """Deterministic train/test split by the MD5 of the row key (unlike
     ``randomSplit`` it does not depend on partitioning or row order, and other
     engines can repeat it)."""
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in KEY])
-    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 10_000
-    flagged = frame.withColumn("_train", bucket < int(train_fraction * 10_000))
+    flagged = with_split(frame, train_fraction, seed)
     return flagged.filter("_train").drop("_train"), flagged.filter(~F.col("_train")).drop("_train")
 
 
@@ -74,6 +86,91 @@ def regression_metrics(pred: DataFrame, prediction: str = "prediction") -> DataF
     return s.select("rmse", (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("var") * F.col("n"))).alias("r2"))
 
 
+@dataclass
+class LinearModel:
+    """Coefficients by feature, and the intercept."""
+    features: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
+
+    def predict(self, frame: DataFrame) -> DataFrame:
+        """Adds ``prediction``, a plain expression."""
+        terms = [F.col(c).cast("double") * F.lit(b) for c, b in zip(self.features, self.coefficients)]
+        return frame.withColumn("prediction", sum(terms, F.lit(self.intercept)))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [("", self.intercept), *zip(self.features, self.coefficients)]
+        spark.createDataFrame(rows, "feature string, weight double").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LinearModel:
+        rows = spark.read.parquet(path).collect()  # one row per feature
+        own = {r["feature"]: r["weight"] for r in rows}
+        names = tuple(r["feature"] for r in rows if r["feature"])
+        return cls(names, tuple(own[n] for n in names), own[""])
+
+
+def moments(frame: DataFrame, features=C.FEATURE_COLUMNS, label: str = LABEL) -> dict[bool, tuple[np.ndarray, int]]:
+    """For each split the sums of products of (1, features, label), and its rows: one
+    scan, added up before the shuffle. Rows with a null take no part."""
+    cols = [F.lit(1.0), *[F.col(c).cast("double") for c in (*features, label)]]
+    n = len(cols)
+    sums = [F.sum(cols[i] * cols[j]).alias(f"s{i}_{j}") for i in range(n) for j in range(i, n)]
+    rows = with_split(frame).na.drop(subset=[*features, label]).groupBy("_train").agg(*sums).collect()
+    out = {False: (np.zeros((n, n)), 0), True: (np.zeros((n, n)), 0)}
+    for r in rows:
+        m = np.zeros((n, n))
+        for i in range(n):
+            for j in range(i, n):
+                m[i, j] = m[j, i] = r[f"s{i}_{j}"]
+        out[r["_train"]] = m, round(m[0, 0])
+    return out
+
+
+def elastic_net(m: np.ndarray, reg: float, mix: float, sweeps: int = 10_000, tol: float = 1e-13) -> tuple[np.ndarray, float]:
+    """Coefficients and intercept of the elastic net by coordinate descent on sums of
+    products. As usual the penalty is on features and label in units of their
+    standard deviations; a constant feature has no weight."""
+    mean = m[0, 1:] / m[0, 0]
+    cov = m[1:, 1:] / m[0, 0] - np.outer(mean, mean)
+    dev = np.sqrt(np.maximum(np.diag(cov), 0))
+    x, y = dev[:-1], dev[-1]
+    beta = np.zeros(len(x))
+    if y <= 0:
+        return beta, float(mean[-1])
+    use = x > 1e-12 * np.maximum(np.abs(mean[:-1]), 1)
+    unit = np.where(use, x, 1.0)
+    gram, by_label = cov[:-1, :-1] / np.outer(unit, unit), cov[:-1, -1] / (unit * y)
+    lasso, ridge = reg * mix / y, reg * (1 - mix) / y
+    for _ in range(sweeps):
+        moved = 0.0
+        for j in np.flatnonzero(use):
+            rest = by_label[j] - gram[j] @ beta + gram[j, j] * beta[j]
+            new = np.sign(rest) * max(abs(rest) - lasso, 0) / (gram[j, j] + ridge)
+            moved, beta[j] = max(moved, abs(new - beta[j])), new
+        if moved < tol:
+            break
+    beta = np.where(use, beta * y / unit, 0.0)
+    return beta, float(mean[-1] - mean[:-1] @ beta)
+
+
+def linear_model(frame: DataFrame, features=C.FEATURE_COLUMNS, label: str = LABEL,
+                 reg: float = C.LR_PARAMS["regParam"], mix: float = C.LR_PARAMS["elasticNetParam"]) -> tuple[LinearModel, dict]:
+    """The model of the training split and its metrics (``n``, ``rmse``, ``r2``) on
+    the test split, all from one scan. Without training rows there is no model."""
+    stats = moments(frame, features, label)
+    train, n = stats[True]
+    if not n:
+        raise ValueError("no training rows")
+    beta, intercept = elastic_net(train, reg, mix)
+    test, n = stats[False]
+    w = np.concatenate([[-intercept], -beta, [1.0]])  # label less prediction
+    sse = max(float(w @ test @ w), 0.0)
+    var = test[-1, -1] - test[0, -1] ** 2 / n if n else 0.0
+    metrics = {"n": n, "rmse": (sse / n) ** 0.5 if n else None, "r2": float(1 - sse / var) if var > 0 else None}
+    return LinearModel(tuple(features), tuple(float(b) for b in beta), float(intercept)), metrics
+
+
 def split_baseline(frame: DataFrame) -> DataFrame:
     """Rows of each split and, for the test split, RMSE and R^2 of predicting the
     mean of the training split: what a model has to beat."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltaflow.functions import constants as C
+from voltaflow.operators.ordered import ordered_scan
 
 MWH = "solar_generation_mwh"
 
@@ -49,25 +50,13 @@ def solar_lag_diff(df: DataFrame, key: str = "region", day: str = "transaction_d
     """``prev_generation`` = value of the previous (day, hour) row of the same
     region, and ``generation_diff`` = value - prev (NULL on the first row).
 
-    Two-level plan so a region with a long history is not one window task:
-    (1) lag inside each (region, day) - small, parallel window groups;
-    (2) the last value of every (region, day), lagged over days on that
-        24x smaller summary; joined back on (region, day), which reuses the
-        (region, day) partitioning of step 1.
-    Requires unique (region, day, hour). A NULL region or day is one like any
-    other (NULL days come first); NULL values are passed on.
+    An ordered scan: rows are dealt out by ranges of (region, day, hour), so one
+    region with a long history is spread over all tasks. Requires unique (region, day,
+    hour). A NULL region or day is one like any other (NULLs come first); NULL values
+    are passed on.
     """
-    in_day = Window.partitionBy(key, day).orderBy(hour)
-    # structs, so that a row before with a NULL value differs from no row before
-    lagged = df.withColumn("_prev_in_day", F.lag(F.struct(value)).over(in_day))
-    day_last = df.groupBy(key, day).agg(F.max_by(F.struct(value), F.coalesce(F.col(hour), F.lit(-1))).alias("_last"))
-    prev_day = day_last.select(F.col(key).alias("_key"), F.col(day).alias("_day"),
-                               F.lag("_last").over(Window.partitionBy(key).orderBy(day)).alias("_prev_day_last"))
-    out = lagged.join(prev_day, F.col(key).eqNullSafe(F.col("_key")) & F.col(day).eqNullSafe(F.col("_day")), "left")
-    prev = F.coalesce(F.col("_prev_in_day"), F.col("_prev_day_last"))[value]
-    return (out.withColumn("prev_generation", prev)
-            .withColumn("generation_diff", F.col(value) - F.col("prev_generation"))
-            .drop("_prev_in_day", "_prev_day_last", "_key", "_day"))
+    out = ordered_scan(df, [key], [day, hour], lag={"prev_generation": value})
+    return out.withColumn("generation_diff", F.col(value) - F.col("prev_generation"))
 
 
 def solar_daily_windows(df: DataFrame, key: str = "region", day: str = "transaction_date",

@@ -166,14 +166,20 @@ def q_ml_metrics(spark, sf):
     return metrics
 
 
+def q_ml_linear(spark, sf):
+    """Coefficients (the intercept as ``(intercept)``), and the metrics on the test split."""
+    model, metrics = forecast.linear_model(forecast.ml_training_frame(_features(spark, sf)))
+    rows = [("coefficient", n, b) for n, b in zip(model.features, model.coefficients)]
+    rows += [("coefficient", "(intercept)", model.intercept), ("metric", "rmse", metrics["rmse"]), ("metric", "r2", metrics["r2"])]
+    return rnd(spark.createDataFrame(rows, "kind string, name string, value double"), ("value",))
+
+
 def q_ml_predict(spark, sf):
     frame = forecast.ml_training_frame(_features(spark, sf))
-    path = scratch_dir(spark, "models")
-    forecast.train_forecast(spark, frame, models=("linear_regression",), save_dir=path)
+    path = scratch_dir(spark, "linear-model")
+    forecast.linear_model(frame)[0].save(spark, path)
     _, test = forecast.split(frame)
-    p = F.col("prediction")
-    return forecast.predict(f"{path}/linear_regression", test).select(
-        *forecast.KEY, (p.isNotNull() & ~F.isnan(p) & (F.abs(p) < float("inf"))).alias("is_finite"))
+    return rnd(forecast.LinearModel.load(spark, path).predict(test).select(*forecast.KEY, "prediction"), ("prediction",))
 
 
 def q_ml_split_baseline(spark, sf):
@@ -222,6 +228,7 @@ QUERIES = {
     "sliding_window_stats": q_sliding_window_stats,
     "ml_training_frame": q_ml_training_frame,
     "ml_metrics": q_ml_metrics,
+    "ml_linear": q_ml_linear,
     "ml_predict": q_ml_predict,
     "ml_split_baseline": q_ml_split_baseline,
 }
@@ -273,6 +280,40 @@ _SPLIT = """, frame AS (
 """
 
 
+_ML = forecast.C.FEATURE_COLUMNS
+
+
+def _elastic_net_sql(sweeps: int = 150) -> str:
+    """Elastic net by coordinate descent in a recursive query, one coordinate a step."""
+    n, reg, mix = len(_ML), forecast.C.LR_PARAMS["regParam"], forecast.C.LR_PARAMS["elasticNetParam"]
+    dev = "[" + ", ".join(f"coalesce(nullif(stddev_pop({c}::DOUBLE), 0), 1)" for c in _ML) + "]"  # 1 for a constant
+    mean = "[" + ", ".join(f"avg({c}::DOUBLE)" for c in _ML) + "]"
+    gram = "[" + ", ".join("[" + ", ".join(f"covar_pop({a}::DOUBLE, {b}::DOUBLE)" for b in _ML) + "]" for a in _ML) + "]"
+    label = "[" + ", ".join(f"covar_pop({a}::DOUBLE, {forecast.LABEL})" for a in _ML) + "]"
+    each = "generate_series(1, " + str(n) + ")"
+    rest = (f"(label[j] / (dev[j] * sy) - list_sum([gram[j][k] / (dev[j] * dev[k]) * beta[k] FOR k IN {each}])"
+            " + gram[j][j] / (dev[j] * dev[j]) * beta[j])")
+    return _CTES.replace("WITH", "WITH RECURSIVE", 1) + _SPLIT + f""",
+stats AS (
+  SELECT {dev} AS dev, {mean} AS mean, {gram} AS gram, {label} AS label, stddev_pop({forecast.LABEL}) AS sy, avg({forecast.LABEL}) AS my
+  FROM frame WHERE is_train),
+descent AS (
+  SELECT 0 AS step, [0.0::DOUBLE FOR k IN {each}] AS beta
+  UNION ALL
+  SELECT step + 1, [CASE WHEN k <> j THEN beta[k] ELSE sign(r) * greatest(abs(r) - {reg * mix} / sy, 0)
+                    / (gram[j][j] / (dev[j] * dev[j]) + {reg * (1 - mix)} / sy) END FOR k IN {each}]
+  FROM (SELECT step, beta, j, {rest} AS r, sy, gram, dev FROM (SELECT *, step % {n} + 1 AS j FROM descent), stats)
+  WHERE step < {n * sweeps}),
+model AS (
+  SELECT weights, my - list_sum([weights[k] * mean[k] FOR k IN {each}]) AS intercept
+  FROM (SELECT [beta[k] * sy / dev[k] FOR k IN {each}] AS weights, mean, my FROM descent, stats WHERE step = {n * sweeps})),
+scored AS (
+  SELECT region, transaction_date, transaction_hour, {forecast.LABEL} AS y,
+    intercept + {" + ".join(f"weights[{k + 1}] * {c}" for k, c in enumerate(_ML))} AS p
+  FROM frame, model WHERE NOT is_train)
+"""
+
+
 def _ingest_sql() -> str:
     from voltaflow.plans.oracle_control import READINGS
     return "WITH" + READINGS + """,
@@ -372,8 +413,14 @@ ORACLE = {
     "ml_training_frame": _CTES + """SELECT region, transaction_date, transaction_hour,
         month, day, weekday, is_weekend, is_daylight, solar_generation_mwh FROM features
         WHERE solar_generation_mwh > 0""",
-    "ml_predict": _CTES + _SPLIT + """SELECT region, transaction_date, transaction_hour, true AS is_finite
-        FROM frame WHERE NOT is_train""",
+    "ml_linear": _elastic_net_sql() + f"""
+        SELECT 'coefficient' AS kind, name, {sround("value")} AS value FROM (
+          SELECT unnest({list(_ML)}) AS name, unnest(weights) AS value FROM model
+          UNION ALL SELECT '(intercept)', intercept FROM model)
+        UNION ALL SELECT 'metric', 'rmse', {sround("sqrt(avg((y - p) ** 2))")} FROM scored
+        UNION ALL SELECT 'metric', 'r2', {sround("1 - sum((y - p) ** 2) / (var_pop(y) * count(*))")} FROM scored""",
+    "ml_predict": _elastic_net_sql() + f"""
+        SELECT region, transaction_date, transaction_hour, {sround("p")} AS prediction FROM scored""",
     "ml_split_baseline": _CTES + _SPLIT + f"""SELECT count(*) FILTER (WHERE is_train) AS n_train,
         count(*) FILTER (WHERE NOT is_train) AS n_test,
         {sround("sqrt(avg((solar_generation_mwh - m) ** 2) FILTER (WHERE NOT is_train))")} AS rmse,
