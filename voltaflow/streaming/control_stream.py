@@ -18,6 +18,7 @@ from voltaflow.operators.quality import rejected_readings
 from voltaflow.operators.rollups import daily_summary, upsert_first_last
 from voltaflow.plans.control_plan import DISPATCH_CARRY, requests_from_readings
 from voltaflow.session import checkpoint_root, path_exists
+from voltaflow.streaming import delta_store
 from voltaflow.streaming.state import battery_dispatch_stream
 
 
@@ -85,18 +86,41 @@ def refresh_daily_table(batch: DataFrame, results_path: str, daily_path: str) ->
     the stored results and overwrite only those date partitions. Results are
     stored by the date of ``original_timestamp``, so that filter prunes the scan;
     the day before is read as well, for results that were stamped later."""
-    spark = batch.sparkSession
     results_like = batch.withColumn("date", F.to_date("original_timestamp"))
     days = batch.select(F.to_date("timestamp").alias("day")).distinct()
+    results = _around(_stored(batch.sparkSession, results_path, results_like), batch).join(
+        days, F.to_date("timestamp") == F.col("day"), "left_semi")
+    _write_days(results, daily_path)
+
+
+def _around(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored results of the dates a batch touches and of the days before these."""
+    days = batch.select(F.to_date("timestamp").alias("day")).distinct()
     origin = batch.select(F.to_date("original_timestamp").alias("date")).distinct().unionByName(
         days.select(F.col("day").alias("date"))).unionByName(days.select(F.date_sub("day", 1).alias("date"))).distinct()
-    results = (_stored(spark, results_path, results_like).join(origin, "date", "left_semi").drop("date")
-               .join(days, F.to_date("timestamp") == F.col("day"), "left_semi"))
-    checkpoint_root(spark)
+    return stored.join(origin, "date", "left_semi").drop("date")
+
+
+def _write_days(results: DataFrame, daily_path: str) -> None:
+    checkpoint_root(results.sparkSession)
     (daily_summary(results).checkpoint().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date").parquet(daily_path))
 
 
+def ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def committed_results(spark, results_path: str, schema: str) -> DataFrame:
+    """The results of a control job with buckets, one row per result."""
+    return delta_store.read(spark, results_path, schema).drop("date")
+
+
+def committed_events(spark, results_path: str, events_path: str) -> DataFrame:
+    """Its events, of the epochs that count."""
+    return spark.read.parquet(events_path).where(F.col("epoch") <= delta_store.committed(spark, results_path))
+
+
 def append_epoch(df: DataFrame, path: str, epoch: int) -> None:
     """Append a micro-batch as the partition of its epoch; running the epoch
     again replaces that partition instead of repeating its rows."""
@@ -106,8 +130,11 @@ def append_epoch(df: DataFrame, path: str, epoch: int) -> None:
 
 def start_control_stream(readings: DataFrame, results_path: str, events_path: str, checkpoint: str,
                          scope: str = "location", trigger: dict | None = None, daily_path: str | None = None,
-                         rejected_path: str | None = None):
-    """The control job. Bound micro-batches at the source (``maxOffsetsPerTrigger``
+                         rejected_path: str | None = None, buckets: int | None = None):
+    """The control job. With ``buckets`` the results are a ``delta_store`` of that
+    many buckets a date: an epoch adds its deliveries and rewrites nothing, and it
+    counts, in all sinks, once its number is written last (``committed_results``,
+    ``committed_events``). Without, touched dates of a plain table are rewritten. Bound micro-batches at the source (``maxOffsetsPerTrigger``
     or ``maxFilesPerTrigger``): the battery state reads one battery's rows of a
     micro-batch at once. ``rejected_path`` starts a second query that keeps
     invalid readings with their errors; it is returned as ``.rejected``."""
@@ -116,6 +143,15 @@ def start_control_stream(readings: DataFrame, results_path: str, events_path: st
     def sink(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
+            if buckets:
+                delta_store.append(batch, results_path, int(epoch_id), buckets)
+                append_epoch(system_events(batch), events_path, int(epoch_id))
+                if daily_path:
+                    days = batch.select(F.to_date("timestamp").alias("day")).distinct()
+                    stored = _around(delta_store.read(batch.sparkSession, results_path, ddl(batch), upto=int(epoch_id)), batch)
+                    _write_days(stored.join(days, F.to_date("timestamp") == F.col("day"), "left_semi"), daily_path)
+                delta_store.commit(batch.sparkSession, results_path, int(epoch_id))
+                return
             merge_results(batch, results_path, int(epoch_id))
             append_epoch(system_events(batch), events_path, int(epoch_id))
             if daily_path:
