@@ -128,6 +128,46 @@ def test_blocks_of_the_benchmark_find_the_same_exact_passages(frame, corpus):
     assert {w for w in want if w[0] % 2 == 0} <= found <= want
 
 
+def test_findings_do_not_depend_on_the_blocks(frame, corpus, monkeypatch):
+    """Paraphrases too: one and several blocks, and products of a few items at a time."""
+    docs, items, want = corpus
+    docs, bench = frame(docs, SCHEMA), frame(items, ITEMS)
+    whole = {tuple(r) for r in dec.leaks(docs, bench).collect()}
+    monkeypatch.setattr(dec, "ITEMS_AT_ONCE", 7)
+    parts = set()
+    blocks = list(dec.searches(docs, bench, id_col="doc_id", block_bytes=25_000))
+    assert len(blocks) >= 5
+    for search, coded in blocks:
+        for r in coded.select("_id", search.leaks(coded["ids"]).alias("x")).collect():
+            parts |= {(r._id, x.item_id, x.cosine, x.lcs_share, x.answer_share, x.start, x.end) for x in r.x}
+    assert {w[:2] for w in parts} == {w[:2] for w in whole}
+    assert {w[:2] + w[3:] for w in parts} == {w[:2] + w[3:] for w in whole}
+    assert len({w[:2] for w in whole if w[0] % 2}) >= 0.95 * len([w for w in want if w[0] % 2])
+
+
+def test_candidates_against_every_window(spark):
+    """Both ways: all pairs that pass the checks over any window of any document, by plain LCS."""
+    docs = [(r.doc_id, dec.words_of(r.text)) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    items = [(r.item_id, dec.words_of(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id) for r in queries.op9_decontamination(spark, SF).collect()}
+    want = set()
+    for i, own in items:
+        if not own:
+            continue
+        masks, half = dec._masks(own), max(16, 1 << (len(own) - 1).bit_length()) // 2
+        for d, words in docs:
+            for a in range(0, max(len(words), 1), half):
+                region = words[max(a - half // 2, 0):a + 2 * half + half // 2]
+                if len(region) >= 0.8 * len(own) and dec.lcs(masks, len(own), region) >= 0.9 * len(own):
+                    want.add((d, i))
+    assert want and len(want & got) >= 0.9 * len(want)
+    share = {}
+    for d, i in got - want:  # what else is found holds at least half of the item in order
+        own, words = dict(items)[i], dict(docs)[d]
+        share[d, i] = dec.lcs(dec._masks(own), len(own), words) / len(own)
+    assert all(v >= dec.LOOSE for v in share.values())
+
+
 def test_query_finds_every_whole_passage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()

@@ -24,8 +24,11 @@
    at most ``TELLING_DF`` of the documents, so function words alone don't make a
    match. An item with fewer than ``TELLING`` of them must pass ``EXACT``.
 
-The benchmark is taken in blocks of at most ``BLOCK_BYTES`` of text, so what is
-collected and broadcast has a bound; a larger benchmark takes more blocks.
+Frequencies, kept words and the basis are those of the whole benchmark, so what is
+found for an item doesn't depend on the others. The driver and each worker hold the
+benchmark's distinct words (about 600 bytes each: the basis) and search items in
+blocks of at most ``BLOCK_BYTES`` of text; a larger benchmark takes more blocks. A
+product has at most ``_NONZERO / 4`` windows by ``ITEMS_AT_ONCE`` items.
 """
 
 from __future__ import annotations
@@ -53,6 +56,7 @@ BLOCK_BYTES = 8 << 20
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _NONZERO = 20_000  # matrix entries multiplied at once
+ITEMS_AT_ONCE = 1024
 LEAKS = "array<struct<item_id: long, cosine: double, lcs_share: double, answer_share: double, start: int, end: int>>"
 
 
@@ -216,9 +220,20 @@ class Finder:
             hit = used[at] == left + shift
             vec[hit] += sums[at[hit]]
         norm = np.linalg.norm(vec, axis=1)
-        heavy = norm >= COVER * self.norms[members].min() - 1e-6
-        left, vec, norm = left[heavy], vec[heavy], norm[heavy]
-        own = self.norms[members]
+        by = np.argsort(norm, kind="stable")
+        # a window can cover items up to its own weight over COVER: items in order of
+        # weight, and for each chunk the windows that are heavy enough for its lightest
+        members = sorted(members, key=lambda m: self.norms[m])
+        for c in range(0, len(members), ITEMS_AT_ONCE):
+            some = members[c:c + ITEMS_AT_ONCE]
+            own = self.norms[some]
+            heavy = np.sort(by[np.searchsorted(norm[by], COVER * own.min() - 1e-6):])
+            if not len(heavy):
+                break
+            self._pairs(ids, sizes, start, first, half, left[heavy], vec[heavy], norm[heavy], some, own, out)
+
+    def _pairs(self, ids, sizes, start, first, half, left, vec, norm, members, own, out) -> None:
+        """Candidates among windows and items by one product, and their checks."""
         dot = vec @ self.vectors[members].T
         w, k = np.nonzero((dot >= COSINE * norm[:, None] * own) & (dot >= COVER * own ** 2))
         docs = np.searchsorted(first, left[w], "right") - 1
@@ -247,7 +262,8 @@ class Finder:
                                   "answer_share": answered, "start": a, "end": b}
 
 
-def _fit(coded: DataFrame, items: list[tuple[int, list[int], int]], vocabulary: int, kind: str) -> Space:
+def _fit(coded: DataFrame, items: DataFrame, vocabulary: int, kind: str) -> Space:
+    """The space of all documents and all items, both as ``ids``."""
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, n = np.zeros(vocabulary + 1, np.int64), 0
         for part in batches:
@@ -266,9 +282,17 @@ def _fit(coded: DataFrame, items: list[tuple[int, list[int], int]], vocabulary:
     docs, df[0] = df[0], np.inf
     idf = np.log((docs + 1) / np.maximum(df + 0.5, 0.5).clip(max=1e18))
     keep, telling = df <= MAX_DF * docs, df <= TELLING_DF * docs
-    for _, ids, _ in items:
-        keep[[w for n, w in enumerate(sorted(set(ids), key=lambda w: (df[w], w))[:RAREST[1]])
-              if n < RAREST[0] or telling[w]]] = True
+
+    def rarest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        stay = np.zeros(vocabulary + 1, bool)
+        for part in batches:
+            for raw in part["ids"]:
+                own = sorted(set(np.frombuffer(raw, kind).tolist()), key=lambda w: (df[w], w))[:RAREST[1]]
+                stay[[w for n, w in enumerate(own) if n < RAREST[0] or telling[w]]] = True
+        yield pd.DataFrame({"word": np.flatnonzero(stay)})
+
+    for r in items.select("ids").mapInPandas(rarest, "word long").distinct().collect():  # benchmark words at most
+        keep[r["word"]] = True
     idf = np.where(keep, np.maximum(idf, 0.1), 0.0)
     idf[0] = 0.0
 
@@ -301,21 +325,20 @@ def _fit(coded: DataFrame, items: list[tuple[int, list[int], int]], vocabulary:
                 total[w] = total.get(w, 0) + np.frombuffer(v)
         yield pd.DataFrame({"word": list(total), "v": [v.tobytes() for v in total.values()]})
 
-    product, rows = np.zeros((len(idf), width)), 1.0
-    for r in (coded.select("ids").mapInPandas(products, "word long, v binary").repartition("word")
-              .mapInPandas(summed, "word long, v binary").collect()):  # one row per word that is kept
-        if r["word"]:
-            product[r["word"]] = np.frombuffer(r["v"])
-        else:
-            rows = max(rows, float(np.frombuffer(r["v"])[0]))
+    def product_of(rows: DataFrame) -> tuple[np.ndarray, float]:
+        out, count = np.zeros((len(idf), width)), 0.0
+        for r in (rows.select("ids").mapInPandas(products, "word long, v binary").repartition("word")
+                  .mapInPandas(summed, "word long, v binary").collect()):  # one row per word that is kept
+            if r["word"]:
+                out[r["word"]] = np.frombuffer(r["v"])
+            else:
+                count = float(np.frombuffer(r["v"])[0])
+        return out, count
+
+    product, rows = product_of(coded)
     # benchmark items are passages too, with as much weight as those of the corpus together
-    flat = np.array([w for _, ids, _ in items for w in ids], np.int64)
-    sizes = np.array([len(ids) for _, ids, _ in items], np.int64)
-    row, word, value = _rows(flat, sizes, idf)
-    own = np.zeros_like(product)
-    at, v = _gram_product(row, word, value, omega)
-    own[at] = v
-    product += own * (rows / max(1, row[-1] + 1 if len(row) else 1))
+    own, passages = product_of(items)
+    product += own * (max(rows, 1.0) / max(passages, 1.0))
     latent = np.zeros((len(idf), min(RANK, width)), np.float32)
     latent[words] = _nystroem(product[words], omega[words], RANK) * idf[words, None]
     return Space(kind, idf, telling, latent)
@@ -342,22 +365,29 @@ class Search:
 def searches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str | None = None,
              block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[Search, DataFrame]]:
     """For each block of the benchmark: its search, and the coded documents
-    (``id_col``, where given, and ``ids``) it was fitted on."""
-    items = benchmark.select("item_id", "text").where("text is not null and item_id is not null")
+    (``id_col``, where given, and ``ids``). All blocks share vocabulary and space."""
+    items = benchmark.select("item_id", "text").where("text is not null and item_id is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(1.25 * size / block_bytes))
+
+    @F.pandas_udf("array<string>")
+    def distinct_words(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: sorted(set(words_of(t)))).astype(object)
+
+    found = items.select(F.explode(distinct_words("text")).alias("w")).distinct()
+    vocabulary = {w: n + 1 for n, w in enumerate(sorted(r["w"] for r in found.collect()))}  # words, not items
+    if not vocabulary:
+        return
+    kind = "<u2" if len(vocabulary) < 1 << 16 else "<u4"
+    own = [F.col(id_col).alias("_id")] if id_col else []
+    coded = cut(docs.select(*own, encode(F.col(text_col), vocabulary).alias("ids")))
+    coded_items = cut(items.select("item_id", "text", encode(F.col("text"), vocabulary).alias("ids")).where(F.octet_length("ids") > 0))
+    space = _fit(coded, coded_items, len(vocabulary), kind)
     for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).distinct()
-        rows = sorted((r["item_id"], words_of(r["text"]), answer_words(r["text"])) for r in block.collect())
-        rows = [r for r in rows if r[1]]
-        if not rows:
-            continue
-        vocabulary = {w: n + 1 for n, w in enumerate(sorted({w for _, ws, _ in rows for w in ws}))}
-        coded_items = [(i, [vocabulary[w] for w in ws], a) for i, ws, a in rows]
-        own = [F.col(id_col).alias("_id")] if id_col else []
-        coded = cut(docs.select(*own, encode(F.col(text_col), vocabulary).alias("ids")))
-        space = _fit(coded, coded_items, len(vocabulary), "<u2" if len(vocabulary) < 1 << 16 else "<u4")
-        yield Search(vocabulary, Finder(coded_items, space)), coded
+        block = coded_items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        rows = sorted((r["item_id"], np.frombuffer(r["ids"], kind).tolist(), answer_words(r["text"])) for r in block.collect())
+        if rows:
+            yield Search(vocabulary, Finder(rows, space)), coded
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -380,9 +410,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a leak, columns as they were."""
-    out = docs
+    row = None
     for search, _ in searches(docs, benchmark, text_col):
-        ids = encode(F.col(text_col), search.vocabulary)
-        row = out.select(F.struct(*docs.columns).alias("_row"), ids.alias("_ids"))
-        out = row.where(F.size(search.leaks(F.col("_ids"))) == 0).select("_row.*")
-    return out
+        if row is None:  # one vocabulary, so texts are encoded once
+            row = docs.select(F.struct(*docs.columns).alias("_row"), encode(F.col(text_col), search.vocabulary).alias("_ids"))
+        row = row.where(F.size(search.leaks(F.col("_ids"))) == 0)
+    return docs if row is None else row.select("_row.*")
