@@ -44,7 +44,7 @@ def hourly_aggregates(results: DataFrame, time_col: str = "timestamp",
         results = upsert_first_last(results.withColumn("_at", F.col(time_col)), "result_id", "_at")
     h = F.lit(hours_per_reading)
 
-    def energy(c):  # sum(kW) x hours per reading, the sum in fixed point (order-independent)
+    def energy(c):  # sum(kW) x hours per reading
         return F.sum(F.col(c)) * h
 
     return (results.groupBy("location", hour_floor(F.col(time_col)).alias("hour_timestamp"))

@@ -180,6 +180,18 @@ def q_daily_summary(spark, sf):
     return rnd(rollups.daily_summary(P.control_results(spark, sf)), DAILY_FLOATS)
 
 
+#: Two days of the given readings.
+SOME_DAYS = ("2024-01-15", "2024-01-16")
+
+
+def q_daily_summary_days(spark, sf):
+    return rnd(rollups.daily_summary(P.control_results(spark, sf), dates=SOME_DAYS), DAILY_FLOATS)
+
+
+def q_alert_texts(spark, sf):
+    return alerts.system_events(P.control_results(spark, sf), with_payload=False).select("result_id", "event_type", "description")
+
+
 def q_daily_summary_refresh(spark, sf):
     """Summary of the first deliveries, refreshed for the (location, date)
     groups that the re-deliveries touched (old and new dates).
@@ -272,6 +284,8 @@ QUERIES = {
     "system_events": q_system_events,
     "hourly_aggregates": q_hourly_aggregates,
     "daily_summary": q_daily_summary,
+    "daily_summary_days": q_daily_summary_days,
+    "alert_texts": q_alert_texts,
     "daily_summary_refresh": q_daily_summary_refresh,
     "microgrid_dim_upsert": q_microgrid_dim_upsert,
     "recent_by_location": q_recent_by_location,
@@ -381,6 +395,15 @@ ORACLE = {
           count(*) AS record_count
         FROM results GROUP BY location, date_trunc('hour', "timestamp")) h""",
     "daily_summary": _P + _daily_sql("results"),
+    "daily_summary_days": f"SELECT * FROM ({_P + _daily_sql('results')}) WHERE date IN ({', '.join(f'DATE {d!r}' for d in SOME_DAYS)})",
+    "alert_texts": _P + """SELECT result_id, event_type, CASE event_type
+          WHEN 'LOW_EFFICIENCY' THEN 'Low efficiency score: ' || two WHEN 'HIGH_GRID_DEPENDENCY' THEN 'High grid dependency: ' || two
+          WHEN 'LOAD_SHEDDING' THEN 'Load shedding activated: ' || one || ' kW'
+          WHEN 'RENEWABLE_CURTAILMENT' THEN 'Renewable curtailment: ' || one || ' kW'
+          WHEN 'LOW_BATTERY' THEN 'Low battery SOC: ' || one || '%' ELSE 'Battery nearly full: ' || one || '%' END AS description
+        FROM (SELECT *, sign || abs(round(exact, 2)::DECIMAL(30,2))::VARCHAR AS two, sign || abs(round(exact, 1)::DECIMAL(30,1))::VARCHAR AS one
+              FROM (SELECT *, CASE WHEN metric_value < 0 THEN '-' ELSE '' END AS sign,
+                           CAST(CAST(metric_value AS VARCHAR) AS DECIMAL(38,20)) AS exact FROM sys_events))""",
     "daily_summary_refresh": _P_UPS + _daily_sql("upserted"),
     "microgrid_dim_upsert": _P + """
         SELECT location,

@@ -46,6 +46,20 @@ def q_solar_features(spark, sf):
     return _features(spark, sf).select(*FEATURE_COLS)
 
 
+def q_solar_wire_names(spark, sf):
+    """The features of records that still have the wire's field names."""
+    wire = bridge.solar_hourly(spark, sf).withColumnsRenamed({ours: theirs for theirs, ours in solar.C.SOLAR_SOURCE_FIELDS})
+    return solar.solar_features(wire).select(*FEATURE_COLS)
+
+
+def q_broker_times(spark, sf):
+    """Event times from the broker's milliseconds."""
+    raw = bridge.consumed_raw(spark, sf)
+    millis = F.unix_millis(F.col("timestamp").cast("timestamp"))
+    return raw.select("topic", "partition", "offset", "arrival",
+                      messages.event_time_from_millis(millis).cast("timestamp_ntz").alias("event_time"))
+
+
 def q_solar_lag_diff(spark, sf):
     return solar.solar_lag_diff(_features(spark, sf)).select(
         "region", "transaction_date", "transaction_hour", "solar_generation_mwh", "prev_generation",
@@ -212,6 +226,8 @@ QUERIES = {
     "json_roundtrip": q_json_roundtrip,
     "unwrap_envelope": q_unwrap_envelope,
     "solar_features": q_solar_features,
+    "solar_wire_names": q_solar_wire_names,
+    "broker_times": q_broker_times,
     "solar_lag_diff": q_solar_lag_diff,
     "solar_daily_windows": q_solar_daily_windows,
     "solar_daily_totals": q_solar_daily_totals,
@@ -352,6 +368,9 @@ ORACLE = {
         region, solar_generation_mwh FROM consumed_raw""",
     "solar_features": _CTES + f"SELECT {_FEAT} FROM features",
     "solar_parquet_roundtrip": _CTES + f"SELECT {_FEAT} FROM features",
+    "solar_wire_names": _CTES + f"SELECT {_FEAT} FROM features",
+    "broker_times": _CTES + """SELECT topic, "partition", "offset", arrival, date_trunc('milliseconds', "timestamp") AS event_time
+        FROM consumed_raw""",
     "solar_lag_diff": _CTES + """SELECT region, transaction_date, transaction_hour, solar_generation_mwh,
         lag(solar_generation_mwh) OVER w AS prev_generation,
         solar_generation_mwh - lag(solar_generation_mwh) OVER w AS generation_diff
