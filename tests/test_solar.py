@@ -128,3 +128,18 @@ def test_scratch_folders_never_clash(spark):
     a = solar_queries.q_paged_json_source(spark, "/root/testdata/sf0.01")
     solar_queries.q_paged_json_source(spark, "/root/testdata/sf0.001").count()
     assert a.count() == 5410
+
+
+def test_report_scans_its_source_once(spark):
+    from tests.conftest import SF_SMALL
+    from voltaflow.operators import solar
+    from voltaflow.sources.tables import read_table
+    df = read_table(spark, SF_SMALL, "events").selectExpr("'R' || user_id % 10 AS region", "value AS solar_generation_mwh")
+    out = solar.report(df, 3)
+    assert out._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+    got = {(r.section, r["rank"], r.key, r.metric): r.value for r in out.collect()}
+    top = solar.top_regions(df, 3).collect()
+    assert len(got) == 4 + 2 * 3
+    for n, r in enumerate(top, 1):
+        assert got["top_regions", n, r.region, "total_generation"] == r.total_generation
+    assert got["overall", 0, "all", "total_records"] == df.count()

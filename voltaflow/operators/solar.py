@@ -116,21 +116,22 @@ def daily_totals(df: DataFrame) -> DataFrame:
 
 
 def report(df: DataFrame, k: int = 5) -> DataFrame:
-    """Report as rows (section, rank, key, metric, value) instead of text."""
-    o = overall_stats(df)
-    overall = o.select(F.lit("overall").alias("section"), F.lit(0).alias("rank"), F.lit("all").alias("key"),
-                       F.explode(F.create_map(
-                           F.lit("total_records"), F.col("total_records").cast("double"),
-                           F.lit("avg_generation"), F.col("avg_generation"),
-                           F.lit("max_generation"), F.col("max_generation"),
-                           F.lit("total_generation"), F.col("total_generation"))).alias("metric", "value"))
-    top = top_regions(df, k).withColumn(
-        "rank", F.row_number().over(Window.orderBy(F.desc("avg_generation"), "region")))  # k rows only
-    regional = top.select(F.lit("top_regions").alias("section"), "rank", F.col("region").alias("key"),
-                          F.explode(F.create_map(F.lit("avg_generation"), F.col("avg_generation"),
-                                                 F.lit("total_generation"), F.col("total_generation")))
-                          .alias("metric", "value"))
-    return overall.unionByName(regional)
+    """Report as rows (section, rank, key, metric, value) instead of text: both
+    sections come from one rollup, so the source is scanned once."""
+    stats = df.rollup("region").agg(F.grouping("region").alias("_all"), F.count(F.lit(1)).cast("double").alias("total_records"),
+                                    F.avg(_v()).alias("avg_generation"), F.max(MWH).alias("max_generation"),
+                                    F.sum(_v()).alias("total_generation"))
+    overall = F.col("_all") == 1
+    place = F.row_number().over(Window.partitionBy("_all").orderBy(F.desc("avg_generation"), "region"))
+
+    def metrics(*names):
+        return F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))])
+
+    rows = stats.withColumn("rank", F.when(overall, F.lit(0)).otherwise(place)).where(F.col("rank") <= k)
+    return rows.select(F.when(overall, F.lit("overall")).otherwise(F.lit("top_regions")).alias("section"), "rank",
+                       F.when(overall, F.lit("all")).otherwise(F.col("region")).alias("key"),
+                       F.explode(F.when(overall, metrics("total_records", "avg_generation", "max_generation", "total_generation"))
+                                 .otherwise(metrics("avg_generation", "total_generation"))).alias("metric", "value"))
 
 
 def write_solar(df: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False) -> None:

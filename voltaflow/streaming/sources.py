@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from voltaflow.session import path_exists
+from voltaflow.sources import segments
 from voltaflow.sources.messages import produce_totals, solar_envelope
 
 
@@ -21,7 +22,11 @@ def read_topics(spark: SparkSession, fmt: str, source: str, schema=None, startin
     replay from the beginning with a fresh checkpoint), ``maxOffsetsPerTrigger``
     bounds a micro-batch; the frame has the usual key/value/topic/partition/
     offset/timestamp columns. Files: ``maxFilesPerTrigger`` bounds a batch.
+    ``fmt='segments'``: landed topics with offsets below ``options['path']`` (see
+    ``sources.segments``), with the same starting offsets and bound as Kafka.
     """
+    if fmt == "segments":
+        return segments.stream_segments(spark, options["path"], source, starting, max_per_trigger)
     r = spark.readStream.format(fmt)
     for k, v in (options or {}).items():
         r = r.option(k, v)
@@ -63,7 +68,11 @@ def write_topic(df: DataFrame, fmt: str, target: str, checkpoint: str, trigger:
 
 
 def write_topic_batch(df: DataFrame, fmt: str, target: str, mode: str = "append", options: dict | None = None) -> None:
-    """Batch sink of (key, value) rows: a Kafka topic or a folder."""
+    """Batch sink of (key, value) rows: a Kafka topic, a folder, or landed segments
+    (``fmt='segments'``: one partition of ``target`` below ``options['path']``, stamped now)."""
+    if fmt == "segments":
+        return segments.land(df.withColumns({"topic": F.lit(target), "partition": F.lit(int(options.get("partition", 0))),
+                                             "timestamp": F.current_timestamp()}), options["path"])
     w = df.write.format(fmt)
     for k, v in (options or {}).items():
         w = w.option(k, v)
@@ -87,6 +96,8 @@ def read_topic_batch(spark: SparkSession, fmt: str, source: str, schema=None, li
     """Bounded (batch) read of topics or a folder, e.g. to replay from the
     beginning; ``limit`` keeps the first n messages by (topic, partition,
     offset) (top-k through TakeOrderedAndProject, not a driver loop)."""
+    if fmt == "segments":  # stops at the offsets of the first n messages instead of ordering the topic
+        return segments.read_segments(spark, options["path"], source, limit=limit)
     r = spark.read.format(fmt)
     for k, v in (options or {}).items():
         r = r.option(k, v)
