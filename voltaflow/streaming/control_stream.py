@@ -18,7 +18,7 @@ from voltaflow.operators.quality import rejected_readings
 from voltaflow.operators.rollups import daily_summary, upsert_first_last
 from voltaflow.plans.control_plan import DISPATCH_CARRY, requests_from_readings
 from voltaflow.session import checkpoint_root, path_exists
-from voltaflow.streaming import delta_store
+from voltaflow.streaming import delta_store, rollup_store
 from voltaflow.streaming.state import battery_dispatch_stream
 
 
@@ -130,11 +130,14 @@ def append_epoch(df: DataFrame, path: str, epoch: int) -> None:
 
 def start_control_stream(readings: DataFrame, results_path: str, events_path: str, checkpoint: str,
                          scope: str = "location", trigger: dict | None = None, daily_path: str | None = None,
-                         rejected_path: str | None = None, buckets: int | None = None):
+                         rejected_path: str | None = None, buckets: int | None = None,
+                         rollup_path: str | None = None):
     """The control job. With ``buckets`` the results are a ``delta_store`` of that
     many buckets a date: an epoch adds its deliveries and rewrites nothing, and it
     counts, in all sinks, once its number is written last (``committed_results``,
-    ``committed_events``). Without, touched dates of a plain table are rewritten. Bound micro-batches at the source (``maxOffsetsPerTrigger``
+    ``committed_events``); ``rollup_path`` then keeps hourly and daily rollups as
+    signed partial sums (``rollup_store``). Without buckets, touched dates of a plain
+    table are rewritten. Bound micro-batches at the source (``maxOffsetsPerTrigger``
     or ``maxFilesPerTrigger``): the battery state reads one battery's rows of a
     micro-batch at once. ``rejected_path`` starts a second query that keeps
     invalid readings with their errors; it is returned as ``.rejected``."""
@@ -150,6 +153,8 @@ def start_control_stream(readings: DataFrame, results_path: str, events_path: st
                     days = batch.select(F.to_date("timestamp").alias("day")).distinct()
                     stored = _around(delta_store.read(batch.sparkSession, results_path, ddl(batch), upto=int(epoch_id)), batch)
                     _write_days(stored.join(days, F.to_date("timestamp") == F.col("day"), "left_semi"), daily_path)
+                if rollup_path:
+                    rollup_store.append(batch, results_path, rollup_path, int(epoch_id), ddl(batch))
                 delta_store.commit(batch.sparkSession, results_path, int(epoch_id))
                 return
             merge_results(batch, results_path, int(epoch_id))
