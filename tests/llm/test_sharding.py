@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF
 from voltaflow.llm import queries, sharding
@@ -71,3 +72,20 @@ def test_written_shards_hold_every_row(frame, spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "s"))
     assert sorted((r.doc_id, r.text) for r in back.select("doc_id", "text").collect()) == [(k, "t" * k) for k in range(100)]
     assert back.select("_shard").distinct().count() == placed.select("shard").distinct().count()
+
+
+def test_written_shards_of_a_hot_key_keep_the_limit(frame, spark, tmp_path):
+    limit = 2000
+    docs = frame([(7, f"{n:04d}" * 40, "x") for n in range(150)] + [(None, "n" * 90, "y")] * 60 + [(8, "z" * 3000, "s")]
+                 + [(k, "t" * (k % 50), "a") for k in range(100, 300)], "doc_id long, text string, shard string").repartition(5)
+    placed = sharding.write(docs, str(tmp_path / "s"), limit).collect()
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(map(str, back.select("doc_id", "text", "shard").collect())) == sorted(map(str, docs.collect()))
+    size = {r["_shard"]: (r.b, r.n) for r in back.groupBy("_shard").agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).collect()}
+    assert all(b <= limit or n == 1 for b, n in size.values())
+    want = {}
+    for r in placed:
+        name = "s" + r.shard.replace("*", "")
+        want[name] = want.get(name, 0) + r.bytes
+    assert {k: b for k, (b, _) in size.items()} == want
+    assert len([k for k in size if "+" in k]) > 10

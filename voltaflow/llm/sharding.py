@@ -26,6 +26,8 @@ HASH_BITS = 60
 ROUND_BITS = 15
 #: Byte limit of a shard in production.
 SHARD_BYTES = 1 << 20
+#: Shards that one task writes.
+SHARDS_PER_TASK = 128
 
 
 def hashed(key: Column) -> Column:
@@ -87,8 +89,13 @@ def assign(docs: DataFrame, limit: int = SHARD_BYTES, key_col: str = "doc_id", t
     A null or empty text has no bytes; a null key is a key like any other, so
     are repeated keys. Other columns are not read. An empty table has no shards.
     """
+    return _assigned(docs, limit, key_col, text_col, []).withColumnRenamed("key", key_col)
+
+
+def _assigned(docs: DataFrame, limit: int, key_col: str, text_col: str, carried: list[Column]) -> DataFrame:
+    more = ["_row"] if carried else []
     rows = docs.select(F.col(key_col).alias("key"), hashed(F.col(key_col)).alias("h"),
-                       F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("bytes"))
+                       F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("bytes"), *carried)
     rows = cut(rows)
     shards = cut(directory(rows.select("h", "bytes"), limit))
     depths = [r["depth"] for r in shards.select("depth").distinct().collect()]  # at most 61 numbers
@@ -98,13 +105,13 @@ def assign(docs: DataFrame, limit: int = SHARD_BYTES, key_col: str = "doc_id", t
     tried = tried.withColumn("prefix", F.call_function("shiftright", F.col("h"), F.lit(HASH_BITS) - F.col("depth")))
     placed = tried.join(shards.select("prefix", "depth", "shard_bytes"), ["prefix", "depth"])
     bits = F.when(F.col("depth") == 0, F.lit("*")).otherwise(F.expr("lpad(bin(prefix), depth, '0')"))
-    placed = placed.select("key", "h", "bytes", "depth", bits.alias("shard"), (F.col("shard_bytes") > limit).alias("over"))
-    small = placed.where(~F.col("over")).select("key", "shard", "depth", "bytes")
-    return (small.unionByName(_overflow(placed.where("over"), limit))
-            .withColumn("oversize", F.col("bytes") > limit).withColumnRenamed("key", key_col))
+    placed = placed.select("key", "h", "bytes", "depth", bits.alias("shard"), (F.col("shard_bytes") > limit).alias("over"), *more)
+    small = placed.where(~F.col("over")).select("key", "shard", "depth", "bytes", *more)
+    return (small.unionByName(_overflow(placed.where("over"), limit, more))
+            .withColumn("oversize", F.col("bytes") > limit))
 
 
-def _overflow(rows: DataFrame, limit: int) -> DataFrame:
+def _overflow(rows: DataFrame, limit: int, more: list[str]) -> DataFrame:
     """Overflow shards of buckets that no bit can split."""
     # the slice and the order inside it are kept by the checkpoint
     rows = cut(rows.withColumn("slice", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id()))
@@ -118,19 +125,21 @@ def _overflow(rows: DataFrame, limit: int) -> DataFrame:
     low = (low.withColumn("start", start).join(before, ["shard", "slice"])
            .withColumn("part", F.floor((F.col("start") + F.col("before")) * 2 / F.lit(limit)).cast("string")))
     high = rows.where(big).withColumn("part", F.concat(F.lit("r"), F.col("nth")))
-    both = low.select("key", "shard", "depth", "bytes", "part").unionByName(high.select("key", "shard", "depth", "bytes", "part"))
-    return both.select("key", F.concat_ws("+", "shard", "part").alias("shard"), "depth", "bytes")
+    columns = ["key", "shard", "depth", "bytes", "part", *more]
+    both = low.select(*columns).unionByName(high.select(*columns))
+    return both.select("key", F.concat_ws("+", "shard", "part").alias("shard"), "depth", "bytes", *more)
 
 
 def write(docs: DataFrame, folder: str, limit: int = SHARD_BYTES, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write ``docs`` as Parquet in a folder for each prefix (``_shard=s0110``)
-    and return the assignment. Overflow shards share the folder of their prefix,
-    whose files then hold at most as many rows as the limit divided by the mean
-    size of a row."""
-    placed = cut(assign(docs, limit, key_col, text_col))
-    of = placed.select(F.col(key_col).alias("_key"), F.concat(
-        F.lit("s"), F.replace(F.substring_index("shard", "+", 1), F.lit("*"), F.lit(""))).alias("_shard")).distinct()
-    mean = placed.agg(F.avg("bytes")).first()[0] or 1.0
-    (docs.join(of, docs[key_col].eqNullSafe(of["_key"])).drop("_key").repartition("_shard")
-     .write.option("maxRecordsPerFile", max(1, int(limit / mean))).partitionBy("_shard").parquet(folder))
-    return placed
+    """Write ``docs`` as Parquet in a folder for each shard (``_shard=s0110``, or
+    ``_shard=s0110+7`` for an overflow shard) and return the assignment. The rows are
+    placed along with their contents, so each goes to the shard it was given, also
+    among equal keys, and no folder holds more text than the limit but for the shards
+    of single rows over it. A task writes whole shards of at most the limit, so a hot
+    key is spread over as many tasks as it has shards."""
+    placed = cut(_assigned(docs, limit, key_col, text_col, [F.struct(*docs.columns).alias("_row")]))
+    named = F.concat(F.lit("s"), F.replace("shard", F.lit("*"), F.lit("")))
+    shards = placed.select("shard").distinct().count()
+    (placed.select("_row.*", named.alias("_shard")).repartition(max(1, -(-shards // SHARDS_PER_TASK)), "_shard")
+     .write.partitionBy("_shard").parquet(folder))
+    return placed.select(F.col("key").alias(key_col), "shard", "depth", "bytes", "oversize")
