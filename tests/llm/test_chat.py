@@ -94,3 +94,49 @@ def test_query_against_brute_force(spark):
             want.append((c, t, r.role, None, None, "plain", dumps({"role": r.role, "content": r.text})))
     got = queries.op7_chat(spark, SF).drop("error").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def plain_levels(calls):
+    deps = {c: {d for d in after or () if (c[0], d) in calls} for c, after in calls.items()}
+    out, todo = {}, dict(deps)
+    while True:
+        free = [c for c, ds in todo.items() if all((c[0], d) in out for d in ds)]
+        if not free:
+            return out
+        for c in free:
+            out[c] = 1 + max((out[c[0], d] for d in todo.pop(c)), default=-1)
+
+
+def test_levels_of_random_dependencies(frame):
+    import random
+    rnd = random.Random(8)
+    calls = {}
+    for conv in range(6):
+        for k in range(40):
+            n = rnd.choice([0, 1, 1, 1, 1, 2, 3])
+            others = [f"c{rnd.randrange(max(k, 1))}" if rnd.random() < (0.97 if conv else 0.6) else f"c{rnd.randrange(45)}" for _ in range(n)]
+            calls[conv, f"c{k}"] = others
+    df = frame([(c, i, a) for (c, i), a in calls.items()], "conv_id long, call_id string, after array<string>")
+    got = {(r.conv_id, r.call_id): r.level for r in chat.levels(df).collect()}
+    assert got == plain_levels(calls)
+
+
+def test_a_long_chain_takes_few_rounds(frame, monkeypatch):
+    n = 600
+    rows = [(1, f"c{k}", [f"c{k - 1}"] if k else None) for k in range(n)] + [(2, "a", ["b"]), (2, "b", ["a"]), (2, "d", ["a", "b"]), (2, "e", ["zz"])]
+    df = frame(rows, "conv_id long, call_id string, after array<string>")
+    cuts, real = [], chat.cut
+    monkeypatch.setattr(chat, "cut", lambda d: cuts.append(1) or real(d))
+    got = {(r.conv_id, r.call_id): r.level for r in chat.levels(df).collect()}
+    assert got == {(1, f"c{k}"): k for k in range(n)} | {(2, "e"): 0}
+    assert len(cuts) < 30
+
+
+def test_odd_turns_and_a_very_long_text(frame):
+    rows = [(1, 0, "user", "w " * 200_000), (1, 1, "assistant", None), (1, 2, "user", None), (1, 2, "user", None), (1, -3, "user", "x"),
+            (1, None, "user", "y"), (None, 1, "user", "z"), (2, None, None, None)]
+    df = frame([(*r, "a", 1) for r in rows], "conv_id long, turn long, role string, text string, after string, level int")
+    got = chat.link(chat.from_turns(df), chat.TOOLS).collect()
+    assert len(got) == len(rows)
+    assert {r.kind for r in got} == {"call", "result", None} and all(r.status for r in got)
+    assert max(len(r.message or "") for r in got) > 400_000

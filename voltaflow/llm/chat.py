@@ -10,9 +10,10 @@ conversation of any length is spread over the tasks.
   may repeat an identifier is never gathered: per identifier only minima and
   counts are kept, from partially aggregated groups.
 * Calls are ordered topologically by level, which is one more than the largest
-  level of the calls they come after. Each round takes away the calls whose
-  dependencies are all placed, so there are as many rounds as the longest chain
-  of dependencies; what is left is in a cycle or behind one. Sorting by
+  level of the calls they come after. Runs of calls with one dependency each are
+  contracted by pointer doubling (a run of n takes log2 n rounds); then each round
+  takes away the calls whose dependencies are all placed, so there are as many rounds
+  as the longest chain of calls with several; what is left is in a cycle or behind one. Sorting by
   ``level, seq, call_id`` with results behind their call is the conversation's
   order.
 * Arguments are checked against the tool's JSON schema, and every message is
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltaflow.llm.common import bounded_batches, cut
+from voltaflow.session import scratch_dir
 
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 _KEY = ["conv_id", "call_id"]
@@ -116,22 +118,67 @@ def message(kind: str | None, call_id: str | None, name: str | None, payload: st
         {"id": call_id, "type": "function", "function": {"name": name, "arguments": arguments}}]}), wrong
 
 
+def _heads(single: DataFrame) -> DataFrame:
+    """``conv_id, call_id, head, steps`` of calls with one dependency each: the first
+    call up the chain that has none or several, and how many steps it is away. Every
+    round doubles the steps, so a chain of n calls takes log2(n) rounds; calls in
+    a cycle of such calls, or behind one, never get out of it and have no row."""
+    up = cut(single.select(*_KEY, F.col("dep").alias("head"), F.lit(1).cast("long").alias("steps")))
+    n = up.count()
+    for _ in range(n.bit_length() + 1):
+        on = up.select("conv_id", F.col("call_id").alias("head"), F.col("head").alias("_next"), F.col("steps").alias("_more"))
+        far = up.join(on, ["conv_id", "head"], "left")
+        if far.where("_next is not null").isEmpty():
+            return up
+        up = cut(far.select(*_KEY, F.coalesce("_next", "head").alias("head"),
+                            (F.col("steps") + F.coalesce("_more", F.lit(0))).alias("steps")))
+    return up.join(up.select("conv_id", F.col("call_id").alias("head")), ["conv_id", "head"], "left_anti").select(*_KEY, "head", "steps")
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``conv_id, call_id, level`` of the calls ``(conv_id, call_id, after)``,
-    whose keys are unique; calls in a cycle or behind one have no row."""
+    whose keys are unique; calls in a cycle or behind one have no row.
+
+    Runs of calls with a single dependency are contracted first (``_heads``); the
+    rounds then go over calls with several, so there are as many as the longest chain
+    of these. Each round writes what it has placed to one table.
+    """
+    spark = calls.sparkSession
     calls = calls.select(*_KEY, "after")
     edges = cut(calls.select(*_KEY, F.explode(F.array_distinct("after")).alias("dep"))
                 .join(calls.select("conv_id", F.col("call_id").alias("dep")), ["conv_id", "dep"]))
-    placed = cut(calls.select(*_KEY).join(edges.select(*_KEY).distinct(), _KEY, "left_anti"))
-    out, level = placed.withColumn("level", F.lit(0)), 0
-    while not placed.isEmpty():
-        level += 1
-        done = placed.select("conv_id", F.col("call_id").alias("dep"))
-        freed = edges.join(done, ["conv_id", "dep"], "left_semi").select(*_KEY).distinct()
-        edges = cut(edges.join(done, ["conv_id", "dep"], "left_anti"))
-        placed = cut(freed.join(edges.select(*_KEY).distinct(), _KEY, "left_anti"))
-        out = out.unionByName(placed.withColumn("level", F.lit(level)))
-    return out
+    single = cut(edges.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"), F.min("dep").alias("dep")).where("n = 1").drop("n"))
+    heads = cut(_heads(single))
+    above = heads.select("conv_id", F.col("call_id").alias("dep"), "head", "steps")
+    # a dependency counts as its head, so many steps further up; behind a cycle it stays itself, which is never placed
+    several = (edges.join(single.select(*_KEY), _KEY, "left_anti").join(above, ["conv_id", "dep"], "left")
+               .select(*_KEY, F.coalesce("head", "dep").alias("dep"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"))
+               .groupBy(*_KEY, "dep").agg(F.max("steps").alias("steps")))
+    several = cut(several)
+    folder = scratch_dir(spark, "levels")
+    roots = calls.select(*_KEY).join(edges.select(*_KEY).distinct(), _KEY, "left_anti").withColumn("level", F.lit(0).cast("long"))
+    schema = roots.schema
+    reached = cut(spark.createDataFrame([], schema))  # largest level so far of calls that still wait
+    placed, n = roots, 0
+    while True:
+        placed.write.parquet(f"{folder}/round={n}")
+        placed = spark.read.schema(schema).parquet(f"{folder}/round={n}")
+        if placed.isEmpty():
+            break
+        done = placed.select("conv_id", F.col("call_id").alias("dep"), "level")
+        lifted = several.join(done, ["conv_id", "dep"]).select(*_KEY, (F.col("level") + F.col("steps")).alias("level"))
+        several = cut(several.join(done, ["conv_id", "dep"], "left_anti"))
+        reached = cut(reached.unionByName(lifted).groupBy(*_KEY).agg(F.max("level").alias("level")))
+        waiting = several.select(*_KEY).distinct()
+        placed, reached, n = reached.join(waiting, _KEY, "left_anti"), reached.join(waiting, _KEY, "left_semi"), n + 1
+    out = spark.read.schema(f"{ddl_of(schema)}, round int").parquet(folder).drop("round")
+    top = out.select("conv_id", F.col("call_id").alias("head"), "level")
+    below = heads.join(top, ["conv_id", "head"]).select(*_KEY, (F.col("level") + F.col("steps")).alias("level"))
+    return out.unionByName(below).withColumn("level", F.col("level").cast("int"))
+
+
+def ddl_of(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -198,7 +245,9 @@ def from_turns(turns: DataFrame) -> DataFrame:
     """Messages derived from ``(conv_id, turn, role, text)``: a user turn is a
     call (its arguments hold text, word count and turn, keys unsorted), the turn
     of an assistant is the result of the call one turn before, and other roles
-    are plain. A call comes after the call at half its turn, if that was a user's."""
+    are plain. A call comes after the call at half its turn, if that was a user's.
+    A null text is an empty one in a call and null content else; turns that occur
+    twice give messages of one identifier, a null or negative turn is after nothing."""
     call, result = F.col("role") == "user", F.col("role") == "assistant"
     turn = F.col("turn")
     ident = lambda t: F.concat_ws("-", F.lit("call"), t.cast("string"))
