@@ -9,7 +9,7 @@ from voltaflow.plans import control_plan as P
 from voltaflow.plans import oracle_control as OC
 from voltaflow.plans.control_queries import rnd, sround
 from voltaflow.session import scratch_dir
-from voltaflow.sources import bridge, ingest, messages
+from voltaflow.sources import bridge, ingest, messages, pages
 from voltaflow.streaming.sliding import sliding_window_stats
 
 FEATURE_COLS = ("transaction_date", "transaction_hour", "region", "solar_generation_mwh", "year", "month", "day",
@@ -150,6 +150,20 @@ def q_paged_json_source(spark, sf):
     return messages.read_wire_pages(spark, path)
 
 
+def q_numbered_pages(spark, sf):
+    """The same records, as numbered pages read by ranges of numbers."""
+    path = scratch_dir(spark, "numbered_pages")
+    records = _records(spark, sf).select("page", "region", "transaction_date", "transaction_hour", "solar_generation_mwh")
+    items = F.sort_array(F.collect_list(F.struct("region", "transaction_date", "transaction_hour", "solar_generation_mwh")))
+    made = records.groupBy("page").agg(items.alias("data"))
+    pages.land_numbered(made.select("page", F.to_json(F.struct("page", "data")).alias("body")), path)
+    ends = records.agg(F.min("page").alias("a"), F.max("page").alias("z")).first()
+    if ends.a is None:
+        return records
+    read = pages.read_numbered(spark, path, ends.a, ends.z)
+    return pages.page_records(read, "region string, transaction_date string, transaction_hour int, solar_generation_mwh double")[0]
+
+
 def q_consumed_dedup(spark, sf):
     return _log(spark, sf)
 
@@ -223,6 +237,7 @@ QUERIES = {
     "produce_totals": q_produce_totals,
     "control_message": q_control_message,
     "paged_json_source": q_paged_json_source,
+    "numbered_pages": q_numbered_pages,
     "json_roundtrip": q_json_roundtrip,
     "unwrap_envelope": q_unwrap_envelope,
     "solar_features": q_solar_features,
@@ -364,6 +379,8 @@ ORACLE = {
         FROM records GROUP BY transaction_date""",
     "paged_json_source": _CTES + """SELECT page, region, transaction_date, transaction_hour, solar_generation_mwh
         FROM records""",
+    "numbered_pages": _CTES + """SELECT page, region, transaction_date, transaction_hour, solar_generation_mwh
+        FROM records""",
     "unwrap_envelope": _CTES + """SELECT topic, "partition", "offset", arrival, transaction_date, transaction_hour,
         region, solar_generation_mwh FROM consumed_raw""",
     "solar_features": _CTES + f"SELECT {_FEAT} FROM features",
