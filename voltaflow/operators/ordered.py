@@ -132,7 +132,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], lag: dict[str
     by = [*keys, *order]
     base = (df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_pid", F.spark_partition_id()).checkpoint())
     narrow = base.select(*dict.fromkeys([*keys, *lags, *fills, "_pid"]))
-    sides = sorted(narrow.mapInArrow(lambda it: _edges(it, keys, lags, fills),
+    # a single partition hands nothing on
+    sides = [] if base.rdd.getNumPartitions() < 2 else sorted(narrow.mapInArrow(lambda it: _edges(it, keys, lags, fills),
                                      "pid int, first binary, last binary, one boolean, carry binary").collect(), key=lambda r: r["pid"])
     carried = _carried([r.asDict() for r in sides], lags, fills)
     new = [*([(position, T.LongType())] if position else []), *[(n, df.schema[c].dataType) for n, c in [*lag.items(), *fill.items()]]]
