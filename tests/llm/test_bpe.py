@@ -6,6 +6,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF
 from voltaflow.llm import bpe, queries
@@ -47,6 +48,52 @@ def test_memory_limit_does_not_change_results(monkeypatch):
         assert encoder.encode(text).tolist() == OWN.encode_ordinary(text)
 
 
+class Counted:
+    """A sentencepiece processor that notes how many words each call encodes."""
+
+    def __init__(self, sp):
+        self.sp, self.calls = sp, []
+
+    def encode(self, words, **options):
+        self.calls.append(len(words))
+        return self.sp.encode(words, **options)
+
+
+def test_words_used_last_are_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    encoder = bpe.Encoder(MODEL, public_tokenizers.PATTERN)
+    encoder.sp = Counted(encoder.sp)
+    for k in "abcdefghij":
+        text = f"xqzv wqjk zzxv qqwv x{k}qzjv"
+        assert encoder.encode(text).tolist() == OWN.encode_ordinary(text)
+    assert sum(encoder.sp.calls) == 14  # the four common words once, and a new one in each text
+
+
+def test_new_words_of_many_texts_take_one_call():
+    encoder = bpe.Encoder(MODEL, public_tokenizers.PATTERN)
+    encoder.sp = Counted(encoder.sp)
+    texts = [f"xqzv{k}zzxv wqjk" for k in range(500)]
+    ids, limits = encoder.encode_all(texts)
+    assert [x.tolist() for x in np.split(ids, limits[1:-1])] == [OWN.encode_ordinary(t) for t in texts]
+    assert len(encoder.sp.calls) == 1
+
+
+@pytest.mark.parametrize("size", [1, 3, 4, 1000])
+def test_limits_of_slices_and_texts(monkeypatch, size):
+    monkeypatch.setattr(bpe, "_SLICE", size)
+    monkeypatch.setattr(bpe, "REMEMBERED", 2)
+    texts = ["", "one two three", None, "", "four xqzv xqzv", "a b c d", "", "long " * 40, "\U0001f642 中 ß", ""]
+    ids, limits = bpe.Encoder(MODEL, public_tokenizers.PATTERN).encode_all(texts)
+    assert [x.tolist() for x in np.split(ids, limits[1:-1])] == [OWN.encode_ordinary(t or "") for t in texts]
+
+
+def test_decoded_column_with_nulls(frame):
+    rows = [(0, None), (1, []), (2, OWN.encode_ordinary("Zwölf 12")), (3, None), (4, OWN.encode_ordinary("\U0001f642")[:1])]
+    got = frame(rows, "k long, ids array<int>").select("k", bpe.decode(F.col("ids"), MODEL).alias("raw")).collect()
+    assert {r.k: r.raw and bytes(r.raw) for r in got} == {k: None if ids is None else bpe.decode_ids(np.array(ids, int), TABLE)
+                                                         for k, ids in rows}
+
+
 def expected(text):
     ids = OWN.encode_ordinary(text or "")
     return (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),

@@ -9,27 +9,29 @@ byte-level BPE does. A text is cut into pre-tokens by the tokenizer's pattern
 and each is encoded by itself, so results don't depend on their neighbours.
 
 The model (about 1 MB) is built once on the driver and shipped with the
-function. Each worker remembers encoded pre-tokens up to a fixed number.
+function. A worker numbers the pre-tokens of many texts at a time, has the new
+ones encoded in one call and gathers ids by number. It remembers them up to a
+fixed number.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
-from itertools import chain, islice
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from voltaflow.llm.common import bounded_batches
 
-#: Pre-tokens a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 150_000
-#: Pre-tokens of one text that are held at once.
+#: Pre-tokens a worker remembers; beyond it the memory starts anew from those used last.
+REMEMBERED = 300_000
+#: Pre-tokens that are encoded at once, of several texts or a part of one.
 _SLICE = 1 << 18
-_TO_CHAR = {b: chr(0x100 + b) for b in range(256)}
 _FROM_CHAR = {0x100 + b: b for b in range(256)}
 
 
@@ -38,8 +40,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def piece_of(token: bytes) -> str:
-    return token.decode("latin-1").translate(_TO_CHAR)
+def pieces_of(tokens: list[bytes]) -> list[str]:
+    """The tokens with a character for each byte, all mapped at once."""
+    mapped = (np.frombuffer(b"".join(tokens), np.uint8) + np.uint16(0x100)).astype("<u2").tobytes().decode("utf-16-le")
+    return [mapped[a:b] for a, b in pairwise(accumulate(map(len, tokens), initial=0))]
 
 
 def serialise(ranks: dict[bytes, int]) -> bytes:
@@ -57,10 +61,10 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
     model.normalizer_spec.remove_extra_whitespaces = False
     model.normalizer_spec.escape_whitespaces = False
     model.pieces.add(piece="<unk>", score=0, type=pb.ModelProto.SentencePiece.UNKNOWN)
-    by_rank = {r: t for t, r in ranks.items()}
+    by_rank = dict(zip(ranks.values(), pieces_of(list(ranks))))
     for r in range(max(by_rank) + 1):
         if r in by_rank:
-            model.pieces.add(piece=piece_of(by_rank[r]), score=-r)
+            model.pieces.add(piece=by_rank[r], score=-r)
         else:
             model.pieces.add(piece=f"<unused{r}>", score=-r, type=pb.ModelProto.SentencePiece.UNUSED)
     model.trainer_spec.vocab_size = len(model.pieces)
@@ -81,6 +85,20 @@ def decode_ids(ids: np.ndarray, table: list[bytes]) -> bytes:
     return b"".join(map(table.__getitem__, ids.tolist()))
 
 
+class _Numbers(dict):
+    """Number of each pre-token; a new one gets the next number."""
+
+    def __missing__(self, token: str) -> int:
+        self[token] = k = len(self)
+        return k
+
+
+def _lists(rows: list) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    flat = np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat - 1))
+
+
 class Encoder:
     """Encoder of one worker."""
 
@@ -90,36 +108,60 @@ class Encoder:
 
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.find = regex.compile(pattern)
-        self.whole = {b: k for k, b in enumerate(token_bytes(model)) if b}
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _learn(self, tokens: set[str]) -> None:
-        rest = []
-        for t in tokens:
-            at = self.whole.get(raw := t.encode("utf-8", "surrogatepass"))
-            if at is None:
-                rest.append((t, piece_of(raw)))
-            else:  # a pre-token that is a token of the vocabulary is never cut
-                self.known[t] = (at,)
-        for (t, _), ids in zip(rest, self.sp.encode([p for _, p in rest], out_type=int, num_threads=1)):
-            self.known[t] = tuple(k - 1 for k in ids)
-
-    def encode(self, text: str | None) -> np.ndarray:
-        if len(text := text or "") < 8 * _SLICE:
-            parts = [self.find.findall(text)]
+        self.whole = {b: (k + 1,) for k, b in enumerate(token_bytes(model)) if b}
+        self.number = _Numbers()
+        self.known = _lists([])  # ids by number
+
+    def _learn(self, tokens: list[str]) -> None:
+        raw = [t.encode("utf-8", "surrogatepass") for t in tokens]
+        # a pre-token that is a token of the vocabulary is never cut
+        rest = iter(self.sp.encode(pieces_of([r for r in raw if r not in self.whole]), out_type=int, num_threads=1))
+        self.known = pa.concat_arrays([self.known, _lists([self.whole.get(r) or next(rest) for r in raw])])
+
+    def _ids(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens, joined, and the limits between them."""
+        before = len(self.number)
+        numbers = np.fromiter(map(self.number.__getitem__, tokens), np.int32, len(tokens))
+        if len(self.number) > before:
+            self._learn(list(islice(self.number, before, None)))
+        got = self.known.take(pa.array(numbers))
+        if len(self.number) > REMEMBERED:
+            last, names = np.unique(numbers), list(self.number)
+            self.number = _Numbers((names[k], n) for n, k in enumerate(last.tolist()))
+            self.known = self.known.take(pa.array(last))
+        return got.values.to_numpy(), got.offsets.to_numpy()
+
+    def _pretokens(self, text: str) -> Iterator[list[str]]:
+        if len(text) < 8 * _SLICE:
+            yield self.find.findall(text)
         else:  # a very long text is taken in slices of whole pre-tokens
             matches = (m[0] for m in self.find.finditer(text))
-            parts = iter(lambda: list(islice(matches, _SLICE)), [])
-        out = []
-        for part in parts:
-            try:
-                out.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, part)), np.int32))
-            except KeyError:
-                if len(self.known) > REMEMBERED:
-                    self.known.clear()
-                self._learn({t for t in part if t not in self.known})
-                out.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, part)), np.int32))
-        return np.concatenate(out) if out else np.empty(0, np.int32)
+            yield from iter(lambda: list(islice(matches, _SLICE)), [])
+
+    def _slices(self, texts: Iterable[str | None]) -> Iterator[tuple[list[str], list[int]]]:
+        """Pre-tokens of the texts, and the places among them where texts end."""
+        part, stops = [], []
+        for text in texts:
+            for more in self._pretokens(text or ""):
+                part += more
+                if len(part) >= _SLICE:
+                    yield part, stops
+                    part, stops = [], []
+            stops.append(len(part))
+        yield part, stops
+
+    def encode_all(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, joined, and the limits between the texts."""
+        out, limits, done = [np.empty(0, np.int32)], [np.zeros(1, np.int64)], 0
+        for part, stops in self._slices(texts):
+            ids, at = self._ids(part)
+            out.append(ids)
+            limits.append(done + at[np.array(stops, np.int64)])
+            done += len(ids)
+        return np.concatenate(out), np.concatenate(limits)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_all([text])[0]
 
 
 def encode(text: Column, model: bytes, pattern: str) -> Column:
@@ -131,10 +173,8 @@ def encode(text: Column, model: bytes, pattern: str) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(model, pattern)
         for batch in batches:
-            got = [encoder.encode(t.as_py()) for t in batch]
-            ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
-            flat = np.concatenate([np.empty(0, np.int32), *got])
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            flat, limits = encoder.encode_all(t.as_py() for t in batch)
+            yield pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(flat))
     return ids(text)
 
 
@@ -144,11 +184,8 @@ def decode(ids: Column, model: bytes) -> Column:
 
     @F.arrow_udf("binary")
     def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = token_bytes(model)
+        table = pa.array(token_bytes(model), pa.binary())
         for batch in batches:
-            flat = batch.flatten().to_numpy(zero_copy_only=False)
-            size = np.nan_to_num(np.array([len(x) if x.is_valid else 0 for x in batch], np.int64))
-            end = np.cumsum(size)
-            yield pa.array([decode_ids(flat[e - n:e], table) if x.is_valid else None
-                            for x, e, n in zip(batch, end, size)], pa.binary())
+            tokens = pa.ListArray.from_arrays(batch.offsets, table.take(batch.values))
+            yield pc.if_else(batch.is_valid(), pc.binary_join(tokens, b""), None)
     return raw(ids)
