@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from voltaflow.llm.common import bounded_batches
 
-#: Pre-tokens a worker remembers; beyond it the memory starts anew from those used last.
-REMEMBERED = 300_000
+#: Pre-tokens a worker remembers; beyond it the half used last stays.
+REMEMBERED = 150_000
 #: Pre-tokens that are encoded at once, of several texts or a part of one.
-_SLICE = 1 << 18
+_SLICE = 1 << 16
 _FROM_CHAR = {0x100 + b: b for b in range(256)}
 
 
@@ -111,6 +111,8 @@ class Encoder:
         self.whole = {b: (k + 1,) for k, b in enumerate(token_bytes(model)) if b}
         self.number = _Numbers()
         self.known = _lists([])  # ids by number
+        self.used = np.empty(0, np.int64)  # slice of the last use, by number
+        self.slice = 0
 
     def _learn(self, tokens: list[str]) -> None:
         raw = [t.encode("utf-8", "surrogatepass") for t in tokens]
@@ -125,10 +127,14 @@ class Encoder:
         if len(self.number) > before:
             self._learn(list(islice(self.number, before, None)))
         got = self.known.take(pa.array(numbers))
+        self.slice += 1
+        self.used = np.concatenate([self.used, np.zeros(len(self.number) - before, np.int64)])
+        self.used[numbers] = self.slice
         if len(self.number) > REMEMBERED:
-            last, names = np.unique(numbers), list(self.number)
+            half, names = REMEMBERED // 2 + 1, list(self.number)
+            last = np.flatnonzero(self.used >= np.partition(self.used, -half)[-half])
             self.number = _Numbers((names[k], n) for n, k in enumerate(last.tolist()))
-            self.known = self.known.take(pa.array(last))
+            self.known, self.used = self.known.take(pa.array(last)), self.used[last]
         return got.values.to_numpy(), got.offsets.to_numpy()
 
     def _pretokens(self, text: str) -> Iterator[list[str]]:
