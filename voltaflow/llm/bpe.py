@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import bounded_batches
+from voltaflow.llm.common import bounded_batches, freeing
 
 #: Pre-tokens a worker remembers; beyond it the half used last stays.
 REMEMBERED = 150_000
@@ -176,6 +176,7 @@ def encode(text: Column, model: bytes, pattern: str) -> Column:
     bounded_batches()
 
     @F.arrow_udf("array<int>")
+    @freeing
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(model, pattern)
         for batch in batches:
@@ -189,6 +190,7 @@ def decode(ids: Column, model: bytes) -> Column:
     bounded_batches()
 
     @F.arrow_udf("binary")
+    @freeing
     def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = pa.array(token_bytes(model), pa.binary())
         for batch in batches:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from voltaflow.session import checkpoint_root
 
 
 #: Bytes of one Arrow batch that a Python worker holds.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -23,13 +26,28 @@ def bounded_batches() -> None:
     result depends on it.
     """
     spark = SparkSession.getActiveSession()
-    now = spark.conf.get(_BATCH, None) if spark else None
+    # without a second argument, which would hide Spark's own default
+    now = spark.conf.get(_BATCH) if spark else None
     if now is not None:
         size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) if not now.lstrip("-").isdigit() else int(now)
         if size <= 0 or size > BATCH_BYTES:
             spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
+def freeing(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``task``, a function over the batches of a task, that at its end gives
+    back the memory which Arrow's allocator keeps.
+
+    Python workers live on and go from stage to stage, so what each stage left
+    there would add up.
+    """
+    @functools.wraps(task)
+    def run(batches):
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+    return run
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
     checkpoint_root(df.sparkSession)

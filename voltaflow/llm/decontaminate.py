@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import bounded_batches, cut
+from voltaflow.llm.common import bounded_batches, cut, freeing
 
 MAX_DF = 0.02
 RAREST = (3, 8)
@@ -78,6 +78,7 @@ def encode(text: Column, vocabulary: dict[str, int]) -> Column:
     bounded_batches()
 
     @F.pandas_udf("binary")
+    @freeing
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def one(text):
             words = words_of(text)
@@ -264,6 +265,7 @@ class Finder:
 
 def _fit(coded: DataFrame, items: DataFrame, vocabulary: int, kind: str) -> Space:
     """The space of all documents and all items, both as ``ids``."""
+    @freeing
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, n = np.zeros(vocabulary + 1, np.int64), 0
         for part in batches:
@@ -307,6 +309,7 @@ def _fit(coded: DataFrame, items: DataFrame, vocabulary: int, kind: str) -> Spac
     omega = np.zeros((len(idf), width))
     omega[words] = np.linalg.qr(np.random.default_rng(11).standard_normal((len(words), width)))[0]
 
+    @freeing
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, rows = {}, 0
         for part in batches:
@@ -356,6 +359,7 @@ class Search:
         bounded_batches()
 
         @F.pandas_udf(LEAKS)
+        @freeing
         def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for s in batches:
                 yield pd.Series(finder.batch(s), dtype=object)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import bounded_batches
+from voltaflow.llm.common import bounded_batches, freeing
 
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<kind: string, start: int, end: int, base: boolean>>"
@@ -231,6 +231,7 @@ def find(text: Column) -> Column:
     bounded_batches()
 
     @F.pandas_udf(SPAN)
+    @freeing
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = ("kind", "start", "end", "base")
         for s in batches:
@@ -243,6 +244,7 @@ def redact(text: Column) -> Column:
     bounded_batches()
 
     @F.pandas_udf("string")
+    @freeing
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield s.map(lambda t: redacted(t, spans_of(t)), na_action="ignore").astype(object)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import bounded_batches, components, cut, min_labels
+from voltaflow.llm.common import bounded_batches, components, cut, freeing, min_labels
 
 SEED = 42
 WORDS = 4
@@ -69,6 +69,7 @@ def fingerprint(text: Column, words: int = WORDS, seed: int = SEED) -> Column:
     bounded_batches()
 
     @F.pandas_udf("long")
+    @freeing
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield pd.Series([fingerprint_of(t, words, seed) for t in s], dtype="int64")
@@ -201,6 +202,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, agree: int = AGREE, node_row
              .select("mask", "pattern", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp"))
     keys = ["mask", "pattern", "lo", "hi"]
 
+    @freeing
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for part in itertools.chain(batches, [None]):

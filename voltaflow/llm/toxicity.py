@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltaflow.llm.common import bounded_batches, cut
+from voltaflow.llm.common import bounded_batches, cut, freeing
 
 #: Labelled rows of label 0 and of label 1 that training takes at most.
 SAMPLE = (10_000, 5_000)
@@ -143,6 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     bounded_batches()
 
     @F.pandas_udf("struct<own: array<int>, swapped: array<int>>")
+    @freeing
     def featured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         def hashed(words):
             return sorted({f for w in words for f in features_of(w)})
@@ -169,13 +170,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                            .select("feature").collect()), np.int64)
     best = spark.sparkContext.broadcast(kept)
 
-    @F.pandas_udf("array<int>")
-    def of_kept(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([None if f is None else np.intersect1d(f, best.value).astype(np.int32) for f in s], dtype=object)
+    # both lists in one call: a second one would take another Python worker a task
+    @F.pandas_udf("struct<own: array<int>, swapped: array<int>>")
+    @freeing
+    def of_kept(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        def held(s):
+            return pd.Series([None if f is None else np.intersect1d(f, best.value).astype(np.int32) for f in s], dtype=object)
+        for own, swapped in batches:
+            yield pd.DataFrame({"own": held(own), "swapped": held(swapped)})
 
     # rows of repeated ids can be many; the bound of the sample holds for rows as well
-    got = (rows.select("_label", "_hash", of_kept("own").alias("own"), of_kept("swapped").alias("swapped"))
+    got = (rows.select("_label", "_hash", of_kept("own", "swapped").alias("f")).select("_label", "_hash", "f.*")
            .orderBy(F.xxhash64(F.lit(7), "_hash"), "_label").limit(sum(sample)).toPandas())
     own = [np.asarray(x, np.int64) for x in got["own"]]
     other = [x if y is None else np.asarray(y, np.int64) for x, y in zip(own, got["swapped"])]
@@ -189,6 +194,7 @@ def score(text: Column, model: Model) -> Column:
     bounded_batches()
 
     @F.pandas_udf("double")
+    @freeing
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, tuple[int, ...]] = {}
         for s in batches:
